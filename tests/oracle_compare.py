@@ -1,0 +1,130 @@
+"""Compare registered Spark queries with their DuckDB oracle SQL.
+
+Mirrors the driver's check: row count, column names with coarse types, and an
+order-insensitive hash of the values with columns sorted by name.
+
+    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...]
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+SPARK_TYPES = {"string": "str", "bigint": "int", "int": "int", "double": "float",
+               "boolean": "bool", "timestamp_ntz": "ts", "timestamp": "ts", "date": "date"}
+DUCK_TYPES = {"VARCHAR": "str", "BIGINT": "int", "INTEGER": "int", "DOUBLE": "float",
+              "BOOLEAN": "bool", "TIMESTAMP": "ts", "DATE": "date", "HUGEINT": "hugeint",
+              "FLOAT": "float"}
+
+
+def _norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(round(v, 6) + 0.0)
+    if hasattr(v, "isoformat"):
+        return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+    return repr(v)
+
+
+def digest(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
+
+
+def duck_connect(sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def compare(spark, sf_dir, names=None, verbose=True):
+    import __spark_entry__ as E
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck_connect(sf_dir)
+    results = {}
+    for name in names or sorted(qs):
+        t0 = time.time()
+        try:
+            df = qs[name](spark, sf_dir)
+            s_names = df.columns
+            s_types = [SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in df.schema.fields]
+            s_rows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            results[name] = {"ok": False, "error": f"spark: {e!r}"[:500]}
+            if verbose:
+                print(f"{name:32s} SPARK ERROR {e!r}"[:600], flush=True)
+            continue
+        ts = time.time() - t0
+        if name not in sqls:
+            results[name] = {"ok": None, "rows": len(s_rows), "spark_s": round(ts, 2)}
+            if verbose:
+                print(f"{name:32s} rows-only {len(s_rows)} rows  {ts:.1f}s", flush=True)
+            continue
+        try:
+            rel = con.sql(sqls[name])
+            d_names = rel.columns
+            d_types = [DUCK_TYPES.get(str(t), str(t)) for t in rel.types]
+            d_rows = rel.fetchall()
+        except Exception as e:  # noqa: BLE001
+            results[name] = {"ok": False, "error": f"duckdb: {e!r}"[:500]}
+            if verbose:
+                print(f"{name:32s} DUCKDB ERROR {e!r}"[:600], flush=True)
+            continue
+        same_schema = sorted(zip(s_names, s_types)) == sorted(zip(d_names, d_types))
+        same_rows = len(s_rows) == len(d_rows)
+        same_vals = digest(s_names, s_rows) == digest(d_names, d_rows)
+        ok = same_schema and same_rows and same_vals
+        results[name] = {"ok": ok, "rows": len(s_rows), "oracle_rows": len(d_rows),
+                         "schema": same_schema, "values": same_vals, "spark_s": round(ts, 2)}
+        if verbose:
+            print(f"{name:32s} {'OK ' if ok else 'BAD'} rows {len(s_rows)}/{len(d_rows)} "
+                  f"schema={same_schema} values={same_vals} {ts:.1f}s", flush=True)
+            if not same_schema:
+                print("   spark :", sorted(zip(s_names, s_types)))
+                print("   duckdb:", sorted(zip(d_names, d_types)))
+            elif not same_vals and same_rows:
+                _show_diff(s_names, s_rows, d_names, d_rows)
+    return results
+
+
+def _show_diff(s_names, s_rows, d_names, d_rows, k=3):
+    order_s = sorted(range(len(s_names)), key=lambda i: s_names[i])
+    order_d = sorted(range(len(d_names)), key=lambda i: d_names[i])
+    cols = [s_names[i] for i in order_s]
+    a = sorted(tuple(_norm(r[i]) for i in order_s) for r in s_rows)
+    b = sorted(tuple(_norm(r[i]) for i in order_d) for r in d_rows)
+    shown = 0
+    for x, y in zip(a, b):
+        if x != y:
+            diffs = [(cols[i], x[i], y[i]) for i in range(len(cols)) if x[i] != y[i]]
+            print("   diff:", diffs[:6])
+            shown += 1
+            if shown >= k:
+                break
+
+
+if __name__ == "__main__":
+    from ratewise.session import build_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session("local[8]", shuffle_partitions=8)
+    res = compare(spark, sf, sys.argv[2:] or None)
+    bad = [k for k, v in res.items() if v.get("ok") is False]
+    print("FAILED:", bad)
