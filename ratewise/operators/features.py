@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise.functions import columns as X
 from ratewise.operators import stats as S
@@ -40,8 +41,10 @@ def dedupe(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     The output is hash-partitioned by ``key``, which the following join reuses.
     """
     rest = [c for c in df.columns if c != key and c not in order]
+    orderable = [c for c in order + rest
+                 if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
     packed = F.struct(*[F.col(c) for c in order + rest])
-    return (df.groupBy(key).agg(F.max(packed).alias("_r"))
+    return (df.groupBy(key).agg(F.max_by(packed, F.struct(*orderable)).alias("_r"))
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in order + rest]))
 
 
@@ -54,7 +57,9 @@ def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> Data
     st = S.user_global_stats(users)
     total, avg_stars, max_reviews = (S.scalar(st, "total_reviews"), S.scalar(st, "avg_user_stars"),
                                      S.scalar(st, "max_user_reviews"))
-    u = dedupe(users, "user_id", ["review_count"]) if dedup else users
+    u = users.select("user_id", "review_count", "average_stars", "useful", "funny", "cool", "fans",
+                     "elite", "yelping_since")
+    u = dedupe(u, "user_id", ["review_count"]) if dedup else u
     d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     rc, stars = d("review_count"), d("average_stars")
     useful, funny, cool, fans = d("useful"), d("funny"), d("cool"), d("fans")

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewise.operators import features as FE
+from ratewise.operators import lookups as L
+from ratewise.operators import metrics as M
+from ratewise.operators import pairs as P
+from ratewise.operators import ranking as R
+from ratewise.operators import serving as V
 from ratewise.operators import stats as S
 from ratewise.sources import fixtures as FX
 
@@ -132,5 +137,196 @@ def q_interaction_features(spark, sf_dir):
     return rounded(FE.interaction_features(t.test_pairs, t.users, t.business, AS_OF_YEAR))
 
 
+# --- 2.1 / 2.2: lookups, cards, predicates ---------------------------------------------
+
+LOOKUP_USER = "42"
+LOOKUP_BUSINESS = "42"
+PAIR_USER = "7"
+PAIR_BUSINESS = "14"
+BUSINESS_FLAT = ["business_id", "name", "stars", "review_count", "is_open", "categories", "city",
+                 "state", "latitude", "longitude", "price"]
+
+
+@register("restaurant_subset")
+def q_restaurant_subset(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return L.restaurant_subset(t.reviews.select("user_id", "business_id", "stars", "pair_key"), t.business)
+
+
+@register("user_lookup")
+def q_user_lookup(spark, sf_dir):
+    return rounded(L.user_lookup(Tables(spark, sf_dir).users, LOOKUP_USER))
+
+
+@register("business_lookup")
+def q_business_lookup(spark, sf_dir):
+    return rounded(L.business_lookup(Tables(spark, sf_dir).business, LOOKUP_BUSINESS).select(*BUSINESS_FLAT))
+
+
+@register("tips_for_pair")
+def q_tips_for_pair(spark, sf_dir):
+    return L.tips_for_pair(Tables(spark, sf_dir).tips, PAIR_USER, PAIR_BUSINESS)
+
+
+@register("user_cards")
+def q_user_cards(spark, sf_dir):
+    return rounded(L.user_cards(Tables(spark, sf_dir).users))
+
+
+@register("business_cards")
+def q_business_cards(spark, sf_dir):
+    return rounded(L.business_cards(Tables(spark, sf_dir).business))
+
+
+@register("restaurant_filter")
+def q_restaurant_filter(spark, sf_dir):
+    return L.restaurant_filter(Tables(spark, sf_dir).business)
+
+
+# --- 2.7 / 2.9: pairs, top-k, splits -----------------------------------------------------
+
+N_TOP_USERS = 10
+N_CANDIDATES = 20
+N_RECOMMENDED = 6
+N_EXAMPLE_PAIRS = 3
+SEED = 42
+BALANCE_CAP = 1000
+N_FOLDS = 5
+
+
+@register("top_users")
+def q_top_users(spark, sf_dir):
+    return rounded(R.top_users(Tables(spark, sf_dir).users, N_TOP_USERS))
+
+
+@register("top_restaurants")
+def q_top_restaurants(spark, sf_dir):
+    return rounded(R.top_restaurants(Tables(spark, sf_dir).business, N_CANDIDATES))
+
+
+@register("top_recommendations")
+def q_top_recommendations(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(P.top_recommendations(t.users, t.business, N_CANDIDATES, N_RECOMMENDED))
+
+
+@register("candidate_pairs")
+def q_candidate_pairs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return P.candidate_pairs(t.users, t.business, N_CANDIDATES)
+
+
+@register("example_pairs")
+def q_example_pairs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return P.example_pairs(t.users, t.business, N_EXAMPLE_PAIRS)
+
+
+@register("sample_pair")
+def q_sample_pair(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return P.sample_pair(P.example_pairs(t.users, t.business, N_EXAMPLE_PAIRS), SEED)
+
+
+@register("strict_pairs")
+def q_strict_pairs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(P.strict_pairs(t.test_pairs.select("user_id", "business_id"), t.users, t.business))
+
+
+@register("blend_predictions")
+def q_blend_predictions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(P.blend_predictions(t.test_pairs, t.users, t.business))
+
+
+@register("holdout_split")
+def q_holdout_split(spark, sf_dir):
+    return R.holdout_split(Tables(spark, sf_dir).reviews)
+
+
+@register("balanced_sample")
+def q_balanced_sample(spark, sf_dir):
+    return R.balanced_sample(Tables(spark, sf_dir).reviews, BALANCE_CAP)
+
+
+def _scored_reviews(t: Tables, holdout_only: bool) -> DataFrame:
+    r = t.reviews
+    if holdout_only:
+        r = r.filter(R.holdout_flag("pair_key"))
+    sp = P.strict_pairs(r.select("user_id", "business_id", "pair_key", F.col("stars").alias("rating")),
+                        t.users, t.business)
+    return sp.select("user_id", "business_id", "pair_key", "rating",
+                     P.blend_score().alias("prediction"))
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return rounded(M.regression_metrics(_scored_reviews(Tables(spark, sf_dir), True)))
+
+
+@register("kfold_metrics")
+def q_kfold_metrics(spark, sf_dir):
+    return rounded(M.kfold_metrics(_scored_reviews(Tables(spark, sf_dir), False), N_FOLDS))
+
+
+@register("rating_bands")
+def q_rating_bands(spark, sf_dir):
+    from ratewise.functions import columns as X
+    t = Tables(spark, sf_dir)
+    b = P.blend_predictions(t.test_pairs, t.users, t.business)
+    return rounded(b.select("user_id", "business_id", F.col("predicted_rating").alias("rating"),
+                            X.rating_band("predicted_rating").alias("band")))
+
+
+@register("star_glyphs")
+def q_star_glyphs(spark, sf_dir):
+    from ratewise.functions import columns as X
+    t = Tables(spark, sf_dir)
+    b = P.blend_predictions(t.test_pairs, t.users, t.business)
+    return rounded(b.select("user_id", "business_id", F.col("predicted_rating").alias("rating"),
+                            X.star_glyphs("predicted_rating").alias("glyphs")))
+
+
+# --- A6 / M2: scaling --------------------------------------------------------------------
+
+@register("feature_minmax")
+def q_feature_minmax(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    pf = FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR)
+    return rounded(M.feature_minmax(pf, FE.FEATURES))
+
+
+@register("scaled_features")
+def q_scaled_features(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    fit = FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR)
+    test = FE.pair_features_unlabelled(t.test_pairs, t.users, t.business, t.tips, AS_OF_YEAR)
+    return rounded(M.scaled_features(test, fit, FE.FEATURES, ["user_id", "business_id"]))
+
+
+# --- V1 / X12-X14: serving ---------------------------------------------------------------
+
+@register("true_attributes")
+def q_true_attributes(spark, sf_dir):
+    return V.true_attributes(Tables(spark, sf_dir).business)
+
+
+@register("tenure_years")
+def q_tenure_years(spark, sf_dir):
+    return rounded(V.tenure_years(FX.users(spark, sf_dir, since_with_time=True), AS_OF_DATE))
+
+
+@register("attribute_codes")
+def q_attribute_codes(spark, sf_dir):
+    return rounded(V.attribute_codes(Tables(spark, sf_dir).business))
+
+
+@register("serving_features")
+def q_serving_features(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(V.serving_features(t.test_pairs, t.users, t.business, t.tips, AS_OF_DATE))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

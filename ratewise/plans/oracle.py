@@ -189,9 +189,10 @@ def r6(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
 
-def pair_feature_select(label: str | None) -> str:
+def pair_feature_select(label: str | None, rnd: bool = True) -> str:
     """SELECT list + FROM for the 36-slot pair features over a CTE named ``p``."""
     z = lambda e: f"coalesce(CAST({e} AS DOUBLE), 0.0e0)"
+    r6 = globals()["r6"] if rnd else (lambda e, a: f"{e} AS {a}")
     cols = ["p.user_id", "p.business_id"]
     if label:
         cols.append(f"{label} AS rating")
@@ -252,5 +253,201 @@ FROM test_pairs p LEFT JOIN uf ON p.user_id = uf.user_id LEFT JOIN bf ON p.busin
     return q
 
 
+FEATURES = USER_SLOTS + BUSINESS_SLOTS + ["ut_count", "ut_likes", "ut_avg_length", "bt_count",
+                                         "bt_likes", "bt_avg_length", "x_stars", "x_reviews",
+                                         "x_engagement", "x_star_diff"]
+
+LISTED = ("categories IS NOT NULL AND categories <> '' AND "
+          "(contains(categories, 'Restaurant') OR contains(categories, 'Food'))")
+
+USER_CARD = """user_id, coalesce(name, 'Anonymous User') AS name,
+       CAST(coalesce(review_count, 0) AS BIGINT) AS review_count,
+       round(coalesce(CAST(average_stars AS DOUBLE), 0.0e0), 6) AS average_stars,
+       CAST(coalesce(useful, 0) AS BIGINT) AS useful, CAST(coalesce(funny, 0) AS BIGINT) AS funny,
+       CAST(coalesce(cool, 0) AS BIGINT) AS cool, CAST(coalesce(fans, 0) AS BIGINT) AS fans,
+       coalesce(elite, '') AS elite, coalesce(yelping_since, '2020-01-01') AS yelping_since"""
+
+BUSINESS_CARD = """business_id, coalesce(name, 'Unknown Restaurant') AS name,
+       round(coalesce(CAST(stars AS DOUBLE), 0.0e0), 6) AS stars,
+       CAST(coalesce(review_count, 0) AS BIGINT) AS review_count,
+       coalesce(city, 'Unknown') AS city, coalesce(state, 'XX') AS state,
+       coalesce(categories, 'Restaurant') AS categories, CAST(coalesce(is_open, 0) AS BIGINT) AS is_open"""
+
+CANDIDATES = f"""
+cand AS (SELECT {BUSINESS_CARD} FROM business WHERE {LISTED}
+         ORDER BY review_count DESC, business_id LIMIT 20)"""
+
+BLEND = "least(5.0e0, greatest(1.0e0, coalesce({u}, 3.5e0) * 0.4e0 + coalesce({b}, 3.5e0) * 0.6e0))"
+
+STRICT_TEST = """
+sp AS (SELECT p.user_id, p.business_id, CAST(u.average_stars AS DOUBLE) AS average_stars,
+              CAST(b.stars AS DOUBLE) AS stars
+       FROM test_pairs p JOIN users u ON p.user_id = u.user_id
+       JOIN business b ON p.business_id = b.business_id)"""
+
+BLEND_TEST = STRICT_TEST + """,
+bl AS (SELECT user_id, business_id, """ + BLEND.format(u="average_stars", b="stars") + """ AS x FROM sp)"""
+
+HEX = "'0123456789abcdef'"
+
+
+def scored_reviews(holdout_only: bool) -> str:
+    where = "WHERE r.is_holdout" if holdout_only else ""
+    return f"""
+sc AS (SELECT r.pair_key, r.stars AS rating,
+              {BLEND.format(u="CAST(u.average_stars AS DOUBLE)", b="CAST(b.stars AS DOUBLE)")} AS prediction
+       FROM reviews r JOIN users u ON r.user_id = u.user_id
+       JOIN business b ON r.business_id = b.business_id {where})"""
+
+
+ATTR_KEYS = ["BusinessAcceptsCreditCards", "Bike_Parking", "Has_TV", "RestaurantsDelivery",
+             "RestaurantsPriceRange2", "WiFi", "Ambience", "Parking"]
+SERVING_ATTRIBUTES = ["BusinessAcceptsCreditCards", "RestaurantsPriceRange2", "WiFi", "OutdoorSeating",
+                      "BikeParking", "HasTV", "RestaurantsDelivery", "RestaurantsTakeOut", "GoodForKids",
+                      "Alcohol", "NoiseLevel", "RestaurantsAttire", "Ambience", "Parking"]
+
+
+def attr_code(v: str) -> str:
+    return (f"CASE WHEN {v} IS NULL THEN 0.0e0 "
+            f"WHEN lower(trim({v})) IN ('true', 'yes', 'free') THEN 1.0e0 "
+            f"WHEN starts_with(trim({v}), '{{') THEN "
+            f"CASE WHEN regexp_matches(lower({v}), ':\\s*\"?true\"?\\s*[,}}]') THEN 1.0e0 ELSE 0.0e0 END "
+            f"ELSE 0.0e0 END")
+
+
+def attr_col(name: str) -> str:
+    return f"a_{name}" if name in ATTR_KEYS else "CAST(NULL AS VARCHAR)"
+
+
+def _queries_2() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["restaurant_subset"] = with_ctes(REVIEWS, BUSINESS) + f"""
+SELECT user_id, business_id, stars, pair_key FROM reviews
+WHERE business_id IN (SELECT business_id FROM business WHERE {LISTED})"""
+    q["user_lookup"] = with_ctes(USERS) + """
+SELECT user_id, name, review_count, round(average_stars, 6) AS average_stars, useful, funny, cool, fans,
+       elite, yelping_since, friends FROM users WHERE user_id = '42'"""
+    q["business_lookup"] = with_ctes(BUSINESS) + """
+SELECT business_id, name, round(stars, 6) AS stars, review_count, is_open, categories, city, state,
+       round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, price
+FROM business WHERE business_id = '42'"""
+    q["tips_for_pair"] = with_ctes(TIPS) + """
+SELECT 'user' AS side, user_id, business_id, likes, text FROM tips WHERE user_id = '7'
+UNION ALL
+SELECT 'business' AS side, user_id, business_id, likes, text FROM tips WHERE business_id = '14'"""
+    q["user_cards"] = with_ctes(USERS) + f"\nSELECT {USER_CARD} FROM users"
+    q["business_cards"] = with_ctes(BUSINESS) + f"\nSELECT {BUSINESS_CARD} FROM business"
+    q["restaurant_filter"] = with_ctes(BUSINESS) + f"""
+SELECT business_id, name, categories FROM business WHERE {LISTED}"""
+    q["top_users"] = with_ctes(USERS) + f"""
+SELECT * FROM (SELECT {USER_CARD} FROM users) ORDER BY review_count DESC, user_id LIMIT 10"""
+    q["top_restaurants"] = with_ctes(BUSINESS, CANDIDATES) + "\nSELECT * FROM cand"
+    q["top_recommendations"] = with_ctes(USERS, BUSINESS, CANDIDATES) + """
+, sc AS (SELECT u.user_id, c.business_id, c.name, c.review_count,
+                round(""" + BLEND.format(u="CAST(u.average_stars AS DOUBLE)", b="c.stars") + """, 1) AS predicted_rating
+         FROM users u CROSS JOIN cand c),
+rk AS (SELECT *, row_number() OVER (PARTITION BY user_id
+                                    ORDER BY predicted_rating DESC, review_count DESC, business_id) AS rank
+       FROM sc)
+SELECT user_id, CAST(rank AS BIGINT) AS rank, business_id, name, round(predicted_rating, 6) AS predicted_rating
+FROM rk WHERE rank <= 6"""
+    q["candidate_pairs"] = with_ctes(USERS, BUSINESS, CANDIDATES) + """
+SELECT u.user_id, c.business_id FROM users u CROSS JOIN cand c"""
+    example = with_ctes(USERS, BUSINESS) + """
+, ut AS (SELECT user_id, name, row_number() OVER (ORDER BY review_count DESC, user_id) AS pair_no
+         FROM users QUALIFY pair_no <= 3),
+bt AS (SELECT business_id, name, row_number() OVER (ORDER BY review_count DESC, business_id) AS pair_no
+       FROM business QUALIFY pair_no <= 3),
+ex AS (SELECT CAST(ut.pair_no AS BIGINT) AS pair_no, ut.user_id,
+              coalesce(ut.name, 'User ' || CAST(ut.pair_no AS VARCHAR)) AS user_name,
+              substr(ut.user_id, 1, 8) AS user_short, bt.business_id,
+              coalesce(bt.name, 'Business ' || CAST(bt.pair_no AS VARCHAR)) AS business_name,
+              substr(bt.business_id, 1, 8) AS business_short
+       FROM ut JOIN bt ON ut.pair_no = bt.pair_no)"""
+    q["example_pairs"] = example + "\nSELECT * FROM ex"
+    q["sample_pair"] = example + """
+SELECT * FROM ex ORDER BY md5('42' || '|' || user_id || '|' || business_id), user_id, business_id LIMIT 1"""
+    q["strict_pairs"] = with_ctes(REVIEWS, USERS, BUSINESS, TEST_PAIRS, STRICT_TEST) + """
+SELECT user_id, business_id, round(average_stars, 6) AS average_stars, round(stars, 6) AS stars FROM sp"""
+    q["blend_predictions"] = with_ctes(REVIEWS, USERS, BUSINESS, TEST_PAIRS, BLEND_TEST) + """
+SELECT user_id, business_id, round(x, 6) AS predicted_rating FROM bl"""
+    q["rating_bands"] = with_ctes(REVIEWS, USERS, BUSINESS, TEST_PAIRS, BLEND_TEST) + """
+SELECT user_id, business_id, round(x, 6) AS rating,
+       CASE WHEN x < 2.5 THEN 'poor' WHEN x < 3.5 THEN 'acceptable' ELSE 'great' END AS band FROM bl"""
+    q["star_glyphs"] = with_ctes(REVIEWS, USERS, BUSINESS, TEST_PAIRS, BLEND_TEST) + """
+SELECT user_id, business_id, round(x, 6) AS rating,
+       repeat('★', CAST(floor(x) AS BIGINT))
+       || CASE WHEN x - floor(x) >= 0.5 THEN '½' ELSE '' END
+       || repeat('☆', CAST(greatest(0, 5 - floor(x) - CASE WHEN x - floor(x) >= 0.5 THEN 1 ELSE 0 END) AS BIGINT))
+       AS glyphs FROM bl"""
+    q["holdout_split"] = with_ctes(REVIEWS) + """
+SELECT user_id, business_id, pair_key, stars AS rating,
+       CAST(CASE WHEN is_holdout THEN 1 ELSE 0 END AS BIGINT) AS is_holdout FROM reviews"""
+    q["balanced_sample"] = with_ctes(REVIEWS) + """
+SELECT user_id, business_id, pair_key, stars AS rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY stars ORDER BY md5(pair_key), pair_key, user_id, business_id) AS rn
+  FROM reviews) WHERE rn <= 1000"""
+    q["regression_metrics"] = with_ctes(REVIEWS, USERS, BUSINESS, scored_reviews(True)) + """
+SELECT count(*) AS n, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse,
+       round(avg(abs(prediction - rating)), 6) AS mae,
+       round(coalesce(1.0e0 - sum((prediction - rating) * (prediction - rating))
+                      / nullif(var_pop(rating) * count(*), 0), 0.0e0), 6) AS r2
+FROM sc"""
+    q["kfold_metrics"] = with_ctes(REVIEWS, USERS, BUSINESS, scored_reviews(False)) + f"""
+SELECT CAST(((strpos({HEX}, substr(md5(pair_key), 1, 1)) - 1) * 16
+             + strpos({HEX}, substr(md5(pair_key), 2, 1)) - 1) % 5 AS BIGINT) AS fold,
+       count(*) AS n, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse,
+       round(avg(abs(prediction - rating)), 6) AS mae
+FROM sc GROUP BY 1"""
+    train_pf = with_ctes(REVIEWS, *FEATURE_CTES, TRAIN, "p AS (SELECT user_id, business_id, stars FROM train)") + \
+        ", pf AS (" + pair_feature_select("p.stars", rnd=False) + ")"
+    mm = ", mm AS (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in FEATURES) + \
+        " FROM pf)"
+    q["feature_minmax"] = train_pf + mm + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, round(mn_{c}, 6) AS min_value, round(mx_{c}, 6) AS max_value FROM mm"
+        for c in FEATURES)
+    test_pf = ", tp AS (SELECT user_id, business_id FROM reviews WHERE is_holdout)" + \
+        ", tf AS (" + pair_feature_select(None, rnd=False).replace("FROM p\n", "FROM tp p\n") + ")"
+    q["scaled_features"] = train_pf + mm + test_pf + "\nSELECT tf.user_id, tf.business_id, " + ", ".join(
+        f"round(CASE WHEN mx_{c} = mn_{c} THEN tf.{c} - mn_{c} "
+        f"ELSE (tf.{c} - mn_{c}) / (mx_{c} - mn_{c}) END, 6) AS {c}" for c in FEATURES) + " FROM tf, mm"
+    pairs = ", ".join(f"{{'k': '{k}', 'v': a_{k}}}" for k in ATTR_KEYS)
+    q["true_attributes"] = with_ctes(BUSINESS) + f"""
+SELECT business_id, array_to_string(list_sort(list_transform(
+         list_filter([{pairs}], lambda x: lower(x.v) = 'true'),
+         lambda x: array_to_string(list_transform(string_split(replace(x.k, '_', ' '), ' '),
+                   lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')))[1:5], ', ')
+       AS features_text FROM business"""
+    q["tenure_years"] = with_ctes(USERS_WITH_TIME) + f"""
+SELECT user_id, round(CASE WHEN regexp_full_match(yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')
+                            AND try_strptime(yelping_since, '%Y-%m-%d') IS NOT NULL
+                       THEN date_diff('day', CAST(try_strptime(yelping_since, '%Y-%m-%d') AS DATE),
+                                      DATE '{AS_OF_DATE}') / 365.0e0
+                       ELSE 0.0e0 END, 6) AS tenure_years FROM users"""
+    q["attribute_codes"] = with_ctes(BUSINESS) + "\nSELECT business_id, " + ", ".join(
+        f"round({attr_code(attr_col(a))}, 6) AS a_{a}" for a in SERVING_ATTRIBUTES) + " FROM business"
+    tenure = (f"CASE WHEN regexp_full_match(u.yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
+              f"AND try_strptime(u.yelping_since, '%Y-%m-%d') IS NOT NULL "
+              f"THEN date_diff('day', CAST(try_strptime(u.yelping_since, '%Y-%m-%d') AS DATE), "
+              f"DATE '{AS_OF_DATE}') / 365.0e0 ELSE 0.0e0 END")
+    sv = ["coalesce(CAST(u.review_count AS DOUBLE), 0.0e0)", "coalesce(CAST(u.average_stars AS DOUBLE), 3.0e0)",
+          "coalesce(CAST(u.useful AS DOUBLE), 0.0e0)", "coalesce(CAST(u.funny AS DOUBLE), 0.0e0)",
+          "coalesce(CAST(u.cool AS DOUBLE), 0.0e0)", "coalesce(CAST(u.fans AS DOUBLE), 0.0e0)", tenure,
+          "coalesce(CAST(b.review_count AS DOUBLE), 0.0e0)", "coalesce(CAST(b.stars AS DOUBLE), 3.0e0)"]
+    sv += [attr_code("b." + attr_col(a)) if a in ATTR_KEYS else attr_code(attr_col(a))
+           for a in SERVING_ATTRIBUTES]
+    sv += ["CAST(coalesce(ut.n, 0) AS DOUBLE)", "CAST(coalesce(bt.n, 0) AS DOUBLE)"]
+    sv += [f"({sv[1]}) * ({sv[8]})", f"({sv[0]}) * ({sv[7]})"] + ["0.0e0"] * 9
+    q["serving_features"] = with_ctes(REVIEWS, USERS, BUSINESS, TIPS, TEST_PAIRS) + """
+, ut AS (SELECT user_id, count(*) AS n FROM tips GROUP BY user_id),
+bt AS (SELECT business_id, count(*) AS n FROM tips GROUP BY business_id)
+SELECT p.user_id, p.business_id, """ + ", ".join(f"round({e}, 6) AS f{i}" for i, e in enumerate(sv)) + """
+FROM test_pairs p JOIN users u ON p.user_id = u.user_id JOIN business b ON p.business_id = b.business_id
+LEFT JOIN ut ON p.user_id = ut.user_id LEFT JOIN bt ON p.business_id = bt.business_id"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
-    return _queries()
+    q = _queries()
+    q.update(_queries_2())
+    return q
