@@ -328,5 +328,85 @@ def q_serving_features(spark, sf_dir):
     return rounded(V.serving_features(t.test_pairs, t.users, t.business, t.tips, AS_OF_DATE))
 
 
+# --- 2.13: readme-promised features (training part of the reviews) --------------------
+
+from ratewise.operators import history as H  # noqa: E402
+
+
+@register("user_rating_history")
+def q_user_rating_history(spark, sf_dir):
+    return rounded(H.user_rating_history(Tables(spark, sf_dir).train))
+
+
+@register("business_rating_history")
+def q_business_rating_history(spark, sf_dir):
+    return rounded(H.business_rating_history(Tables(spark, sf_dir).train))
+
+
+@register("user_recency")
+def q_user_recency(spark, sf_dir):
+    return rounded(H.user_recency(Tables(spark, sf_dir).train, AS_OF_DATE))
+
+
+@register("user_geo_mobility")
+def q_user_geo_mobility(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(H.user_geo_mobility(t.train, t.business))
+
+
+@register("category_onehot")
+def q_category_onehot(spark, sf_dir):
+    return H.category_onehot(Tables(spark, sf_dir).business)
+
+
+@register("business_attributes")
+def q_business_attributes(spark, sf_dir):
+    return rounded(H.business_attributes(Tables(spark, sf_dir).business))
+
+
+@register("operational_features")
+def q_operational_features(spark, sf_dir):
+    return rounded(H.operational_features(Tables(spark, sf_dir).business))
+
+
+@register("neighborhood_stats")
+def q_neighborhood_stats(spark, sf_dir):
+    return rounded(H.neighborhood_stats(Tables(spark, sf_dir).business))
+
+
+@register("category_affinity")
+def q_category_affinity(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(H.category_affinity(t.train, t.business))
+
+
+@register("price_alignment")
+def q_price_alignment(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(H.price_alignment(t.test_pairs, t.train, t.business))
+
+
+@register("centroid_distance")
+def q_centroid_distance(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(H.centroid_distance(t.test_pairs, t.train, t.business))
+
+
+@register("temporal_patterns")
+def q_temporal_patterns(spark, sf_dir):
+    return rounded(H.temporal_patterns(Tables(spark, sf_dir).train))
+
+
+@register("friend_ratings")
+def q_friend_ratings(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(H.friend_ratings(t.users, t.train))
+
+
+@register("tip_sentiment")
+def q_tip_sentiment(spark, sf_dir):
+    return rounded(H.tip_sentiment(Tables(spark, sf_dir).tips, FX.lexicon(spark)))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -447,7 +447,116 @@ LEFT JOIN ut ON p.user_id = ut.user_id LEFT JOIN bt ON p.business_id = bt.busine
     return q
 
 
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+
+
+def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (f"2 * 6371.0e0 * asin(least(1.0e0, sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) "
+            f"+ cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))")
+
+
+def comma_list(col: str) -> str:
+    return (f"list_filter(list_transform(string_split(coalesce({col}, ''), ','), lambda p: trim(p, {WS})), "
+            f"lambda p: p <> '')")
+
+
+def span_hours(v: str) -> str:
+    def to_h(t):
+        return (f"(TRY_CAST(split_part({t}, ':', 1) AS DOUBLE) "
+                f"+ coalesce(TRY_CAST(split_part({t}, ':', 2) AS DOUBLE), 0.0e0) / 60.0e0)")
+    s, e = to_h(f"split_part({v}, '-', 1)"), to_h(f"split_part({v}, '-', 2)")
+    return f"(CASE WHEN {e} <= {s} THEN {e} + 24.0e0 - {s} ELSE {e} - {s} END)"
+
+
+ONEHOT = ["Restaurants", "Food", "Bars", "Fast Food", "Nightlife"]
+
+
+def _queries_3() -> dict[str, str]:
+    q: dict[str, str] = {}
+    for key, col in (("user_rating_history", "user_id"), ("business_rating_history", "business_id")):
+        q[key] = with_ctes(REVIEWS, TRAIN) + f"""
+SELECT {col}, count(*) AS n, round(avg(stars), 6) AS avg_rating,
+       round(coalesce(var_samp(stars), 0.0e0), 6) AS var_rating,
+       round(min(stars), 6) AS min_rating, round(max(stars), 6) AS max_rating
+FROM train GROUP BY {col}"""
+    span = "(date_diff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1)"
+    q["user_recency"] = with_ctes(REVIEWS, TRAIN) + f"""
+SELECT user_id, count(*) AS n, CAST({span} AS BIGINT) AS active_days,
+       CAST(date_diff('day', max(CAST(ts AS DATE)), DATE '{AS_OF_DATE}') AS BIGINT) AS days_since_last,
+       round(count(*) / {span}, 6) AS reviews_per_day
+FROM train GROUP BY user_id"""
+    lr = """
+lr AS (SELECT t.user_id, b.city, b.latitude, b.longitude
+       FROM train t JOIN business b ON t.business_id = b.business_id),
+cen AS (SELECT user_id, avg(latitude) AS c_lat, avg(longitude) AS c_lon FROM lr GROUP BY user_id)"""
+    q["user_geo_mobility"] = with_ctes(REVIEWS, BUSINESS, TRAIN, lr) + f"""
+, pc AS (SELECT user_id, city, count(*) AS n FROM lr GROUP BY user_id, city),
+tc AS (SELECT user_id, city AS top_city FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, city) AS rn FROM pc) WHERE rn = 1),
+nc AS (SELECT user_id, count(*) AS cities FROM pc GROUP BY user_id),
+dk AS (SELECT lr.user_id, avg({hav('lr.latitude', 'lr.longitude', 'cen.c_lat', 'cen.c_lon')}) AS avg_km
+       FROM lr JOIN cen ON lr.user_id = cen.user_id GROUP BY lr.user_id)
+SELECT nc.user_id, CAST(nc.cities AS BIGINT) AS cities, tc.top_city, round(dk.avg_km, 4) AS avg_km
+FROM nc JOIN tc ON nc.user_id = tc.user_id JOIN dk ON nc.user_id = dk.user_id"""
+    oh = ", ".join(
+        f"CAST(CASE WHEN list_contains(cl, '{c}') THEN 1 ELSE 0 END AS BIGINT) AS cat_{'_'.join(c.lower().split())}"
+        for c in ONEHOT)
+    q["category_onehot"] = with_ctes(BUSINESS) + f"""
+SELECT business_id, {oh} FROM (SELECT business_id, {comma_list('categories')} AS cl FROM business)"""
+    q["business_attributes"] = with_ctes(BUSINESS) + f"""
+SELECT business_id, round(coalesce(TRY_CAST(a_RestaurantsPriceRange2 AS DOUBLE), 0.0e0), 6) AS price,
+       round({attr_code('a_Ambience')}, 6) AS ambience, round({attr_code('a_Parking')}, 6) AS parking,
+       round({attr_code('a_WiFi')}, 6) AS wifi FROM business"""
+    q["operational_features"] = with_ctes(BUSINESS) + f"""
+SELECT business_id, CAST(7 AS BIGINT) AS open_days, round(7 * {span_hours('day_hours')}, 6) AS weekly_hours,
+       round({attr_code('a_RestaurantsDelivery')}, 6) AS delivers FROM business"""
+    q["neighborhood_stats"] = with_ctes(BUSINESS) + """
+, c AS (SELECT city, count(*) AS city_count, avg(stars) AS city_avg_stars FROM business GROUP BY city)
+SELECT b.business_id, b.city, c.city_count, round(c.city_avg_stars, 6) AS city_avg_stars,
+       round(b.stars - c.city_avg_stars, 6) AS diff
+FROM business b JOIN c ON b.city IS NOT DISTINCT FROM c.city"""
+    q["category_affinity"] = with_ctes(REVIEWS, BUSINESS, TRAIN) + f"""
+, cats AS (SELECT business_id, unnest(list_distinct({comma_list('categories')})) AS category FROM business),
+uc AS (SELECT t.user_id, c.category, count(*) AS n, avg(t.stars) AS avg_rating
+       FROM train t JOIN cats c ON t.business_id = c.business_id GROUP BY t.user_id, c.category),
+ua AS (SELECT user_id, avg(stars) AS user_avg FROM train GROUP BY user_id)
+SELECT uc.user_id, uc.category, uc.n, round(uc.avg_rating, 6) AS avg_rating,
+       round(uc.avg_rating - ua.user_avg, 6) AS affinity
+FROM uc JOIN ua ON uc.user_id = ua.user_id"""
+    q["price_alignment"] = with_ctes(REVIEWS, BUSINESS, TRAIN, TEST_PAIRS) + """
+, up AS (SELECT t.user_id, avg(CAST(b.price AS DOUBLE)) AS user_price
+         FROM train t JOIN business b ON t.business_id = b.business_id GROUP BY t.user_id)
+SELECT p.user_id, p.business_id, round(abs(CAST(b.price AS DOUBLE) - up.user_price), 6) AS price_gap
+FROM test_pairs p JOIN business b ON p.business_id = b.business_id JOIN up ON p.user_id = up.user_id"""
+    q["centroid_distance"] = with_ctes(REVIEWS, BUSINESS, TRAIN, TEST_PAIRS, lr) + f"""
+SELECT p.user_id, p.business_id, round({hav('b.latitude', 'b.longitude', 'cen.c_lat', 'cen.c_lon')}, 4) AS km
+FROM test_pairs p JOIN business b ON p.business_id = b.business_id JOIN cen ON p.user_id = cen.user_id"""
+    dows = ", ".join(f"count(*) FILTER (WHERE dayofweek(ts) = {d - 1}) AS dow_{d}" for d in range(1, 8))
+    q["temporal_patterns"] = with_ctes(REVIEWS, TRAIN) + f"""
+SELECT user_id, count(*) AS n,
+       round((count(*) FILTER (WHERE dayofweek(ts) IN (0, 6))) / count(*), 6) AS weekend_share, {dows}
+FROM train GROUP BY user_id"""
+    q["friend_ratings"] = with_ctes(REVIEWS, USERS, TRAIN) + f"""
+, e AS (SELECT DISTINCT user_id, f AS friend_id
+        FROM (SELECT user_id, unnest({comma_list('friends')}) AS f FROM users) WHERE f <> user_id)
+SELECT e.user_id, t.business_id, count(*) AS n, round(avg(t.stars), 6) AS friend_avg
+FROM e JOIN train t ON t.user_id = e.friend_id GROUP BY e.user_id, t.business_id"""
+    q["tip_sentiment"] = with_ctes(TIPS, LEXICON) + """
+, tk AS (SELECT business_id,
+                list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'), lambda w: w <> '') AS toks
+         FROM tips),
+cnt AS (SELECT business_id, CAST(sum(len(toks)) AS BIGINT) AS tokens FROM tk GROUP BY business_id),
+sc AS (SELECT w.business_id, sum(l.weight) AS score_sum
+       FROM (SELECT business_id, unnest(toks) AS word FROM tk) w JOIN lexicon l ON w.word = l.word
+       GROUP BY w.business_id)
+SELECT cnt.business_id, cnt.tokens, round(coalesce(sc.score_sum, 0.0e0), 6) AS score_sum,
+       round(coalesce(coalesce(sc.score_sum, 0.0e0) / nullif(cnt.tokens, 0), 0.0e0), 6) AS score_avg
+FROM cnt LEFT JOIN sc ON cnt.business_id = sc.business_id"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q = _queries()
     q.update(_queries_2())
+    q.update(_queries_3())
     return q
