@@ -167,8 +167,14 @@ def attach_features(pairs: DataFrame, users: DataFrame, business: DataFrame, tip
     only when the measured side is under the broadcast threshold, and splits
     a skewed pairs partition (a hot user or business) across tasks.
     """
-    us = user_side(users, tips, as_of_year)
-    bs = business_side(business, tips, as_of_year)
+    return attach_sides(pairs, user_side(users, tips, as_of_year),
+                        business_side(business, tips, as_of_year))
+
+
+def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
+    """Pairs left-joined with prepared user and business sides; missing slots are 0.
+
+    Also used with a streaming ``pairs`` (stream-static left joins)."""
     j = pairs.join(us, "user_id", "left").join(bs, "business_id", "left")
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
     keep = [c for c in pairs.columns]

@@ -408,5 +408,65 @@ def q_tip_sentiment(spark, sf_dir):
     return rounded(H.tip_sentiment(Tables(spark, sf_dir).tips, FX.lexicon(spark)))
 
 
+# --- 2.12: model training and scoring (rows-only checks) ----------------------------------
+
+# The job keeps the reference's booster settings (2000 rounds, patience 50); the
+# registered queries use a short run so the per-round check stays affordable.
+QUERY_GBT = dict(max_iter=20, patience=5)
+_MODELS: dict = {}
+
+
+def trained(spark, sf_dir):
+    """Train once per session and folder (memoised: several queries score with it)."""
+    from ratewise.plans import model as MD
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        t = Tables(spark, sf_dir)
+        pf = FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR)
+        _MODELS[key] = MD.train(pf, MD.GBTParams(**QUERY_GBT))
+    return _MODELS[key]
+
+
+@register("gbt_train_score")
+def q_gbt_train_score(spark, sf_dir):
+    """Train on the training part; score the labelled holdout reviews."""
+    from ratewise.plans import model as MD
+    t = Tables(spark, sf_dir)
+    hold = t.reviews.filter(R.holdout_flag("pair_key"))
+    pf = FE.pair_features(hold, t.users, t.business, t.tips, AS_OF_YEAR)
+    return MD.predict(trained(spark, sf_dir).model, pf, ["user_id", "business_id", "rating"])
+
+
+@register("batch_predictions")
+def q_batch_predictions(spark, sf_dir):
+    """M5: score the unlabelled test pairs."""
+    from ratewise.plans import model as MD
+    t = Tables(spark, sf_dir)
+    pf = FE.pair_features_unlabelled(t.test_pairs, t.users, t.business, t.tips, AS_OF_YEAR)
+    return MD.predict(trained(spark, sf_dir).model, pf)
+
+
+@register("pair_prediction")
+def q_pair_prediction(spark, sf_dir):
+    """M6: save the model, load it back, score the test pairs of one user."""
+    import os
+    from ratewise.plans import model as MD
+    from ratewise.session import scratch_path
+    path = scratch_path(spark, f"model-{os.getpid()}-{abs(hash(sf_dir))}")
+    MD.save(trained(spark, sf_dir).model, path)
+    loaded = MD.load(path)
+    t = Tables(spark, sf_dir)
+    pairs = t.test_pairs.filter(F.col("user_id") == F.lit(PAIR_USER))
+    pf = FE.pair_features_unlabelled(pairs, t.users, t.business, t.tips, AS_OF_YEAR)
+    return MD.predict(loaded, pf)
+
+
+@register("category_embedding")
+def q_category_embedding(spark, sf_dir):
+    """K5: Word2Vec category vectors per business."""
+    from ratewise.plans import model as MD
+    return MD.category_embedding(Tables(spark, sf_dir).business)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -1,0 +1,192 @@
+"""Hand-made tables for the semantic decisions of SURVEY 1.4 (FIXTURES section 3)."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise import schemas
+from ratewise.functions import columns as X
+from ratewise.operators import features as FE
+from ratewise.operators import history as H
+from ratewise.operators import lookups as L
+from ratewise.operators import metrics as M
+from ratewise.operators import pairs as P
+from ratewise.operators import serving as V
+from ratewise.operators import stats as S
+from ratewise.sources import readers
+
+YEAR = 2024
+
+
+def users_df(spark, rows):
+    full = [dict(user_id=None, name=None, review_count=0, average_stars=3.0, useful=0, funny=0, cool=0,
+                 fans=0, elite=None, yelping_since=None, friends=None) | r for r in rows]
+    return spark.createDataFrame([tuple(r[f.name] for f in schemas.USERS.fields) for r in full], schemas.USERS)
+
+
+def business_df(spark, rows):
+    full = [dict(business_id=None, name=None, stars=3.0, review_count=0, is_open=1, categories=None,
+                 city=None, state=None, latitude=0.0, longitude=0.0, attributes=None, hours=None) | r
+            for r in rows]
+    return spark.createDataFrame([tuple(r[f.name] for f in schemas.BUSINESS.fields) for r in full],
+                                 schemas.BUSINESS)
+
+
+def write(path, text):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    return path
+
+
+def test_reviews_csv_header_like_row_and_quoted_comma(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "r.csv"),
+              'user_id,business_id,stars\nu1,b1,4.0\n"u,2",b2,3.0\nuser_id,business_id,stars\n')
+    rows = sorted(tuple(r) for r in readers.read_reviews_csv(spark, p).collect())
+    assert rows == [("u,2", "b2", 3.0), ("u1", "b1", 4.0)]
+
+
+def test_pairs_csv_third_column_optional(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "p.csv"), "user_id,business_id,stars\nu1,b1,\nu2,b2,5\nu3,b3\n")
+    rows = sorted((r.user_id, r.business_id) for r in readers.read_pairs_csv(spark, p).collect())
+    assert rows == [("u1", "b1"), ("u2", "b2"), ("u3", "b3")]
+
+
+def test_tolerant_json_skips_blank_and_malformed(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "u.json"),
+              '{"user_id": "u1", "review_count": 5}\n\n{"user_id": "u2", \n'
+              '{"user_id": "u3", "review_count": "abc"}\n')
+    rows = sorted((r.user_id, r.review_count) for r in readers.read_users(spark, p).collect())
+    assert rows == [("u1", 5), ("u3", None)]
+
+
+def test_missing_tip_file_gives_empty_table_and_zero_tip_slots(spark, tmp_dir):
+    tips = readers.read_tips(spark, os.path.join(tmp_dir, "nope", "tip.json"))
+    assert tips.count() == 0 and tips.schema == schemas.TIPS
+    u = users_df(spark, [dict(user_id="u1", review_count=3)])
+    b = business_df(spark, [dict(business_id="b1", review_count=2)])
+    r = spark.createDataFrame([("u1", "b1", 4.0)], schemas.REVIEWS)
+    row = FE.pair_features(r, u, b, tips, YEAR).first()
+    assert [row[c] for c in FE.TIP_SLOTS] == [0.0] * 6
+
+
+def test_duplicate_user_ids_do_not_multiply_rows(spark):
+    u = users_df(spark, [dict(user_id="u1", review_count=3), dict(user_id="u1", review_count=9)])
+    b = business_df(spark, [dict(business_id="b1")])
+    r = spark.createDataFrame([("u1", "b1", 4.0)], schemas.REVIEWS)
+    pf = FE.pair_features(r, u, b, readers.empty(spark, schemas.TIPS), YEAR)
+    rows = pf.collect()
+    assert len(rows) == 1 and rows[0]["u_review_count"] == 9.0
+
+
+def test_unknown_user_business_or_both_get_zeros(spark):
+    u = users_df(spark, [dict(user_id="u1", review_count=3, average_stars=4.0)])
+    b = business_df(spark, [dict(business_id="b1", stars=4.5, review_count=10)])
+    pairs = spark.createDataFrame([("u1", "zz"), ("zz", "b1"), ("zz", "zz")], "user_id string, business_id string")
+    out = {(r.user_id, r.business_id): r for r in
+           FE.pair_features_unlabelled(pairs, u, b, readers.empty(spark, schemas.TIPS), YEAR).collect()}
+    assert out[("u1", "zz")]["b_stars"] == 0.0 and out[("u1", "zz")]["u_average_stars"] == 4.0
+    assert out[("zz", "b1")]["u_average_stars"] == 0.0 and out[("zz", "b1")]["b_stars"] == 4.5
+    assert all(out[("zz", "zz")][c] == 0.0 for c in FE.FEATURES)
+    assert out[("u1", "zz")]["x_stars"] == 0.0
+    # strict scoring drops all three
+    assert P.strict_pairs(pairs, u, b).count() == 0
+
+
+def test_elite_and_category_counts(spark):
+    u = users_df(spark, [dict(user_id=str(i), elite=e) for i, e in enumerate([None, "", "2019", "2017,2018,2019"])])
+    got = {r.user_id: r.u_elite_years for r in FE.user_features(u, YEAR).collect()}
+    assert got == {"0": 0.0, "1": 0.0, "2": 1.0, "3": 3.0}
+    b = business_df(spark, [dict(business_id=str(i), categories=c)
+                            for i, c in enumerate([None, "", "Food", "Restaurants, Bars , food"])])
+    got = {r.business_id: (r.b_category_count, r.b_is_restaurant) for r in FE.business_features(b, YEAR).collect()}
+    # plural 'Restaurants' does not match, ' food' after trimming and lower-casing does
+    assert got == {"0": (0.0, 0.0), "1": (0.0, 0.0), "2": (1.0, 1.0), "3": (3.0, 1.0)}
+
+
+def test_join_year_null_bad_this_year_future(spark):
+    u = users_df(spark, [dict(user_id="a", yelping_since=None), dict(user_id="b", yelping_since="n/a"),
+                         dict(user_id="c", yelping_since="2024-01-01"), dict(user_id="d", yelping_since="2030-05-05")])
+    got = {r.user_id: (r.u_years_active, r.u_reviews_per_year) for r in
+           FE.user_features(u.withColumn("review_count", F.lit(6).cast("bigint")), YEAR).collect()}
+    assert got == {"a": (1.0, 6.0), "b": (1.0, 6.0), "c": (0.0, 6.0), "d": (-6.0, 6.0)}
+
+
+def test_empty_and_all_zero_users_give_zero_stats(spark):
+    empty = readers.empty(spark, schemas.USERS)
+    assert tuple(S.user_global_stats(empty).first()) == (0.0, 0.0, 0.0)
+    u = users_df(spark, [dict(user_id="a", review_count=0), dict(user_id="b", review_count=0)])
+    rows = FE.user_features(u, YEAR).collect()
+    assert all(r.u_review_ratio == 0.0 and r.u_normalized_reviews == 0.0 for r in rows)
+
+
+def test_constant_column_scales_to_zero(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "a double, c double")
+    out = M.scaled_features(df, df, ["a", "c"], []).collect()
+    assert [r.c for r in out] == [0.0, 0.0, 0.0]
+    assert sorted(r.a for r in out) == [0.0, 0.5, 1.0]
+
+
+def test_attribute_codes_from_json(spark, tmp_dir):
+    lines = [
+        '{"business_id": "1", "attributes": {"HasTV": true}}',
+        '{"business_id": "2", "attributes": {"WiFi": "Free"}}',
+        '{"business_id": "3", "attributes": {"RestaurantsPriceRange2": "2"}}',
+        '{"business_id": "4", "attributes": {"RestaurantsPriceRange2": 2}}',
+        '{"business_id": "5", "attributes": {"Ambience": {"romantic": false, "casual": true}}}',
+    ]
+    p = write(os.path.join(tmp_dir, "b.json"), "\n".join(lines) + "\n")
+    b = readers.read_business(spark, p)
+    codes = {r.business_id: r for r in V.attribute_codes(b).collect()}
+    assert codes["1"]["a_HasTV"] == 1.0
+    assert codes["2"]["a_WiFi"] == 1.0
+    assert codes["3"]["a_RestaurantsPriceRange2"] == 0.0
+    # a JSON number arrives as text in a string map: coded like text (documented divergence)
+    assert codes["4"]["a_RestaurantsPriceRange2"] == 0.0
+    assert codes["5"]["a_Ambience"] == 1.0
+    assert V.true_attributes(b).filter("business_id = '1'").first().features_text == "Hastv"
+
+
+def test_rating_bands_and_star_glyphs(spark):
+    df = spark.createDataFrame([(x,) for x in (2.49, 2.5, 3.49, 3.5, 4.5, 5.0)], "r double")
+    got = [(r.b, r.g) for r in df.select(X.rating_band("r").alias("b"), X.star_glyphs("r").alias("g")).collect()]
+    assert got == [("poor", "★★☆☆☆"), ("acceptable", "★★½☆☆"), ("acceptable", "★★★☆☆"),
+                   ("great", "★★★½☆"), ("great", "★★★★½"), ("great", "★★★★★")]
+
+
+def test_tenure_years(spark):
+    df = spark.createDataFrame([("2023-12-31",), ("2019-03-15 10:00:00",), ("n/a",), (None,), ("2024-2-1",)],
+                               "s string")
+    got = [r.t for r in df.select(X.tenure_years("s", "2024-12-31").alias("t")).collect()]
+    assert got[0] == pytest.approx(366 / 365.0) and got[1:4] == [0.0, 0.0, 0.0]
+    assert got[4] == pytest.approx(334 / 365.0)
+
+
+def test_operational_hours_cross_midnight(spark):
+    b = business_df(spark, [dict(business_id="1", hours={"Monday": "9:30-17:0", "Friday": "18:0-2:0"},
+                                 attributes={"RestaurantsDelivery": "True"})])
+    r = H.operational_features(b).first()
+    assert (r.open_days, r.weekly_hours, r.delivers) == (2, 7.5 + 8.0, 1.0)
+
+
+def test_tip_sentiment_tokens(spark):
+    tips = spark.createDataFrame([("u", "b", 1, "The cat sat ON the mat, of course!"), ("u", "b", 0, None)],
+                                 schemas.TIPS)
+    lex = spark.createDataFrame([("the", 1.0), ("on", -1.0), ("of", 2.0)], schemas.LEXICON)
+    r = H.tip_sentiment(tips, lex).first()
+    assert (r.tokens, r.score_sum) == (8, 1.0 + 1.0 - 1.0 + 2.0)
+
+
+def test_top_recommendations_ties_and_unknown_user(spark):
+    u = users_df(spark, [dict(user_id="u1", average_stars=4.0)])
+    b = business_df(spark, [dict(business_id=f"b{i}", stars=4.0, review_count=rc, categories="Food")
+                            for i, rc in enumerate([5, 5, 9, 1])])
+    rec = P.top_recommendations(u, b, candidates=3, k=2).collect()
+    assert [(r.rank, r.business_id) for r in rec] == [(1, "b2"), (2, "b0")]
+    assert L.known_users(spark.createDataFrame([("zz", "b0")], "user_id string, business_id string"), u).count() == 0
+
+
+def test_best_iteration_patience():
+    from ratewise.plans.model import best_iteration
+    assert best_iteration([5, 4, 3, 3.5, 3.6, 3.7], patience=2) == 3
+    assert best_iteration([5, 4, 3, 2, 1], patience=2) == 5
