@@ -86,7 +86,7 @@ def user_geo_mobility(reviews: DataFrame, business: DataFrame) -> DataFrame:
                   / F.sum("w")).alias("avg_km")))
     return cities.join(dist, "user_id", "inner").select(
         "user_id", F.col("cities").cast("bigint").alias("cities"), F.col("top.city").alias("top_city"),
-        F.round("avg_km", 4).alias("avg_km"))
+        X.round_half_up(F.col("avg_km"), 4).alias("avg_km"))
 
 
 def category_list(categories="categories"):
@@ -188,7 +188,7 @@ def centroid_distance(pairs: DataFrame, reviews: DataFrame, business: DataFrame)
     return (pairs.select("user_id", "business_id").join(b, "business_id", "inner")
             .join(cent, "user_id", "inner")
             .select("user_id", "business_id",
-                    F.round(X.haversine_km("latitude", "longitude", "c_lat", "c_lon"), 4).alias("km")))
+                    X.round_half_up(X.haversine_km("latitude", "longitude", "c_lat", "c_lon"), 4).alias("km")))
 
 
 def temporal_patterns(reviews: DataFrame) -> DataFrame:

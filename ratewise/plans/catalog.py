@@ -39,11 +39,11 @@ def register(name: str):
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; integer columns widened to bigint."""
-    from ratewise.functions.columns import round_half_away
+    from ratewise.functions.columns import round_half_up
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(round_half_away(F.col(f.name).cast("double"), digits).alias(f.name))
+            out.append(round_half_up(F.col(f.name).cast("double"), digits).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
         else:

@@ -555,8 +555,42 @@ FROM cnt LEFT JOIN sc ON cnt.business_id = sc.business_id"""
     return q
 
 
+def _half_up(sql: str, digits=("6", "4")) -> str:
+    """Rewrite ``round(e, d)`` (d in ``digits``) as ``floor(e * 1e<d> + 0.5) / 1e<d>``: the
+    same double arithmetic the Spark side uses for compared outputs."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, last_comma = 1, j + 6, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = k
+            elif ch == "'":
+                k = sql.index("'", k + 1)
+            k += 1
+        inner, arg = sql[j + 6:last_comma], sql[last_comma + 1:k - 1].strip()
+        inner = _half_up(inner, digits)
+        if last_comma > 0 and arg in digits:
+            out.append(sql[i:j] + f"(floor(({inner}) * 1e{arg} + 0.5) / 1e{arg})")
+        else:
+            out.append(sql[i:j] + "round(" + inner + "," + sql[last_comma + 1:k])
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
     q = _queries()
     q.update(_queries_2())
     q.update(_queries_3())
-    return q
+    return {k: _half_up(v) for k, v in q.items()}
