@@ -54,12 +54,13 @@ def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> Data
     The three global statistics are computed over all user rows (as the
     reference does) and attached as scalar subqueries.
     """
-    st = S.user_global_stats(users)
-    total, avg_stars, max_reviews = (S.scalar(st, "total_reviews"), S.scalar(st, "avg_user_stars"),
-                                     S.scalar(st, "max_user_reviews"))
     u = users.select("user_id", "review_count", "average_stars", "useful", "funny", "cool", "fans",
                      "elite", "yelping_since")
     u = dedupe(u, "user_id", ["review_count"]) if dedup else u
+    # the statistics struct is projected once, so its subquery runs once
+    u = u.withColumn("_st", S.scalars(S.user_global_stats(users)))
+    total, avg_stars, max_reviews = (F.col("_st.total_reviews"), F.col("_st.avg_user_stars"),
+                                     F.col("_st.max_user_reviews"))
     d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     rc, stars = d("review_count"), d("average_stars")
     useful, funny, cool, fans = d("useful"), d("funny"), d("cool"), d("fans")
@@ -91,10 +92,10 @@ def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> Data
 
 def business_features(business: DataFrame, as_of_year: int, dedup: bool = True) -> DataFrame:
     """2.4: business_id + 9 double features."""
-    st = S.business_global_stats(business)
-    avg_stars, max_reviews = S.scalar(st, "avg_business_stars"), S.scalar(st, "max_business_reviews")
     b = business.select("business_id", "stars", "review_count", "is_open", "categories")
     b = dedupe(b, "business_id", ["review_count"]) if dedup else b
+    b = b.withColumn("_st", S.scalars(S.business_global_stats(business)))
+    avg_stars, max_reviews = F.col("_st.avg_business_stars"), F.col("_st.max_business_reviews")
     d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     stars, rc = d("stars"), d("review_count")
     return b.select(

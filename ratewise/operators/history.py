@@ -232,17 +232,18 @@ def tokens(text_col="text"):
 def tip_sentiment(tips: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Per business: tokens in its tips, summed lexicon weight, weight per token.
 
-    Token counts come from the array size (no explode); for the score each
-    tip's tokens are exploded and equi-joined with the lexicon, then summed per
-    business with a partial aggregate. The lexicon side is broadcast by AQE when
-    small; a huge lexicon falls back to a shuffle join whose hot words AQE splits.
+    One pass: each tip's whole text is split into words and exploded (a split
+    always yields at least one element, so every business keeps a row; the
+    empty strings at the text's ends count as no token), left-joined with the
+    lexicon on the word and summed per business with a partial aggregate. AQE
+    broadcasts the lexicon when it measures small; a large lexicon falls back to
+    a shuffle join whose hot words AQE splits.
     """
-    t = tips.select("business_id", tokens().alias("toks"))
-    counts = t.groupBy("business_id").agg(F.sum(F.size("toks")).cast("bigint").alias("tokens"))
-    words = t.select("business_id", F.explode("toks").alias("word"))
-    scores = (words.join(lexicon.select("word", F.col("weight").cast("double").alias("weight")), "word", "inner")
-              .groupBy("business_id").agg(F.sum("weight").alias("score_sum")))
-    j = counts.join(scores, "business_id", "left")
-    s = F.coalesce(F.col("score_sum"), F.lit(0.0))
-    return j.select("business_id", "tokens", s.alias("score_sum"),
-                    X.safe_ratio(s, F.col("tokens")).alias("score_avg"))
+    words = tips.select("business_id", F.explode(
+        F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), TOKEN_SPLIT)).alias("word"))
+    lex = lexicon.select("word", F.col("weight").cast("double").alias("weight"))
+    agg = (words.join(lex, "word", "left").groupBy("business_id")
+           .agg(F.count_if(F.col("word") != "").alias("tokens"),
+                F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score_sum")))
+    return agg.select("business_id", "tokens", "score_sum",
+                      X.safe_ratio(F.col("score_sum"), F.col("tokens")).alias("score_avg"))

@@ -50,6 +50,12 @@ def scalar(stats: DataFrame, name: str) -> Column:
     return stats.select(name).scalar()
 
 
+def scalars(stats: DataFrame) -> Column:
+    """All statistics of a one-row aggregate as one struct-valued scalar subquery;
+    fields are read with ``col[name]`` and the subquery runs once per query."""
+    return stats.select(F.struct(*stats.columns).alias("s")).scalar()
+
+
 def feature_minmax(features: DataFrame, columns: list[str]) -> DataFrame:
     """Per-feature min and max, long form (feature, min_value, max_value).
 
