@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions import columns as X
+from ratewise.operators.joins import broadcast_if_bounded
 
 # Categories of the one-hot encoding (K4) and their column names.
 ONEHOT_CATEGORIES = ("Restaurants", "Food", "Bars", "Fast Food", "Nightlife")
@@ -236,12 +237,12 @@ def tip_sentiment(tips: DataFrame, lexicon: DataFrame) -> DataFrame:
     always yields at least one element, so every business keeps a row; the
     empty strings at the text's ends count as no token), left-joined with the
     lexicon on the word and summed per business with a partial aggregate. AQE
-    broadcasts the lexicon when it measures small; a large lexicon falls back to
-    a shuffle join whose hot words AQE splits.
+    The lexicon is broadcast after a row-count check (no shuffle of the words);
+    above the bound it is a shuffle join whose hot words AQE splits.
     """
     words = tips.select("business_id", F.explode(
         F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), TOKEN_SPLIT)).alias("word"))
-    lex = lexicon.select("word", F.col("weight").cast("double").alias("weight"))
+    lex = broadcast_if_bounded(lexicon.select("word", F.col("weight").cast("double").alias("weight")))
     agg = (words.join(lex, "word", "left").groupBy("business_id")
            .agg(F.count_if(F.col("word") != "").alias("tokens"),
                 F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score_sum")))

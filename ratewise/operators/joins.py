@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound for small lookup tables (word lists, candidate sets).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking that it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Above the bound the plain
+    DataFrame is returned and the planner (with AQE) picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
