@@ -143,6 +143,26 @@ def attribute_code(value) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def attribute_code_variant(attrs, key: str) -> Column:
+    """X14 over a ``variant`` attribute object, keeping JSON types apart:
+    boolean -> 1/0; text true/yes/free (any case) -> 1, other text -> 0; an object
+    -> 1 when a member is the boolean true; a number -> its value; else 0."""
+    v = F.try_variant_get(_c(attrs), F.lit(f"$.{key}"), "variant")
+    t = F.schema_of_variant(v)
+    text = F.lower(F.btrim(F.try_variant_get(v, F.lit("$"), "string"), F.lit(WHITESPACE)))
+    members = F.map_values(F.try_variant_get(v, F.lit("$"), "map<string,variant>"))
+    any_true = F.exists(members, lambda m: (F.schema_of_variant(m) == "BOOLEAN")
+                        & F.try_variant_get(m, F.lit("$"), "boolean"))
+    numeric = t.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | t.startswith("DECIMAL")
+    return (F.when(v.isNull(), F.lit(0.0))
+            .when(t == "BOOLEAN", F.try_variant_get(v, F.lit("$"), "boolean").cast("double"))
+            .when(t == "STRING", F.when(text.isin("true", "yes", "free"), F.lit(1.0)).otherwise(F.lit(0.0)))
+            .when(t.startswith("OBJECT"), F.when(F.coalesce(any_true, F.lit(False)), F.lit(1.0))
+                  .otherwise(F.lit(0.0)))
+            .when(numeric, F.try_variant_get(v, F.lit("$"), "double"))
+            .otherwise(F.lit(0.0)))
+
+
 def short_id(x, n: int = 8) -> Column:
     """First n characters of an id."""
     return F.substring(_c(x), 1, n)

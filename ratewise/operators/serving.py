@@ -30,6 +30,13 @@ def attribute_codes(business: DataFrame) -> DataFrame:
           for a in SERVING_ATTRIBUTES])
 
 
+def attribute_codes_variant(business: DataFrame) -> DataFrame:
+    """X14 with a variant ``attributes`` column: numbers keep their value."""
+    return business.select(
+        "business_id",
+        *[X.attribute_code_variant("attributes", a).alias(f"a_{a}") for a in SERVING_ATTRIBUTES])
+
+
 def true_attributes(business: DataFrame, n: int = 5) -> DataFrame:
     """business_id + the first n true attribute names as text."""
     return business.select("business_id", X.true_attributes("attributes", n).alias("features_text"))

@@ -44,6 +44,13 @@ BUSINESS = T.StructType([
     T.StructField("hours", T.MapType(T.StringType(), T.StringType())),
 ])
 
+# The same business table with ``attributes`` kept as a variant: JSON numbers,
+# booleans, text and nested objects stay distinguishable.
+BUSINESS_VARIANT = T.StructType([
+    f if f.name != "attributes" else T.StructField("attributes", T.VariantType())
+    for f in BUSINESS.fields
+])
+
 TIPS = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("business_id", T.StringType()),

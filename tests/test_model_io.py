@@ -101,3 +101,19 @@ def test_streaming_scoring(spark, tmp_dir):
     out = spark.read.parquet(sink)
     assert out.count() == 3
     assert out.filter((F.col("prediction") < 1) | (F.col("prediction") > 5)).count() == 0
+
+
+def test_grid_search_cross_validation(spark):
+    df = planted(spark, n=600)
+    cv = MD.grid_search(df, depths=(2, 4), steps=(0.3,), folds=2, max_iter=3, parallelism=2)
+    assert len(cv.avgMetrics) == 2 and all(m > 0 for m in cv.avgMetrics)
+    # deeper trees fit the planted signal better
+    assert cv.avgMetrics[1] < cv.avgMetrics[0]
+
+
+def test_category_embedding_vectors(spark):
+    t = Tables(spark, SF_SMALL)
+    emb = MD.category_embedding(t.business, size=4)
+    rows = emb.collect()
+    assert len(rows) == t.business.count()
+    assert all(len(r.embedding) == 4 for r in rows)

@@ -147,6 +147,23 @@ def test_attribute_codes_from_json(spark, tmp_dir):
     assert V.true_attributes(b).filter("business_id = '1'").first().features_text == "Hastv"
 
 
+def test_attribute_codes_variant_keeps_json_types(spark, tmp_dir):
+    lines = [
+        '{"business_id": "1", "attributes": {"HasTV": true, "WiFi": "Free", "Alcohol": false}}',
+        '{"business_id": "2", "attributes": {"RestaurantsPriceRange2": "2"}}',
+        '{"business_id": "3", "attributes": {"RestaurantsPriceRange2": 2, "Ambience": {"romantic": false, "casual": true}}}',
+        '{"business_id": "4", "attributes": {"Ambience": {"romantic": "True"}, "NoiseLevel": 1.5}}',
+        '{"business_id": "5"}',
+    ]
+    p = write(os.path.join(tmp_dir, "bv.json"), "\n".join(lines) + "\n")
+    codes = {r.business_id: r for r in V.attribute_codes_variant(readers.read_business_variant(spark, p)).collect()}
+    assert (codes["1"]["a_HasTV"], codes["1"]["a_WiFi"], codes["1"]["a_Alcohol"]) == (1.0, 1.0, 0.0)
+    assert codes["2"]["a_RestaurantsPriceRange2"] == 0.0
+    assert codes["3"]["a_RestaurantsPriceRange2"] == 2.0 and codes["3"]["a_Ambience"] == 1.0
+    assert codes["4"]["a_Ambience"] == 0.0 and codes["4"]["a_NoiseLevel"] == 1.5
+    assert all(codes["5"][f"a_{a}"] == 0.0 for a in V.SERVING_ATTRIBUTES)
+
+
 def test_rating_bands_and_star_glyphs(spark):
     df = spark.createDataFrame([(x,) for x in (2.49, 2.5, 3.49, 3.5, 4.5, 5.0)], "r double")
     got = [(r.b, r.g) for r in df.select(X.rating_band("r").alias("b"), X.star_glyphs("r").alias("g")).collect()]
