@@ -207,3 +207,30 @@ def test_best_iteration_patience():
     from ratewise.plans.model import best_iteration
     assert best_iteration([5, 4, 3, 3.5, 3.6, 3.7], patience=2) == 3
     assert best_iteration([5, 4, 3, 2, 1], patience=2) == 5
+
+
+def test_listed_restaurant_predicate_is_case_sensitive_substring(spark):
+    b = business_df(spark, [dict(business_id=str(i), categories=c) for i, c in
+                            enumerate(["Restaurants, Bars", "restaurant", "", None, "Fast Food", "Foodies"])])
+    got = sorted(r.business_id for r in L.restaurant_filter(b).collect())
+    assert got == ["0", "4", "5"]
+
+
+def test_tip_stats_null_likes_and_text(spark):
+    tips = spark.createDataFrame([("u", "b", None, None), ("u", "b", 3, "abcd")], schemas.TIPS)
+    r = FE.business_tip_stats(tips).first()
+    assert (r.tip_count, r.tip_likes, r.tip_avg_length) == (2, 3, 2.0)
+
+
+def test_top_users_ties_by_id(spark):
+    from ratewise.operators import ranking as R
+    u = users_df(spark, [dict(user_id=i, review_count=rc) for i, rc in
+                         [("b", 5), ("a", 5), ("c", 9), ("d", 1)]])
+    assert [r.user_id for r in R.top_users(u, 3).collect()] == ["c", "a", "b"]
+
+
+def test_category_trim_removes_tabs(spark):
+    b = business_df(spark, [dict(business_id="1", categories="Bars,\tFood\t")])
+    r = FE.business_features(b, YEAR).first()
+    assert (r.b_is_restaurant, r.b_category_count) == (1.0, 2.0)
+    assert H.category_onehot(b).first().cat_food == 1
