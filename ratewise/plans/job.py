@@ -1,9 +1,10 @@
 """The batch train-and-predict job, as one spark-submit entry.
 
-    spark-submit -m ratewise.plans.job FOLDER TEST_CSV OUTPUT [--save_model PATH]
+    spark-submit ratewise/plans/job.py FOLDER TEST_CSV OUTPUT [--save_model PATH]
+                 [--train_file NAME]
 
-FOLDER holds ``yelp_train.csv``, ``user.json``, ``business.json`` and optionally
-``tip.json``. Everything from the scans to the written predictions runs on
+FOLDER holds the training reviews CSV (``--train_file``, default ``train.csv``),
+``user.json``, ``business.json`` and optionally ``tip.json``. Everything from the scans to the written predictions runs on
 executors; only the one-row statistics, the fitted min/max row and the
 validation error per tree reach the driver.
 """
@@ -15,28 +16,36 @@ import json
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ratewise.operators import features as FE
 from ratewise.plans import model as MD
+from ratewise.session import checkpoint_dir
 from ratewise.sources import readers, writers
 
 
 def run(spark: SparkSession, folder: str, test_path: str, output_path: str,
         model_path: str | None = None, as_of_year: int | None = None,
-        params: MD.GBTParams | None = None) -> dict:
+        params: MD.GBTParams | None = None, train_file: str = "train.csv") -> dict:
     t0 = time.time()
     year = as_of_year or time.gmtime().tm_year
-    train_rows = readers.read_reviews_csv(spark, f"{folder}/yelp_train.csv")
+    train_rows = readers.read_reviews_csv(spark, f"{folder}/{train_file}")
     users = readers.read_users(spark, f"{folder}/user.json")
     business = readers.read_business(spark, f"{folder}/business.json")
     tips = readers.read_tips(spark, f"{folder}/tip.json")
     pairs = readers.read_pairs_csv(spark, test_path)
 
-    feats = FE.pair_features(train_rows, users, business, tips, year)
+    # the per-user and per-business feature sides are computed once, cut from
+    # their lineage in the shared checkpoint folder, and used for training and scoring
+    checkpoint_dir(spark)
+    us = FE.user_side(users, tips, year).checkpoint(eager=True)
+    bs = FE.business_side(business, tips, year).checkpoint(eager=True)
+    labelled = train_rows.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
+    feats = FE.attach_sides(labelled, us, bs)
     result = MD.train(feats, params or MD.GBTParams())
     if model_path:
         MD.save(result.model, model_path)
-    test_feats = FE.pair_features_unlabelled(pairs, users, business, tips, year)
+    test_feats = FE.attach_sides(pairs.select("user_id", "business_id"), us, bs)
     writers.write_predictions(MD.predict(result.model, test_feats), output_path)
     return {"trees": result.n_trees, "seconds": round(time.time() - t0, 2)}
 
@@ -50,12 +59,13 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--as_of_year", type=int, default=None)
     ap.add_argument("--max_iter", type=int, default=2000)
     ap.add_argument("--patience", type=int, default=50)
+    ap.add_argument("--train_file", default="train.csv")
     a = ap.parse_args(argv)
     from ratewise.session import build_session
     spark = build_session(app_name="ratewise-job")
     try:
         info = run(spark, a.folder_path, a.test_path, a.output_path, a.save_model, a.as_of_year,
-                   MD.GBTParams(max_iter=a.max_iter, patience=a.patience))
+                   MD.GBTParams(max_iter=a.max_iter, patience=a.patience), a.train_file)
         print(json.dumps(info))
         return info
     finally:

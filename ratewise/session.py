@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE broadcasts a join side only when its measured shuffle output is below this
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

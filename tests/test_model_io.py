@@ -63,7 +63,7 @@ def export_inputs(spark, folder):
     """The reference's file layout, written from the smallest driver tables."""
     t = Tables(spark, SF_SMALL)
     train, test = t.train, t.test_pairs
-    train.select("user_id", "business_id", "stars").coalesce(1).write.option("header", True).csv(f"{folder}/yelp_train.csv")
+    train.select("user_id", "business_id", "stars").coalesce(1).write.option("header", True).csv(f"{folder}/train.csv")
     test.select("user_id", "business_id", F.lit("").alias("stars")).coalesce(1).write.option("header", True).csv(f"{folder}/test.csv")
     t.users.write.json(f"{folder}/user.json")
     t.business.drop("price").write.json(f"{folder}/business.json")
