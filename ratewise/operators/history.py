@@ -74,8 +74,14 @@ def _centroids(located: DataFrame) -> DataFrame:
 
 def user_geo_mobility(reviews: DataFrame, business: DataFrame) -> DataFrame:
     """K3: distinct cities, most reviewed city (ties: smaller name), mean km to the
-    user's review centroid."""
-    loc = _located_reviews(reviews, business)
+    user's review centroid.
+
+    After the partial pre-aggregation per (user, place) the small table is hash
+    partitioned by user once; every later per-user aggregate and the centroid
+    join are satisfied by that partitioning (no further shuffle). A hot user is
+    bounded there by its number of distinct places, not by its review rows.
+    """
+    loc = _located_reviews(reviews, business).repartition("user_id")
     per_city = loc.groupBy("user_id", "city").agg(F.sum("w").alias("n"))
     cities = per_city.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("cities"),

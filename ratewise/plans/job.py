@@ -13,8 +13,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 import time
 
+if __name__ == "__main__":  # launched as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
