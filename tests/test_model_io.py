@@ -96,11 +96,18 @@ def test_streaming_scoring(spark, tmp_dir):
     with open(os.path.join(src, "b.csv"), "w") as f:
         f.write("user_id,business_id\n99999,3\n")
     sink = os.path.join(tmp_dir, "sink")
-    q = scoring.start_scoring(spark, src, res.model, us, bs, sink, os.path.join(tmp_dir, "ckpt"))
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    q = scoring.start_scoring(spark, src, res.model, us, bs, sink, ckpt)
     q.awaitTermination(120)
     out = spark.read.parquet(sink)
     assert out.count() == 3
     assert out.filter((F.col("prediction") < 1) | (F.col("prediction") > 5)).count() == 0
+    # a restart on the same checkpoint only scores files that arrived since
+    with open(os.path.join(src, "c.csv"), "w") as f:
+        f.write("user_id,business_id\n2,7\n")
+    q = scoring.start_scoring(spark, src, res.model, us, bs, sink, ckpt)
+    q.awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 4
 
 
 def test_grid_search_cross_validation(spark):
