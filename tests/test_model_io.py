@@ -1,6 +1,5 @@
 """Model, sinks, the batch job and the streaming path (check U rows of SURVEY 2.1 / 2.12)."""
 
-import glob
 import os
 
 import numpy as np
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 from ratewise.operators import features as FE
 from ratewise.plans import model as MD
 from ratewise.plans.catalog import Tables
-from ratewise.sources import readers, writers
+from ratewise.sources import writers
 
 from conftest import SF_SMALL
 
