@@ -37,9 +37,16 @@ def register(name: str):
     return deco
 
 
+# The rounding below exists only for the comparison with the oracle; the bench
+# switches it off to time the operators as a user runs them.
+COMPARE_ROUNDING = True
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; integer columns widened to bigint."""
     from ratewise.functions.columns import round_half_up
+    if not COMPARE_ROUNDING:
+        return df
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):

@@ -18,8 +18,16 @@ from pyspark.sql import functions as F
 DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table; the reader is built once per session and path, so a query
+    that uses a table in several places infers its schema once."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(key[1])
+    return _READS[key]
 
 
 def pair_key(orderkey, linenumber, partkey):
