@@ -42,3 +42,21 @@ def test_unknown_ids_get_zero_features(spark):
     assert unknown.count() > 0
     row = unknown.agg(*[F.max(F.abs(c)).alias(c) for c in FE.BUSINESS_SLOTS]).first()
     assert all(v == 0.0 for v in row)
+
+
+def test_holdout_split_is_stable_under_repartition(spark):
+    from ratewise.operators import ranking as R
+    t = Tables(spark, SF_SMALL)
+    a = R.holdout_split(t.reviews)
+    b = R.holdout_split(t.reviews.repartition(5, "business_id"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    share = a.agg(F.avg("is_holdout")).first()[0]
+    assert 0.07 < share < 0.14  # 26/256 expected
+
+
+def test_batch_predictions_cover_test_pairs_within_range(spark):
+    import __spark_entry__ as E
+    preds = E.queries()["batch_predictions"](spark, SF_SMALL)
+    t = Tables(spark, SF_SMALL)
+    assert preds.count() == t.test_pairs.count()
+    assert preds.filter((F.col("prediction") < 1) | (F.col("prediction") > 5) | F.col("prediction").isNull()).count() == 0
