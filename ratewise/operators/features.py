@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ratewise.functions import columns as X
 from ratewise.operators import stats as S
+from ratewise.operators.joins import broadcast_if_bounded
+from ratewise.session import checkpoint_dir
 
 # Slot names of the 36-feature vector, in slot order.
 USER_SLOTS = [
@@ -159,17 +161,33 @@ def business_side(business: DataFrame, tips: DataFrame, as_of_year: int) -> Data
     return bf.join(bt, "business_id", "full_outer")
 
 
+# A per-key side is broadcast only when a bounded count proves it has at most this
+# many rows (about 200 bytes a row: ~50 MB); larger sides use a shuffle join.
+MAX_BROADCAST_SIDE_ROWS = 250_000
+
+
+def prepared_side(side: DataFrame, max_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
+    """Materialise a per-key side once in the shared checkpoint folder, then mark it
+    for broadcast if it is proven small.
+
+    Deciding before the pairs are planned matters: when AQE only learns at runtime
+    that a side is small, the (large) pairs table has already been shuffled.
+    """
+    checkpoint_dir(side.sparkSession)
+    return broadcast_if_bounded(side.checkpoint(eager=True), max_rows)
+
+
 def attach_features(pairs: DataFrame, users: DataFrame, business: DataFrame, tips: DataFrame,
-                    as_of_year: int) -> DataFrame:
+                    as_of_year: int, max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
     """Left-join the per-key feature tables onto pairs and fill the 36 slots.
 
     Two joins in total (one per key): each side is pre-joined with its tip
-    stats, which are small per-key tables. AQE turns a join into a broadcast
-    only when the measured side is under the broadcast threshold, and splits
-    a skewed pairs partition (a hot user or business) across tasks.
+    stats. A side proven small is broadcast, so the pairs are not shuffled for
+    it; a large side is a sort-merge join in which AQE splits a skewed pairs
+    partition (a hot user or business) across tasks.
     """
-    return attach_sides(pairs, user_side(users, tips, as_of_year),
-                        business_side(business, tips, as_of_year))
+    return attach_sides(pairs, prepared_side(user_side(users, tips, as_of_year), max_broadcast_rows),
+                        prepared_side(business_side(business, tips, as_of_year), max_broadcast_rows))
 
 
 def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
@@ -185,16 +203,18 @@ def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
 
 
 def pair_features(reviews: DataFrame, users: DataFrame, business: DataFrame, tips: DataFrame,
-                  as_of_year: int) -> DataFrame:
+                  as_of_year: int, max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
     """user_id, business_id, rating and the 36 features, one row per review."""
     pairs = reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
-    return attach_features(pairs, users, business, tips, as_of_year)
+    return attach_features(pairs, users, business, tips, as_of_year, max_broadcast_rows)
 
 
 def pair_features_unlabelled(pairs: DataFrame, users: DataFrame, business: DataFrame,
-                             tips: DataFrame, as_of_year: int) -> DataFrame:
+                             tips: DataFrame, as_of_year: int,
+                             max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
     """The same job on test pairs without a label."""
-    return attach_features(pairs.select("user_id", "business_id"), users, business, tips, as_of_year)
+    return attach_features(pairs.select("user_id", "business_id"), users, business, tips, as_of_year,
+                           max_broadcast_rows)
 
 
 def interaction_features(pairs: DataFrame, users: DataFrame, business: DataFrame,

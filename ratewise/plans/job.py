@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import features as FE
 from ratewise.plans import model as MD
-from ratewise.session import checkpoint_dir
 from ratewise.sources import readers, writers
 
 
@@ -42,9 +41,8 @@ def run(spark: SparkSession, folder: str, test_path: str, output_path: str,
 
     # the per-user and per-business feature sides are computed once, cut from
     # their lineage in the shared checkpoint folder, and used for training and scoring
-    checkpoint_dir(spark)
-    us = FE.user_side(users, tips, year).checkpoint(eager=True)
-    bs = FE.business_side(business, tips, year).checkpoint(eager=True)
+    us = FE.prepared_side(FE.user_side(users, tips, year))
+    bs = FE.prepared_side(FE.business_side(business, tips, year))
     labelled = train_rows.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
     feats = FE.attach_sides(labelled, us, bs)
     result = MD.train(feats, params or MD.GBTParams())

@@ -51,7 +51,9 @@ def test_pair_features_hot_user(spark):
     cols = ["user_id", "business_id", "rating"] + FE.FEATURES
 
     def run():
-        return FE.pair_features(skewed_reviews(t), t.users, t.business, t.tips, AS_OF_YEAR)
+        # max_broadcast_rows=0: the large-side path (sort-merge joins) is the one under test
+        return FE.pair_features(skewed_reviews(t), t.users, t.business, t.tips, AS_OF_YEAR,
+                                max_broadcast_rows=0)
 
     base = collect_rounded(run(), cols)
     df = with_conf(spark, SKEW_CONF, lambda: run())
