@@ -186,8 +186,16 @@ def attach_features(pairs: DataFrame, users: DataFrame, business: DataFrame, tip
     it; a large side is a sort-merge join in which AQE splits a skewed pairs
     partition (a hot user or business) across tasks.
     """
-    return attach_sides(pairs, prepared_side(user_side(users, tips, as_of_year), max_broadcast_rows),
-                        prepared_side(business_side(business, tips, as_of_year), max_broadcast_rows))
+    us, bs = prepared_sides([user_side(users, tips, as_of_year), business_side(business, tips, as_of_year)],
+                            max_broadcast_rows)
+    return attach_sides(pairs, us, bs)
+
+
+def prepared_sides(sides: list[DataFrame], max_rows: int = MAX_BROADCAST_SIDE_ROWS) -> list[DataFrame]:
+    """``prepared_side`` for independent sides, submitted as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
+        return list(pool.map(lambda s: prepared_side(s, max_rows), sides))
 
 
 def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:

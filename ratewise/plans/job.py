@@ -41,8 +41,7 @@ def run(spark: SparkSession, folder: str, test_path: str, output_path: str,
 
     # the per-user and per-business feature sides are computed once, cut from
     # their lineage in the shared checkpoint folder, and used for training and scoring
-    us = FE.prepared_side(FE.user_side(users, tips, year))
-    bs = FE.prepared_side(FE.business_side(business, tips, year))
+    us, bs = FE.prepared_sides([FE.user_side(users, tips, year), FE.business_side(business, tips, year)])
     labelled = train_rows.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
     feats = FE.attach_sides(labelled, us, bs)
     result = MD.train(feats, params or MD.GBTParams())
