@@ -308,8 +308,11 @@ def q_feature_minmax(spark, sf_dir):
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    fit = FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR)
-    test = FE.pair_features_unlabelled(t.test_pairs, t.users, t.business, t.tips, AS_OF_YEAR)
+    # the fit part and the scored part share one preparation of the per-key sides
+    us, bs = FE.prepared_sides([FE.user_side(t.users, t.tips, AS_OF_YEAR),
+                                FE.business_side(t.business, t.tips, AS_OF_YEAR)])
+    fit = FE.attach_sides(t.train.select("user_id", "business_id", F.col("stars").alias("rating")), us, bs)
+    test = FE.attach_sides(t.test_pairs.select("user_id", "business_id"), us, bs)
     return rounded(M.scaled_features(test, fit, FE.FEATURES, ["user_id", "business_id"]))
 
 
