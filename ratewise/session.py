@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # AQE broadcasts a join side only when its measured shuffle output is below this
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # checkpointed intermediate tables are removed once no DataFrame refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
