@@ -232,6 +232,7 @@ def interaction_features(pairs: DataFrame, users: DataFrame, business: DataFrame
         "user_id", "u_average_stars", "u_review_count", "u_engagement_score", "u_star_diff")
     bf = business_features(business, as_of_year).select(
         "business_id", "b_stars", "b_review_count", "b_review_density", "b_star_diff")
+    uf, bf = prepared_sides([uf, bf])
     j = pairs.select("user_id", "business_id").join(uf, "user_id", "left").join(bf, "business_id", "left")
     cols = ["u_average_stars", "u_review_count", "u_engagement_score", "u_star_diff",
             "b_stars", "b_review_count", "b_review_density", "b_star_diff"]

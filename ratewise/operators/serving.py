@@ -71,6 +71,7 @@ def serving_features(pairs: DataFrame, users: DataFrame, business: DataFrame, ti
         *[X.attribute_code(F.element_at(F.col("attributes"), F.lit(a))).alias(f"f{9 + i}")
           for i, a in enumerate(SERVING_ATTRIBUTES)],
         F.coalesce(F.col("n_business_tips").cast("double"), F.lit(0.0)).alias("f24"))
+    us, bs = FE.prepared_sides([us, bs])
     j = pairs.select("user_id", "business_id").join(us, "user_id", "inner").join(bs, "business_id", "inner")
     slots = {f"f{i}": F.col(f"f{i}") for i in list(range(0, 25))}
     slots["f25"] = F.col("f1") * F.col("f8")
