@@ -431,11 +431,12 @@ def trained(spark, sf_dir):
     """Train once per session and folder (memoised: several queries score with it)."""
     from ratewise.plans import model as MD
     key = (id(spark), sf_dir)
-    if key not in _MODELS:
+    hit = _MODELS.get(key)
+    if hit is None or hit[0] is not spark:
         t = Tables(spark, sf_dir)
         pf = FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR)
-        _MODELS[key] = MD.train(pf, MD.GBTParams(**QUERY_GBT))
-    return _MODELS[key]
+        hit = _MODELS[key] = (spark, MD.train(pf, MD.GBTParams(**QUERY_GBT)))
+    return hit[1]
 
 
 @register("gbt_train_score")

@@ -25,9 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; the reader is built once per session and path, so a query
     that uses a table in several places infers its schema once."""
     key = (id(spark), f"{sf_dir}/{name}.parquet")
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(key[1])
-    return _READS[key]
+    hit = _READS.get(key)
+    if hit is None or hit[0] is not spark:  # the session is kept, so its id is never reused
+        hit = _READS[key] = (spark, spark.read.parquet(key[1]))
+    return hit[1]
 
 
 def pair_key(orderkey, linenumber, partkey):
