@@ -163,7 +163,10 @@ def neighborhood_stats(business: DataFrame) -> DataFrame:
 
 def category_affinity(reviews: DataFrame, business: DataFrame) -> DataFrame:
     """Per (user, category): reviews, mean rating, mean minus the user's mean."""
-    cats = business.select("business_id", F.explode(category_list()).alias("category"))
+    from ratewise.operators.features import prepared_side
+    # (business, category) rows: broadcast when proven small, so the per-(user,
+    # business) aggregate is not shuffled again by business
+    cats = prepared_side(business.select("business_id", F.explode(category_list()).alias("category")))
     r = reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("stars"))
     per_biz = (r.groupBy("user_id", "business_id")
                .agg(F.count(F.lit(1)).alias("c"), F.sum("stars").alias("s")))
