@@ -40,3 +40,8 @@ def test_lexicon_is_broadcast(spark):
 def test_scans_read_only_needed_columns(spark):
     p = plan_of(spark, "pair_features")
     assert "l_extendedprice" not in p and "l_comment" not in p and "c_acctbal" not in p
+
+
+def test_pair_features_does_not_shuffle_pairs_when_sides_are_small(spark):
+    p = plan_of(spark, "pair_features")
+    assert "Exchange hashpartitioning" not in p and p.count("BroadcastHashJoin") >= 2
