@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import chat, licenses, mixing, pii, quality, sharding, token_counts
+from ratewise.llm import chat, decontaminate, licenses, mixing, pii, quality, sharding, simhash, token_counts
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -27,6 +27,15 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.drop("n_near")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_pieces())
 
@@ -47,9 +56,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op7_token_counts, op8_chat_format,
+    return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op5_simhash, op6_decontaminate,
+                                    op7_token_counts, op8_chat_format,
                                     op9_license_scan, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_quality": quality.ORACLE, "op8_chat_format": chat.ORACLE}
+    return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE}
