@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import chat, decontaminate, licenses, mixing, pii, quality, sharding, simhash, token_counts
+from ratewise.llm import chat, decontaminate, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, token_counts
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -27,6 +27,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op5_simhash, op6_decontaminate,
+    return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op4_suffix_dedup, op5_simhash, op6_decontaminate,
                                     op7_token_counts, op8_chat_format,
                                     op9_license_scan, op10_pii)}
 
