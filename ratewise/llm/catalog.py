@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from ratewise.llm import chat, decontaminate, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, token_counts
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -59,11 +60,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op4_suffix_dedup, op5_simhash, op6_decontaminate,
                                     op7_token_counts, op8_chat_format,
-                                    op9_license_scan, op10_pii)}
+                                    op9_license_scan, op10_pii, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE}
+    return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE} | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -69,12 +69,17 @@ def numbered(df: DataFrame, group: str, slice_key: Column, order: list[Column],
 
 
 def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-                  lumps_per_shard: int = LUMPS_PER_SHARD) -> DataFrame:
-    """doc_id, size, text_crc32, law ('bytes'), shard, slot and grown_shard (null), one row per document."""
+                  lumps_per_shard: int = LUMPS_PER_SHARD, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law ('bytes'), shard, slot and grown_shard (null), one row per document.
+
+    ``keep`` names columns of ``docs`` to return as well, except those named like the columns above.
+    """
+    own = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    keep = [c for c in keep or [] if c not in own]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = written(docs.select(
-        F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("_digest")), "shard-rows")
+    facts = [F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
+             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("_digest")]
+    rows = written(docs.select(*facts), "shard-rows")
     spark = docs.sparkSession
     groups = rows.groupBy("_digest").agg(F.sum("size").alias("bytes"))
     total = rows.agg(F.sum("size")).first()[0] or 0
@@ -88,10 +93,13 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heavy = spark.createDataFrame([(bytearray(k), s) for k, s in shard_of.items() if isinstance(k, bytes)],
                                   "_digest binary, _heavy int")
     lumps = spark.createDataFrame([(k, s) for k, s in shard_of.items() if not isinstance(k, bytes)], "_lump int, _light int")
+    if keep:
+        rows = docs.select(*facts, F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_keep"))
+    kept = ["_keep"] if keep else []
     placed = (rows.withColumn("_lump", lump).join(F.broadcast(heavy), "_digest", "left")
               .join(F.broadcast(lumps), "_lump", "left")
               .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
-                      F.coalesce("_heavy", "_light").alias("shard")))
+                      F.coalesce("_heavy", "_light").alias("shard"), *kept))
     out = numbered(placed, "shard", F.struct("doc_id", "text_crc32"), [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")
     return out.select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("bigint").alias("slot"),
-                      F.lit(None).cast("int").alias("grown_shard"))
+                      F.lit(None).cast("int").alias("grown_shard"), *([F.col("_keep.*")] if keep else []))

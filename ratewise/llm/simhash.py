@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ratewise.llm.components import connected_components
 from ratewise.llm.scratch import written
+from ratewise.llm.text import row_key
 
 SHINGLE = 4
 RADIUS = 4
@@ -202,3 +203,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = placed.where("root <> fp").select("fp", "root").join(ids, "root").select("fp", "component_id").unionByName(
         ids.select(F.col("root").alias("fp"), "component_id"))
     return rows.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` of each component: the one with the smallest id (null first), and of copies under one id one.
+
+    Every row belongs to a component, so documents without near-duplicates stay.
+    """
+    key = row_key(id_col, text_col)
+    ids = docs.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("doc_id"), F.col(text_col).alias("text"))
+    kept = near_duplicates(ids, **options).where("doc_id = component_id").select(F.col("doc_id.key").alias("_key")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

@@ -39,3 +39,9 @@ def n_words(text: Column) -> Column:
 def n_chars_of(text: Column, chars: str) -> Column:
     """How many characters of ``text`` are in ``chars``, as bigint."""
     return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("bigint")
+
+
+def row_key(*columns: str) -> Column:
+    """A digest that tells rows apart by the given columns, nulls included."""
+    parts = [F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("\x1f", *parts)))
