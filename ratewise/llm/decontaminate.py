@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ratewise.llm.scratch import written
+from ratewise.llm.scratch import broadcast_if_small, written
 from ratewise.llm.text import ascii_lower, let
 
 WINDOW = 10
@@ -29,7 +29,6 @@ SLOP = 3
 #: A proximity match has at least this share of the window's distinct words within ``slop`` words of its place.
 NEAR_SHARE = 0.8
 BLOCK_WINDOWS = 50_000
-BROADCAST_BYTES = 32 << 20
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -42,12 +41,6 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def bounded(df: DataFrame, term: str = "term") -> DataFrame:
-    """``df`` marked for broadcast if its measured size is under the bound, else as it is."""
-    size = df.agg(F.sum(F.octet_length(term) + 48)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
     """wid, words, items: the distinct windows and the items (as strings) that have them."""
     ws = benchmark.select(F.col(item_col).cast("string").alias("item"), index_words(F.col(text_col)).alias("ws")).where("size(ws) > 0")
@@ -59,14 +52,14 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
 def term_counts(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     """term, n: occurrences in the whole corpus of each of ``terms`` that occurs."""
     return (docs.select(F.explode(index_words(F.col(text_col))).alias("term"))
-            .join(bounded(terms), "term").groupBy("term").agg(F.count("*").alias("n")))
+            .join(broadcast_if_small(terms, "term"), "term").groupBy("term").agg(F.count("*").alias("n")))
 
 
 def positional_index(docs: DataFrame, text_col: str, terms: DataFrame | None = None) -> DataFrame:
     """term, key, pos: the postings of the corpus, those of ``terms`` only if given; copies of a text share theirs."""
     found = docs.select(text_key(F.col(text_col)).alias("key"), F.posexplode(index_words(F.col(text_col))).alias("pos", "term"))
     if terms is not None:
-        found = found.join(bounded(terms), "term")
+        found = found.join(broadcast_if_small(terms, "term"), "term")
     return found.groupBy("term", "key", "pos").agg(F.lit(1).alias("_")).drop("_")
 
 

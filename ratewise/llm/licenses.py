@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.llm.scratch import broadcast_if_small
 from ratewise.llm.text import ascii_lower
 
 # Licence texts and notices as their authors publish them.
@@ -62,9 +63,10 @@ KNOWN = (
 )
 
 # Spellings that count as equal.
-EQUIVALENT = (("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("noncommercial", "non commercial"),
+EQUIVALENT = (("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("sublicence", "sublicense"), ("noncommercial", "non commercial"),
               ("per cent", "percent"), ("copyright owner", "copyright holder"))
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright|©|\(c\)|all rights reserved)[^\n]*$"
+#: A line that names a year or an owner after the mark; running text that happens to begin with the word stays.
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright *[(©\[<0-9]|©|\(c\) *[0-9]|all rights reserved)[^\n]*$"
 
 
 def normalised(text: Column) -> Column:
@@ -91,7 +93,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
 
     ``known`` has license and digest. Units of a document that are alike after normalising count once.
     """
-    known = known_digests(docs.sparkSession) if known is None else known
+    known = broadcast_if_small(known_digests(docs.sparkSession) if known is None else known, "digest")
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\x09\x0D]*\n"), F.split(text, "\n")))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
