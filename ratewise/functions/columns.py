@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Whitespace removed by Python's str.strip() for the characters that occur in
 # category lists (Q24); Spark's plain trim only removes spaces.
@@ -29,11 +30,6 @@ def year_prefix(x) -> Column:
     return F.substring(_c(x), 1, 4).try_cast("int")
 
 
-def to_double(x) -> Column:
-    """Numeric cast (ANSI: junk text raises, like float())."""
-    return _c(x).cast("double")
-
-
 def default(x, value) -> Column:
     """Value or a constant when missing."""
     return F.coalesce(_c(x), F.lit(value))
@@ -69,10 +65,11 @@ def clip_rating(x, lo: float = 1.0, hi: float = 5.0) -> Column:
 def round_half_up(x, digits: int) -> Column:
     """floor(x * 10^d + 0.5) / 10^d with plain double arithmetic.
 
-    Compact enough that a projection of dozens of rounded columns still fits a
-    JIT-compiled method, unlike ``round`` on doubles (BigDecimal per value)."""
-    m = float(10 ** digits)
-    return F.floor(_c(x) * m + 0.5) / m
+    Values of 2^53 / 10^d and above, where doubles have no such digits left, stay as
+    they are (``floor`` would send them through a bigint). Cheaper than ``round`` on
+    doubles, which makes a BigDecimal per value."""
+    x, m = _c(x), float(10 ** digits)
+    return F.when(F.abs(x) < 2.0 ** 53 / m, F.floor(x * m + 0.5) / m).otherwise(x)
 
 
 def round1(x) -> Column:
@@ -119,6 +116,14 @@ def true_attributes(attrs, n: int = 5) -> Column:
     return F.array_join(F.slice(names, 1, n), ", ")
 
 
+def true_attributes_variant(attrs, n: int = 5) -> Column:
+    """X12 over a ``variant``: only the boolean true counts, text 'true' does not."""
+    members = F.try_variant_get(_c(attrs), F.lit("$"), "map<string,variant>")
+    trues = F.map_keys(F.map_filter(members, lambda k, v: (F.schema_of_variant(v) == "BOOLEAN")
+                                    & F.try_variant_get(v, F.lit("$"), "boolean")))
+    return F.array_join(F.slice(F.array_sort(F.transform(trues, title_words)), 1, n), ", ")
+
+
 def tenure_years(since, as_of_date: str) -> Column:
     """Days from a 'yyyy-MM-dd' date to ``as_of_date`` / 365, 0 when it does not parse
     (a value with a time part does not parse, as in the reference)."""
@@ -163,6 +168,13 @@ def attribute_code_variant(attrs, key: str) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def attribute_coder(df):
+    """Function from an attribute name to its X14 code, for the type of ``df.attributes``."""
+    if isinstance(df.schema["attributes"].dataType, T.VariantType):
+        return lambda key: attribute_code_variant("attributes", key)
+    return lambda key: attribute_code(F.element_at(F.col("attributes"), F.lit(key)))
+
+
 def short_id(x, n: int = 8) -> Column:
     """First n characters of an id."""
     return F.substring(_c(x), 1, n)

@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 
 from ratewise.functions import columns as X
 from ratewise.operators import stats as S
-from ratewise.operators.joins import broadcast_if_bounded
-from ratewise.session import checkpoint_dir
 
 # Slot names of the 36-feature vector, in slot order.
 USER_SLOTS = [
@@ -32,6 +30,7 @@ FEATURES = USER_SLOTS + BUSINESS_SLOTS + TIP_SLOTS + INTERACTION_SLOTS
 
 # Category names that mark a restaurant for feature slot 24.
 RESTAURANT_WORDS = ("restaurant", "food")
+# Fixed value: the year that review density counts from.
 FIRST_YEAR = 2004
 
 
@@ -41,6 +40,8 @@ def dedupe(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     A ``max(struct(..))`` aggregate instead of a window: it combines map-side,
     so a key repeated on a third of the rows never lands whole in one task.
     The output is hash-partitioned by ``key``, which the following join reuses.
+    The struct makes it a sort-based aggregate; callers whose ids are unique
+    skip it (``unique_ids``).
     """
     rest = [c for c in df.columns if c != key and c not in order]
     orderable = [c for c in order + rest
@@ -50,7 +51,7 @@ def dedupe(df: DataFrame, key: str, order: list[str]) -> DataFrame:
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in order + rest]))
 
 
-def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> DataFrame:
+def user_features(users: DataFrame, as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """2.3: user_id + 17 double features.
 
     The three global statistics are computed over all user rows (as the
@@ -58,7 +59,7 @@ def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> Data
     """
     u = users.select("user_id", "review_count", "average_stars", "useful", "funny", "cool", "fans",
                      "elite", "yelping_since")
-    u = dedupe(u, "user_id", ["review_count"]) if dedup else u
+    u = u if unique_ids else dedupe(u, "user_id", ["review_count"])
     # the statistics struct is projected once, so its subquery runs once
     u = u.withColumn("_st", S.scalars(S.user_global_stats(users)))
     total, avg_stars, max_reviews = (F.col("_st.total_reviews"), F.col("_st.avg_user_stars"),
@@ -92,10 +93,10 @@ def user_features(users: DataFrame, as_of_year: int, dedup: bool = True) -> Data
     )
 
 
-def business_features(business: DataFrame, as_of_year: int, dedup: bool = True) -> DataFrame:
+def business_features(business: DataFrame, as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """2.4: business_id + 9 double features."""
     b = business.select("business_id", "stars", "review_count", "is_open", "categories")
-    b = dedupe(b, "business_id", ["review_count"]) if dedup else b
+    b = b if unique_ids else dedupe(b, "business_id", ["review_count"])
     b = b.withColumn("_st", S.scalars(S.business_global_stats(business)))
     avg_stars, max_reviews = F.col("_st.avg_business_stars"), F.col("_st.max_business_reviews")
     d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
@@ -143,9 +144,9 @@ def _interactions():
     ]
 
 
-def user_side(users: DataFrame, tips: DataFrame, as_of_year: int) -> DataFrame:
+def user_side(users: DataFrame, tips: DataFrame, as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """User features joined with the user's tip stats: one table keyed by user_id."""
-    uf = user_features(users, as_of_year)
+    uf = user_features(users, as_of_year, unique_ids)
     ut = user_tip_stats(tips).select(
         "user_id", F.col("tip_count").alias("ut_count"), F.col("tip_likes").alias("ut_likes"),
         F.col("tip_avg_length").alias("ut_avg_length"))
@@ -153,53 +154,29 @@ def user_side(users: DataFrame, tips: DataFrame, as_of_year: int) -> DataFrame:
     return uf.join(ut, "user_id", "full_outer")
 
 
-def business_side(business: DataFrame, tips: DataFrame, as_of_year: int) -> DataFrame:
-    bf = business_features(business, as_of_year)
+def business_side(business: DataFrame, tips: DataFrame, as_of_year: int, unique_ids: bool = False) -> DataFrame:
+    bf = business_features(business, as_of_year, unique_ids)
     bt = business_tip_stats(tips).select(
         "business_id", F.col("tip_count").alias("bt_count"), F.col("tip_likes").alias("bt_likes"),
         F.col("tip_avg_length").alias("bt_avg_length"))
     return bf.join(bt, "business_id", "full_outer")
 
 
-# A per-key side is broadcast only when a bounded count proves it has at most this
-# many rows (about 200 bytes a row: ~50 MB); larger sides use a shuffle join.
-MAX_BROADCAST_SIDE_ROWS = 250_000
-
-
-def prepared_side(side: DataFrame, max_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
-    """Materialise a per-key side once in the shared checkpoint folder, then mark it
-    for broadcast if it is proven small.
-
-    Deciding before the pairs are planned matters: when AQE only learns at runtime
-    that a side is small, the (large) pairs table has already been shuffled.
-    """
-    checkpoint_dir(side.sparkSession)
-    return broadcast_if_bounded(side.checkpoint(eager=True), max_rows)
-
-
 def attach_features(pairs: DataFrame, users: DataFrame, business: DataFrame, tips: DataFrame,
-                    as_of_year: int, max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
+                    as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """Left-join the per-key feature tables onto pairs and fill the 36 slots.
 
     Two joins in total (one per key): each side is pre-joined with its tip
-    stats. A side proven small is broadcast, so the pairs are not shuffled for
-    it; a large side is a sort-merge join in which AQE splits a skewed pairs
-    partition (a hot user or business) across tasks.
+    stats. Nothing runs here; AQE broadcasts a side whose measured size is
+    under the threshold, else it is a sort-merge join in which AQE splits a
+    skewed pairs partition (a hot user or business) across tasks.
     """
-    us, bs = prepared_sides([user_side(users, tips, as_of_year), business_side(business, tips, as_of_year)],
-                            max_broadcast_rows)
-    return attach_sides(pairs, us, bs)
-
-
-def prepared_sides(sides: list[DataFrame], max_rows: int = MAX_BROADCAST_SIDE_ROWS) -> list[DataFrame]:
-    """``prepared_side`` for independent sides, submitted as concurrent Spark jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
-        return list(pool.map(lambda s: prepared_side(s, max_rows), sides))
+    return attach_sides(pairs, user_side(users, tips, as_of_year, unique_ids),
+                        business_side(business, tips, as_of_year, unique_ids))
 
 
 def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
-    """Pairs left-joined with prepared user and business sides; missing slots are 0.
+    """Pairs left-joined with user and business sides; missing slots are 0.
 
     Also used with a streaming ``pairs`` (stream-static left joins)."""
     j = pairs.join(us, "user_id", "left").join(bs, "business_id", "left")
@@ -211,30 +188,62 @@ def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
 
 
 def pair_features(reviews: DataFrame, users: DataFrame, business: DataFrame, tips: DataFrame,
-                  as_of_year: int, max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
-    """user_id, business_id, rating and the 36 features, one row per review."""
+                  as_of_year: int, unique_ids: bool = False) -> DataFrame:
+    """user_id, business_id, rating and the 36 features, one row per review.
+
+    ``unique_ids`` tells that users and business have one row per id."""
     pairs = reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
-    return attach_features(pairs, users, business, tips, as_of_year, max_broadcast_rows)
+    return attach_features(pairs, users, business, tips, as_of_year, unique_ids)
 
 
 def pair_features_unlabelled(pairs: DataFrame, users: DataFrame, business: DataFrame,
-                             tips: DataFrame, as_of_year: int,
-                             max_broadcast_rows: int = MAX_BROADCAST_SIDE_ROWS) -> DataFrame:
+                             tips: DataFrame, as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """The same job on test pairs without a label."""
-    return attach_features(pairs.select("user_id", "business_id"), users, business, tips, as_of_year,
-                           max_broadcast_rows)
+    return attach_features(pairs.select("user_id", "business_id"), users, business, tips, as_of_year, unique_ids)
+
+
+# The entity columns that the four products of 2.6 are made of.
+PRODUCT_USER = ["u_average_stars", "u_review_count", "u_engagement_score", "u_star_diff"]
+PRODUCT_BUSINESS = ["b_stars", "b_review_count", "b_review_density", "b_star_diff"]
+
+
+def products(pairs: DataFrame, uf: DataFrame, bf: DataFrame) -> DataFrame:
+    """Columns of ``pairs`` + the four products from the feature sides; a missing side counts as 0."""
+    j = (pairs.join(uf.select("user_id", *PRODUCT_USER), "user_id", "left")
+         .join(bf.select("business_id", *PRODUCT_BUSINESS), "business_id", "left"))
+    j = j.select(*pairs.columns, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in PRODUCT_USER + PRODUCT_BUSINESS])
+    return j.select(*pairs.columns, *_interactions())
 
 
 def interaction_features(pairs: DataFrame, users: DataFrame, business: DataFrame,
-                         as_of_year: int) -> DataFrame:
+                         as_of_year: int, unique_ids: bool = False) -> DataFrame:
     """2.6: ids + the four products; a missing side counts as 0."""
-    uf = user_features(users, as_of_year).select(
-        "user_id", "u_average_stars", "u_review_count", "u_engagement_score", "u_star_diff")
-    bf = business_features(business, as_of_year).select(
-        "business_id", "b_stars", "b_review_count", "b_review_density", "b_star_diff")
-    uf, bf = prepared_sides([uf, bf])
-    j = pairs.select("user_id", "business_id").join(uf, "user_id", "left").join(bf, "business_id", "left")
-    cols = ["u_average_stars", "u_review_count", "u_engagement_score", "u_star_diff",
-            "b_stars", "b_review_count", "b_review_density", "b_star_diff"]
-    j = j.select("user_id", "business_id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in cols])
-    return j.select("user_id", "business_id", *_interactions())
+    return products(pairs.select("user_id", "business_id"), user_features(users, as_of_year, unique_ids),
+                    business_features(business, as_of_year, unique_ids))
+
+
+def pair_minmax(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
+    """One row mn__<slot>, mx__<slot> over the 36 features of ``pairs``, without building them.
+
+    A per-entity slot takes the values of the entities that occur in ``pairs`` (0 for an
+    unknown one), so its extremes come from the distinct ids; only the four products
+    need a pass over the pairs.
+    """
+    def of(side: DataFrame, key: str, slots: list[str]) -> DataFrame:
+        seen = pairs.select(key).distinct().join(side.select(key, *slots), key, "left")
+        return minmax(seen.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in slots]), slots)
+
+    parts = [of(us, "user_id", USER_SLOTS + TIP_SLOTS[:3]), of(bs, "business_id", BUSINESS_SLOTS + TIP_SLOTS[3:]),
+             minmax(products(pairs.select("user_id", "business_id"), us, bs), INTERACTION_SLOTS)]
+    one = parts[0]
+    for k, p in enumerate(parts[1:]):  # one-row tables: attached as scalar subqueries
+        one = one.withColumn(f"_p{k}", S.scalars(p))
+    wide = {c: F.col(c) for c in parts[0].columns}
+    for k, p in enumerate(parts[1:]):
+        wide |= {c: F.col(f"_p{k}")[c] for c in p.columns}
+    return one.select(*[wide[f"{m}__{c}"].alias(f"{m}__{c}") for c in FEATURES for m in ("mn", "mx")])
+
+
+def minmax(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: mn__<c>, mx__<c> for each column."""
+    return df.agg(*[f(F.col(c).cast("double")).alias(f"{m}__{c}") for c in columns for m, f in (("mn", F.min), ("mx", F.max))])

@@ -13,14 +13,12 @@ measure small and splits skewed partitions otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise.functions import columns as X
-from ratewise.operators.joins import broadcast_if_bounded
 
-# Categories of the one-hot encoding (K4) and their column names.
-ONEHOT_CATEGORIES = ("Restaurants", "Food", "Bars", "Fast Food", "Nightlife")
 TOKEN_SPLIT = "[^a-z]+"
 
 
@@ -59,11 +57,9 @@ def user_recency(reviews: DataFrame, as_of_date: str) -> DataFrame:
 
 
 def _located_reviews(reviews: DataFrame, business: DataFrame) -> DataFrame:
-    """Reviews with the business location, pre-aggregated to one row per (user, place)."""
-    b = business.select("business_id", "city", "latitude", "longitude")
-    return (reviews.select("user_id", "business_id").join(b, "business_id", "inner")
-            .groupBy("user_id", "business_id", "city", "latitude", "longitude")
-            .agg(F.count(F.lit(1)).alias("w")))
+    """One row per (user, place) with its number of reviews w; grouped before the join."""
+    per = reviews.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("w"))
+    return per.join(business.select("business_id", "city", "latitude", "longitude"), "business_id", "inner")
 
 
 def _centroids(located: DataFrame) -> DataFrame:
@@ -76,12 +72,10 @@ def user_geo_mobility(reviews: DataFrame, business: DataFrame) -> DataFrame:
     """K3: distinct cities, most reviewed city (ties: smaller name), mean km to the
     user's review centroid.
 
-    After the partial pre-aggregation per (user, place) the small table is hash
-    partitioned by user once; every later per-user aggregate and the centroid
-    join are satisfied by that partitioning (no further shuffle). A hot user is
-    bounded there by its number of distinct places, not by its review rows.
+    The places of a user meet their centroid in a plain join on the user, so AQE can
+    split a user with very many places.
     """
-    loc = _located_reviews(reviews, business).repartition("user_id")
+    loc = _located_reviews(reviews, business)
     per_city = loc.groupBy("user_id", "city").agg(F.sum("w").alias("n"))
     cities = per_city.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("cities"),
@@ -103,28 +97,37 @@ def category_list(categories="categories"):
     return F.array_distinct(F.filter(parts, lambda p: p != ""))
 
 
-def onehot_name(cat: str) -> str:
-    return "cat_" + "_".join(cat.lower().split())
+def category_vocabulary(business: DataFrame) -> DataFrame:
+    """K4, fitted: category, slot (0-based, ordered by two md5 digits, then name).
 
+    Numbered in two levels (counts of the 256 leading digits, then within one of them),
+    so that a large vocabulary is not sorted in one task.
+    """
+    cats = (business.select(F.explode(category_list()).alias("category")).distinct()
+            .withColumn("_b", F.substring(F.md5("category"), 1, 2)))
+    counts = cats.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))  # 256 rows
+    offsets = counts.select("_b", F.coalesce(before, F.lit(0)).alias("_before"))
+    ranked = cats.withColumn("_k", F.row_number().over(Window.partitionBy("_b").orderBy("category")))
+    return ranked.join(offsets, "_b").select("category", (F.col("_before") + F.col("_k") - 1).alias("slot"))
 
-def category_onehot(business: DataFrame, categories=ONEHOT_CATEGORIES) -> DataFrame:
-    """K4: one 0/1 column per listed category; in-row array tests, no explode."""
-    lst = category_list()
-    return business.select(
-        "business_id",
-        *[F.when(F.array_contains(lst, F.lit(c)), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-          .alias(onehot_name(c)) for c in categories])
+
+def category_onehot(business: DataFrame) -> DataFrame:
+    """K4: business_id, category, slot: the slots that are 1 in the one-hot vector of each
+    business over the whole fitted vocabulary (a business without categories has slot null)."""
+    listed = business.select("business_id", F.explode_outer(category_list()).alias("category"))
+    return listed.join(category_vocabulary(business), "category", "left").select("business_id", "category", "slot")
 
 
 def business_attributes(business: DataFrame) -> DataFrame:
-    """K6: price level, ambience, parking and wifi codes from the attribute map."""
-    a = lambda k: F.element_at(F.col("attributes"), F.lit(k))
+    """K6: price level, ambience, parking and wifi codes from the attributes."""
+    code = X.attribute_coder(business)
+    price = (F.try_variant_get("attributes", F.lit("$.RestaurantsPriceRange2"), "double")
+             if isinstance(business.schema["attributes"].dataType, T.VariantType)
+             else F.element_at(F.col("attributes"), F.lit("RestaurantsPriceRange2")).try_cast("double"))
     return business.select(
-        "business_id",
-        F.coalesce(a("RestaurantsPriceRange2").try_cast("double"), F.lit(0.0)).alias("price"),
-        X.attribute_code(a("Ambience")).alias("ambience"),
-        X.attribute_code(a("Parking")).alias("parking"),
-        X.attribute_code(a("WiFi")).alias("wifi"))
+        "business_id", F.coalesce(price, F.lit(0.0)).alias("price"), code("Ambience").alias("ambience"),
+        code("Parking").alias("parking"), code("WiFi").alias("wifi"))
 
 
 def _span_hours(v):
@@ -143,7 +146,7 @@ def operational_features(business: DataFrame) -> DataFrame:
     weekly = F.aggregate(days, F.lit(0.0), lambda acc, v: acc + F.coalesce(_span_hours(v), F.lit(0.0)))
     return business.select(
         "business_id", F.size(days).cast("bigint").alias("open_days"), weekly.alias("weekly_hours"),
-        X.attribute_code(F.element_at(F.col("attributes"), F.lit("RestaurantsDelivery"))).alias("delivers"))
+        X.attribute_coder(business)("RestaurantsDelivery").alias("delivers"))
 
 
 def neighborhood_stats(business: DataFrame) -> DataFrame:
@@ -162,25 +165,28 @@ def neighborhood_stats(business: DataFrame) -> DataFrame:
 
 
 def category_affinity(reviews: DataFrame, business: DataFrame) -> DataFrame:
-    """Per (user, category): reviews, mean rating, mean minus the user's mean."""
-    from ratewise.operators.features import prepared_side
-    # (business, category) rows: broadcast when proven small, so the per-(user,
-    # business) aggregate is not shuffled again by business
-    cats = prepared_side(business.select("business_id", F.explode(category_list()).alias("category")))
-    r = reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("stars"))
-    per_biz = (r.groupBy("user_id", "business_id")
-               .agg(F.count(F.lit(1)).alias("c"), F.sum("stars").alias("s")))
-    uc = (per_biz.join(cats, "business_id", "inner").groupBy("user_id", "category")
-          .agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("avg_rating")))
-    ua = per_biz.groupBy("user_id").agg((F.sum("s") / F.sum("c")).alias("user_avg"))
-    return uc.join(ua, "user_id", "inner").select(
-        "user_id", "category", "n", "avg_rating", (F.col("avg_rating") - F.col("user_avg")).alias("affinity"))
+    """Per (user, category): reviews, mean rating, mean minus the user's mean.
+
+    One pass over the reviews: every business also has a null category, whose row of a
+    user is the user's total. The window sees one row per category of a user.
+    """
+    per = (reviews.groupBy("user_id", "business_id")
+           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("stars").cast("double")).alias("s")))
+    cats = business.select("business_id", category_list().alias("cats"))
+    total = F.array(F.lit(None).cast("string"))
+    uc = (per.join(cats, "business_id", "left")
+          .select("user_id", "c", "s", F.explode(F.concat(F.coalesce("cats", F.array().cast("array<string>")), total)).alias("category"))
+          .groupBy("user_id", "category").agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("avg_rating")))
+    user_avg = F.max(F.when(F.col("category").isNull(), F.col("avg_rating"))).over(Window.partitionBy("user_id"))
+    return (uc.withColumn("user_avg", user_avg).filter(F.col("category").isNotNull())
+            .select("user_id", "category", "n", "avg_rating", (F.col("avg_rating") - F.col("user_avg")).alias("affinity")))
 
 
 def user_price_means(reviews: DataFrame, business: DataFrame) -> DataFrame:
+    per = reviews.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("w"))
     b = business.select("business_id", F.col("price").cast("double").alias("price"))
-    return (reviews.select("user_id", "business_id").join(b, "business_id", "inner")
-            .groupBy("user_id").agg(F.avg("price").alias("user_price")))
+    priced = per.join(b, "business_id", "inner").filter(F.col("price").isNotNull())
+    return priced.groupBy("user_id").agg((F.sum(F.col("w") * F.col("price")) / F.sum("w")).alias("user_price"))
 
 
 def price_alignment(pairs: DataFrame, reviews: DataFrame, business: DataFrame) -> DataFrame:
@@ -201,15 +207,21 @@ def centroid_distance(pairs: DataFrame, reviews: DataFrame, business: DataFrame)
                     X.round_half_up(X.haversine_km("latitude", "longitude", "c_lat", "c_lon"), 4).alias("km")))
 
 
+# First hour of each part of the day.
+DAY_PARTS = (("night", 0), ("morning", 6), ("afternoon", 12), ("evening", 18))
+
+
 def temporal_patterns(reviews: DataFrame) -> DataFrame:
-    """Reviews per weekday (dow_1 = Sunday .. dow_7 = Saturday) and weekend share."""
-    dow = F.dayofweek(F.col("ts"))
+    """Reviews per weekday (dow_1 = Sunday .. dow_7 = Saturday), weekend share and
+    reviews per six-hour part of the day (time of day of ``ts``)."""
+    dow, hour = F.dayofweek(F.col("ts")), F.hour(F.col("ts"))
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.count_if(dow == d).alias(f"dow_{d}") for d in range(1, 8)]
+    aggs += [F.count_if((hour >= h) & (hour < h + 6)).alias(f"n_{part}") for part, h in DAY_PARTS]
     agg = reviews.groupBy("user_id").agg(*aggs)
     return agg.select("user_id", "n",
                       ((F.col("dow_1") + F.col("dow_7")) / F.col("n")).alias("weekend_share"),
-                      *[F.col(f"dow_{d}") for d in range(1, 8)])
+                      *[F.col(f"dow_{d}") for d in range(1, 8)], *[F.col(f"n_{part}") for part, _ in DAY_PARTS])
 
 
 def friend_edges(users: DataFrame) -> DataFrame:
@@ -219,24 +231,25 @@ def friend_edges(users: DataFrame) -> DataFrame:
             .filter(F.col("friend_id") != F.col("user_id")))
 
 
-def friend_ratings(users: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Per (user, business): number of friends' reviews and their mean rating.
+def friend_ratings(pairs: DataFrame, users: DataFrame, reviews: DataFrame) -> DataFrame:
+    """For each distinct pair to be scored: number of the user's friends' reviews of the
+    business and their mean (null without any), and the friends' mean over all businesses.
 
-    Reviews are first reduced to one row per (reviewer, business), so the
-    edge join carries sums instead of review rows.
+    Only the given pairs meet the friend edges, so the work follows pairs x friends, not
+    everything that friends ever reviewed. Reviews are reduced to sums before each join.
     """
-    per = (reviews.groupBy("user_id", "business_id")
-           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("stars").cast("double")).alias("s"))
-           .withColumnRenamed("user_id", "friend_id"))
-    e = friend_edges(users)
-    return (e.join(per, "friend_id", "inner").groupBy("user_id", "business_id")
-            .agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("friend_avg")))
-
-
-def tokens(text_col="text"):
-    """Lower-cased words split on non-letters, empty parts dropped (whole text)."""
-    t = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    return F.filter(F.split(t, TOKEN_SPLIT), lambda w: w != "")
+    stars = F.col("stars").cast("double")
+    per = (reviews.groupBy(F.col("user_id").alias("friend_id"), "business_id")
+           .agg(F.count(F.lit(1)).alias("c"), F.sum(stars).alias("s")))
+    totals = reviews.groupBy(F.col("user_id").alias("friend_id")).agg(F.count(F.lit(1)).alias("tc"), F.sum(stars).alias("ts"))
+    edges = friend_edges(users)
+    wanted = pairs.select("user_id", "business_id").distinct()
+    by_pair = (wanted.join(edges, "user_id").join(per, ["friend_id", "business_id"])
+               .groupBy("user_id", "business_id").agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("friend_avg")))
+    by_user = (edges.join(totals, "friend_id").groupBy("user_id")
+               .agg((F.sum("ts") / F.sum("tc")).alias("friends_overall_avg")))
+    return (wanted.join(by_pair, ["user_id", "business_id"], "left").join(by_user, "user_id", "left")
+            .select("user_id", "business_id", F.coalesce("n", F.lit(0)).alias("n"), "friend_avg", "friends_overall_avg"))
 
 
 def tip_sentiment(tips: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -245,13 +258,13 @@ def tip_sentiment(tips: DataFrame, lexicon: DataFrame) -> DataFrame:
     One pass: each tip's whole text is split into words and exploded (a split
     always yields at least one element, so every business keeps a row; the
     empty strings at the text's ends count as no token), left-joined with the
-    lexicon on the word and summed per business with a partial aggregate. AQE
-    The lexicon is broadcast after a row-count check (no shuffle of the words);
-    above the bound it is a shuffle join whose hot words AQE splits.
+    lexicon on the word and summed per business with a partial aggregate. The
+    planner broadcasts a lexicon whose size it knows to be small (no shuffle of
+    the words); above that it is a shuffle join whose hot words AQE splits.
     """
     words = tips.select("business_id", F.explode(
         F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), TOKEN_SPLIT)).alias("word"))
-    lex = broadcast_if_bounded(lexicon.select("word", F.col("weight").cast("double").alias("weight")))
+    lex = lexicon.select("word", F.col("weight").cast("double").alias("weight"))
     agg = (words.join(lex, "word", "left").groupBy("business_id")
            .agg(F.count_if(F.col("word") != "").alias("tokens"),
                 F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score_sum")))

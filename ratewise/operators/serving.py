@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise.functions import columns as X
 from ratewise.operators import features as FE
@@ -23,23 +24,19 @@ DEFAULT_STARS = 3.0
 
 
 def attribute_codes(business: DataFrame) -> DataFrame:
-    """business_id + one numeric code per serving attribute (a_<name>)."""
-    return business.select(
-        "business_id",
-        *[X.attribute_code(F.element_at(F.col("attributes"), F.lit(a))).alias(f"a_{a}")
-          for a in SERVING_ATTRIBUTES])
-
+    """business_id + one numeric code per serving attribute (a_<name>).
 
-def attribute_codes_variant(business: DataFrame) -> DataFrame:
-    """X14 with a variant ``attributes`` column: numbers keep their value."""
-    return business.select(
-        "business_id",
-        *[X.attribute_code_variant("attributes", a).alias(f"a_{a}") for a in SERVING_ATTRIBUTES])
+    ``attributes`` is a variant (JSON types kept apart: a number keeps its value) or a
+    ``map<string,string>`` (a number is text there and codes as text does)."""
+    code = X.attribute_coder(business)
+    return business.select("business_id", *[code(a).alias(f"a_{a}") for a in SERVING_ATTRIBUTES])
 
 
 def true_attributes(business: DataFrame, n: int = 5) -> DataFrame:
     """business_id + the first n true attribute names as text."""
-    return business.select("business_id", X.true_attributes("attributes", n).alias("features_text"))
+    names = (X.true_attributes_variant if isinstance(business.schema["attributes"].dataType, T.VariantType)
+             else X.true_attributes)
+    return business.select("business_id", names("attributes", n).alias("features_text"))
 
 
 def tenure_years(users: DataFrame, as_of_date: str) -> DataFrame:
@@ -48,12 +45,13 @@ def tenure_years(users: DataFrame, as_of_date: str) -> DataFrame:
 
 
 def serving_features(pairs: DataFrame, users: DataFrame, business: DataFrame, tips: DataFrame,
-                     as_of_date: str) -> DataFrame:
+                     as_of_date: str, unique_ids: bool = False) -> DataFrame:
     """V1: ids + f0..f35 for strict pairs (both ids known, as in the page flow)."""
-    u = FE.dedupe(users.select("user_id", "review_count", "average_stars", "useful", "funny", "cool",
-                               "fans", "yelping_since"), "user_id", ["review_count"])
-    b = FE.dedupe(business.select("business_id", "review_count", "stars", "attributes"),
-                  "business_id", ["review_count"])
+    u = users.select("user_id", "review_count", "average_stars", "useful", "funny", "cool", "fans", "yelping_since")
+    b = business.select("business_id", "review_count", "stars", "attributes")
+    if not unique_ids:
+        u, b = FE.dedupe(u, "user_id", ["review_count"]), FE.dedupe(b, "business_id", ["review_count"])
+    code = X.attribute_coder(b)
     ut = tips.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user_tips"))
     bt = tips.groupBy("business_id").agg(F.count(F.lit(1)).alias("n_business_tips"))
     us = u.join(ut, "user_id", "left").select(
@@ -68,10 +66,8 @@ def serving_features(pairs: DataFrame, users: DataFrame, business: DataFrame, ti
         "business_id",
         F.coalesce(F.col("review_count").cast("double"), F.lit(0.0)).alias("f7"),
         F.coalesce(F.col("stars").cast("double"), F.lit(DEFAULT_STARS)).alias("f8"),
-        *[X.attribute_code(F.element_at(F.col("attributes"), F.lit(a))).alias(f"f{9 + i}")
-          for i, a in enumerate(SERVING_ATTRIBUTES)],
+        *[code(a).alias(f"f{9 + i}") for i, a in enumerate(SERVING_ATTRIBUTES)],
         F.coalesce(F.col("n_business_tips").cast("double"), F.lit(0.0)).alias("f24"))
-    us, bs = FE.prepared_sides([us, bs])
     j = pairs.select("user_id", "business_id").join(us, "user_id", "inner").join(bs, "business_id", "inner")
     slots = {f"f{i}": F.col(f"f{i}") for i in list(range(0, 25))}
     slots["f25"] = F.col("f1") * F.col("f8")

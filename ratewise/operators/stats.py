@@ -45,28 +45,14 @@ def global_stats(users: DataFrame, business: DataFrame) -> DataFrame:
     )
 
 
-def scalar(stats: DataFrame, name: str) -> Column:
-    """One statistic of a one-row aggregate as a scalar-subquery column."""
-    return stats.select(name).scalar()
-
-
 def scalars(stats: DataFrame) -> Column:
     """All statistics of a one-row aggregate as one struct-valued scalar subquery;
     fields are read with ``col[name]`` and the subquery runs once per query."""
     return stats.select(F.struct(*stats.columns).alias("s")).scalar()
 
 
-def feature_minmax(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Per-feature min and max, long form (feature, min_value, max_value).
-
-    One aggregate over all feature columns (a single scan), then ``stack`` to
-    turn the one wide row into one row per feature.
-    """
-    aggs = []
-    for c in columns:
-        aggs += [F.min(F.col(c).cast("double")).alias(f"mn__{c}"),
-                 F.max(F.col(c).cast("double")).alias(f"mx__{c}")]
-    wide = features.agg(*aggs)
+def feature_minmax(wide: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, min_value, max_value) from a one-row table of mn__<c>, mx__<c>."""
     stack = "stack({n}, {items}) AS (feature, min_value, max_value)".format(
         n=len(columns),
         items=", ".join(f"'{c}', `mn__{c}`, `mx__{c}`" for c in columns))

@@ -16,8 +16,11 @@ reviews AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS user_id,
          CASE WHEN l.l_linenumber = 7 THEN 'x' || CAST(l.l_partkey AS VARCHAR)
               ELSE CAST(l.l_partkey AS VARCHAR) END AS business_id,
-         1.0e0 + (CAST(l.l_quantity AS BIGINT) - 1) % 5 AS stars,
-         l.l_shipdate AS ts,
+         least(5.0e0, greatest(1.0e0, floor((13 + ((o.o_custkey * 7) % 41 * 6) // 10
+           + CASE WHEN l.l_partkey % 6 IN (3, 4) THEN CASE WHEN o.o_custkey % 5 IN (2, 4) THEN 9 ELSE -6 END ELSE 0 END
+           + CASE WHEN l.l_partkey % 4 <> 0 THEN CASE WHEN (o.o_custkey * 7) % 41 >= 20 THEN 8 ELSE 1 END ELSE 0 END
+           + CAST(l.l_quantity AS BIGINT) % 10 - 4) / 10.0e0))) AS stars,
+         CAST(l.l_shipdate AS TIMESTAMP) + to_minutes(CAST((l.l_orderkey * 37 + l.l_linenumber * 101) % 1440 AS BIGINT)) AS ts,
          CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-'
            || CAST(l.l_partkey AS VARCHAR) AS pair_key,
          substr(md5(CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-'
@@ -38,8 +41,8 @@ users AS (
          CASE WHEN c.c_custkey % 11 = 0 THEN NULL WHEN c.c_custkey % 11 = 1 THEN 'n/a'
               ELSE CAST(2005 + c.c_custkey % 16 AS VARCHAR) || '-03-15'{time_part} END AS yelping_since,
          CASE WHEN c.c_custkey % 7 = 0 THEN ''
-              ELSE CAST((c.c_custkey + 1) % 100 AS VARCHAR) || ', '
-                   || CAST((c.c_custkey * 3) % 100 AS VARCHAR) END AS friends
+              ELSE CAST((c.c_custkey + 1) % (SELECT count(*) FROM customer) AS VARCHAR) || ', '
+                   || CAST((c.c_custkey * 3) % (SELECT count(*) FROM customer) AS VARCHAR) END AS friends
   FROM customer c
   LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) oc
     ON c.c_custkey = oc.o_custkey
@@ -55,8 +58,8 @@ USERS = USERS_TMPL.format(time_part="")
 USERS_WITH_TIME = USERS_TMPL.format(
     time_part=" || CASE WHEN c.c_custkey % 11 = 2 THEN ' 10:00:00' ELSE '' END")
 
-# Attribute values are exposed as one column each in the oracle (a_<key>), which
-# is what the map lookups of the Spark side evaluate to.
+# Attribute values are exposed as one column of JSON text each in the oracle (a_<key>,
+# null when missing), which is what the variant lookups of the Spark side see.
 BUSINESS = """
 business AS (
   SELECT CAST(p.p_partkey AS VARCHAR) AS business_id, p.p_name AS name,
@@ -72,24 +75,32 @@ business AS (
          CAST(1 + p.p_size % 4 AS BIGINT) AS price,
          CAST(8 + p.p_partkey % 4 AS VARCHAR) || ':30-' || CAST((17 + p.p_partkey % 9) % 24 AS VARCHAR)
            || ':0' AS day_hours,
-         CASE WHEN p.p_partkey % 5 = 0 THEN 'False' ELSE 'True' END AS a_BusinessAcceptsCreditCards,
-         CASE WHEN p.p_partkey % 3 = 0 THEN 'true' ELSE 'false' END AS a_Bike_Parking,
-         CASE WHEN p.p_partkey % 2 = 0 THEN 'true' ELSE 'false' END AS a_Has_TV,
-         CASE WHEN p.p_partkey % 4 = 1 THEN 'yes' ELSE 'no' END AS a_RestaurantsDelivery,
-         CAST(1 + p.p_size % 4 AS VARCHAR) AS a_RestaurantsPriceRange2,
-         CASE WHEN p.p_partkey % 3 = 1 THEN 'free' ELSE 'no' END AS a_WiFi,
+         CASE WHEN p.p_partkey % 5 = 0 THEN 'false' ELSE 'true' END AS a_BusinessAcceptsCreditCards,
+         CASE WHEN p.p_partkey % 3 <> 0 THEN CAST(1 + p.p_size % 4 AS VARCHAR)
+              ELSE '"' || CAST(1 + p.p_size % 4 AS VARCHAR) || '"' END AS a_RestaurantsPriceRange2,
+         CASE p.p_partkey % 3 WHEN 1 THEN '"free"' WHEN 2 THEN '"no"' ELSE '"Paid"' END AS a_WiFi,
+         CASE p.p_partkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN '"True"' WHEN 2 THEN 'false' END AS a_OutdoorSeating,
+         CASE WHEN p.p_partkey % 3 = 0 THEN 'true' ELSE 'false' END AS a_BikeParking,
+         CASE WHEN p.p_partkey % 2 = 0 THEN 'true' ELSE 'false' END AS a_HasTV,
+         CASE WHEN p.p_partkey % 4 = 1 THEN '"yes"' ELSE '"no"' END AS a_RestaurantsDelivery,
+         CASE WHEN p.p_partkey % 7 < 3 THEN 'true' WHEN p.p_partkey % 7 = 3 THEN '"FREE"' ELSE 'false' END AS a_RestaurantsTakeOut,
+         CASE WHEN p.p_partkey % 2 = 1 THEN 'true' WHEN p.p_partkey % 6 <> 0 THEN 'false' END AS a_GoodForKids,
+         CASE p.p_partkey % 5 WHEN 1 THEN '"full_bar"' WHEN 2 THEN 'true' ELSE '"none"' END AS a_Alcohol,
+         CAST(p.p_partkey % 8 AS VARCHAR) || '.5' AS a_NoiseLevel,
+         CASE WHEN p.p_partkey % 9 = 0 THEN '" Yes "' ELSE '"casual"' END AS a_RestaurantsAttire,
          CASE WHEN p.p_partkey % 2 = 1 THEN '{"romantic": false, "casual": true}'
-              ELSE '{"romantic": false, "casual": false}' END AS a_Ambience,
+              ELSE '{"romantic": false, "casual": "true"}' END AS a_Ambience,
          CASE WHEN p.p_size % 5 = 2 THEN '{"garage": true, "street": false}'
-              ELSE '{"garage": false, "street": false}' END AS a_Parking
+              ELSE '{"garage": false, "street": false}' END AS a_Parking,
+         CASE WHEN p.p_partkey % 10 = 3 THEN 'true' ELSE 'false' END AS a_Dogs_Allowed
   FROM part p
   LEFT JOIN (SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey) lc
     ON p.p_partkey = lc.l_partkey)"""
 
 TIPS = """
 tips AS (
-  SELECT CAST((doc_id * 13) % 150 AS VARCHAR) AS user_id,
-         CAST((doc_id * 7) % 200 AS VARCHAR) AS business_id,
+  SELECT CAST((doc_id * 13) % (SELECT count(*) FROM customer) AS VARCHAR) AS user_id,
+         CAST((doc_id * 7) % (SELECT count(*) FROM part) AS VARCHAR) AS business_id,
          CAST(CASE WHEN doc_id % 10 = 0 THEN NULL ELSE n_chars % 7 END AS BIGINT) AS likes,
          CASE WHEN doc_id % 9 = 0 THEN NULL ELSE text END AS text
   FROM documents)"""
@@ -288,9 +299,6 @@ sp AS (SELECT p.user_id, p.business_id, CAST(u.average_stars AS DOUBLE) AS avera
 BLEND_TEST = STRICT_TEST + """,
 bl AS (SELECT user_id, business_id, """ + BLEND.format(u="average_stars", b="stars") + """ AS x FROM sp)"""
 
-HEX = "'0123456789abcdef'"
-
-
 def scored_reviews(holdout_only: bool) -> str:
     where = "WHERE r.is_holdout" if holdout_only else ""
     return f"""
@@ -300,23 +308,19 @@ sc AS (SELECT r.pair_key, r.stars AS rating,
        JOIN business b ON r.business_id = b.business_id {where})"""
 
 
-ATTR_KEYS = ["BusinessAcceptsCreditCards", "Bike_Parking", "Has_TV", "RestaurantsDelivery",
-             "RestaurantsPriceRange2", "WiFi", "Ambience", "Parking"]
 SERVING_ATTRIBUTES = ["BusinessAcceptsCreditCards", "RestaurantsPriceRange2", "WiFi", "OutdoorSeating",
                       "BikeParking", "HasTV", "RestaurantsDelivery", "RestaurantsTakeOut", "GoodForKids",
                       "Alcohol", "NoiseLevel", "RestaurantsAttire", "Ambience", "Parking"]
+ATTR_KEYS = SERVING_ATTRIBUTES + ["Dogs_Allowed"]
 
 
 def attr_code(v: str) -> str:
-    return (f"CASE WHEN {v} IS NULL THEN 0.0e0 "
-            f"WHEN lower(trim({v})) IN ('true', 'yes', 'free') THEN 1.0e0 "
-            f"WHEN starts_with(trim({v}), '{{') THEN "
-            f"CASE WHEN regexp_matches(lower({v}), ':\\s*\"?true\"?\\s*[,}}]') THEN 1.0e0 ELSE 0.0e0 END "
-            f"ELSE 0.0e0 END")
-
-
-def attr_col(name: str) -> str:
-    return f"a_{name}" if name in ATTR_KEYS else "CAST(NULL AS VARCHAR)"
+    """Code of a JSON value given as text: boolean, string, object, number or missing."""
+    return (f"CASE WHEN {v} IS NULL OR {v} = 'false' THEN 0.0e0 WHEN {v} = 'true' THEN 1.0e0 "
+            f"WHEN starts_with({v}, '\"') THEN CASE WHEN lower(trim(trim({v}, '\"'))) IN ('true', 'yes', 'free') "
+            f"THEN 1.0e0 ELSE 0.0e0 END "
+            f"WHEN starts_with({v}, '{{') THEN CASE WHEN contains({v}, ': true') THEN 1.0e0 ELSE 0.0e0 END "
+            f"ELSE TRY_CAST({v} AS DOUBLE) END")
 
 
 def _queries_2() -> dict[str, str]:
@@ -386,16 +390,15 @@ SELECT user_id, business_id, pair_key, stars AS rating,
     q["balanced_sample"] = with_ctes(REVIEWS) + """
 SELECT user_id, business_id, pair_key, stars AS rating FROM (
   SELECT *, row_number() OVER (PARTITION BY stars ORDER BY md5(pair_key), pair_key, user_id, business_id) AS rn
-  FROM reviews) WHERE rn <= 1000"""
+  FROM reviews) WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM reviews GROUP BY stars))"""
     q["regression_metrics"] = with_ctes(REVIEWS, USERS, BUSINESS, scored_reviews(True)) + """
 SELECT count(*) AS n, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse,
        round(avg(abs(prediction - rating)), 6) AS mae,
        round(coalesce(1.0e0 - sum((prediction - rating) * (prediction - rating))
                       / nullif(var_pop(rating) * count(*), 0), 0.0e0), 6) AS r2
 FROM sc"""
-    q["kfold_metrics"] = with_ctes(REVIEWS, USERS, BUSINESS, scored_reviews(False)) + f"""
-SELECT CAST(((strpos({HEX}, substr(md5(pair_key), 1, 1)) - 1) * 16
-             + strpos({HEX}, substr(md5(pair_key), 2, 1)) - 1) % 5 AS BIGINT) AS fold,
+    q["kfold_metrics"] = with_ctes(REVIEWS, USERS, BUSINESS, scored_reviews(False)) + """
+SELECT CAST(CAST('0x' || substr(md5(pair_key), 9, 8) AS BIGINT) % 5 AS BIGINT) AS fold,
        count(*) AS n, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse,
        round(avg(abs(prediction - rating)), 6) AS mae
 FROM sc GROUP BY 1"""
@@ -414,7 +417,7 @@ FROM sc GROUP BY 1"""
     pairs = ", ".join(f"{{'k': '{k}', 'v': a_{k}}}" for k in ATTR_KEYS)
     q["true_attributes"] = with_ctes(BUSINESS) + f"""
 SELECT business_id, array_to_string(list_sort(list_transform(
-         list_filter([{pairs}], lambda x: lower(x.v) = 'true'),
+         list_filter([{pairs}], lambda x: x.v = 'true'),
          lambda x: array_to_string(list_transform(string_split(replace(x.k, '_', ' '), ' '),
                    lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')))[1:5], ', ')
        AS features_text FROM business"""
@@ -425,7 +428,7 @@ SELECT user_id, round(CASE WHEN regexp_full_match(yelping_since, '\\d{{4}}-\\d{{
                                       DATE '{AS_OF_DATE}') / 365.0e0
                        ELSE 0.0e0 END, 6) AS tenure_years FROM users"""
     q["attribute_codes"] = with_ctes(BUSINESS) + "\nSELECT business_id, " + ", ".join(
-        f"round({attr_code(attr_col(a))}, 6) AS a_{a}" for a in SERVING_ATTRIBUTES) + " FROM business"
+        f"round({attr_code('a_' + a)}, 6) AS a_{a}" for a in SERVING_ATTRIBUTES) + " FROM business"
     tenure = (f"CASE WHEN regexp_full_match(u.yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
               f"AND try_strptime(u.yelping_since, '%Y-%m-%d') IS NOT NULL "
               f"THEN date_diff('day', CAST(try_strptime(u.yelping_since, '%Y-%m-%d') AS DATE), "
@@ -434,8 +437,7 @@ SELECT user_id, round(CASE WHEN regexp_full_match(yelping_since, '\\d{{4}}-\\d{{
           "coalesce(CAST(u.useful AS DOUBLE), 0.0e0)", "coalesce(CAST(u.funny AS DOUBLE), 0.0e0)",
           "coalesce(CAST(u.cool AS DOUBLE), 0.0e0)", "coalesce(CAST(u.fans AS DOUBLE), 0.0e0)", tenure,
           "coalesce(CAST(b.review_count AS DOUBLE), 0.0e0)", "coalesce(CAST(b.stars AS DOUBLE), 3.0e0)"]
-    sv += [attr_code("b." + attr_col(a)) if a in ATTR_KEYS else attr_code(attr_col(a))
-           for a in SERVING_ATTRIBUTES]
+    sv += [attr_code("b.a_" + a) for a in SERVING_ATTRIBUTES]
     sv += ["CAST(coalesce(ut.n, 0) AS DOUBLE)", "CAST(coalesce(bt.n, 0) AS DOUBLE)"]
     sv += [f"({sv[1]}) * ({sv[8]})", f"({sv[0]}) * ({sv[7]})"] + ["0.0e0"] * 9
     q["serving_features"] = with_ctes(REVIEWS, USERS, BUSINESS, TIPS, TEST_PAIRS) + """
@@ -468,9 +470,6 @@ def span_hours(v: str) -> str:
     return f"(CASE WHEN {e} <= {s} THEN {e} + 24.0e0 - {s} ELSE {e} - {s} END)"
 
 
-ONEHOT = ["Restaurants", "Food", "Bars", "Fast Food", "Nightlife"]
-
-
 def _queries_3() -> dict[str, str]:
     q: dict[str, str] = {}
     for key, col in (("user_rating_history", "user_id"), ("business_rating_history", "business_id")):
@@ -498,13 +497,14 @@ dk AS (SELECT lr.user_id, avg({hav('lr.latitude', 'lr.longitude', 'cen.c_lat', '
        FROM lr JOIN cen ON lr.user_id = cen.user_id GROUP BY lr.user_id)
 SELECT nc.user_id, CAST(nc.cities AS BIGINT) AS cities, tc.top_city, round(dk.avg_km, 4) AS avg_km
 FROM nc JOIN tc ON nc.user_id = tc.user_id JOIN dk ON nc.user_id = dk.user_id"""
-    oh = ", ".join(
-        f"CAST(CASE WHEN list_contains(cl, '{c}') THEN 1 ELSE 0 END AS BIGINT) AS cat_{'_'.join(c.lower().split())}"
-        for c in ONEHOT)
     q["category_onehot"] = with_ctes(BUSINESS) + f"""
-SELECT business_id, {oh} FROM (SELECT business_id, {comma_list('categories')} AS cl FROM business)"""
+, c AS (SELECT business_id, unnest(CASE WHEN len(cl) = 0 THEN [NULL] ELSE cl END) AS category
+        FROM (SELECT business_id, list_distinct({comma_list('categories')}) AS cl FROM business)),
+v AS (SELECT category, row_number() OVER (ORDER BY substr(md5(category), 1, 2), category) - 1 AS slot
+      FROM (SELECT DISTINCT category FROM c WHERE category IS NOT NULL))
+SELECT c.business_id, c.category, v.slot FROM c LEFT JOIN v ON c.category = v.category"""
     q["business_attributes"] = with_ctes(BUSINESS) + f"""
-SELECT business_id, round(coalesce(TRY_CAST(a_RestaurantsPriceRange2 AS DOUBLE), 0.0e0), 6) AS price,
+SELECT business_id, round(coalesce(TRY_CAST(trim(a_RestaurantsPriceRange2, '"') AS DOUBLE), 0.0e0), 6) AS price,
        round({attr_code('a_Ambience')}, 6) AS ambience, round({attr_code('a_Parking')}, 6) AS parking,
        round({attr_code('a_WiFi')}, 6) AS wifi FROM business"""
     q["operational_features"] = with_ctes(BUSINESS) + f"""
@@ -532,15 +532,23 @@ FROM test_pairs p JOIN business b ON p.business_id = b.business_id JOIN up ON p.
 SELECT p.user_id, p.business_id, round({hav('b.latitude', 'b.longitude', 'cen.c_lat', 'cen.c_lon')}, 4) AS km
 FROM test_pairs p JOIN business b ON p.business_id = b.business_id JOIN cen ON p.user_id = cen.user_id"""
     dows = ", ".join(f"count(*) FILTER (WHERE dayofweek(ts) = {d - 1}) AS dow_{d}" for d in range(1, 8))
+    parts = ", ".join(f"count(*) FILTER (WHERE hour(ts) >= {h} AND hour(ts) < {h + 6}) AS n_{part}" for part, h in
+                      (("night", 0), ("morning", 6), ("afternoon", 12), ("evening", 18)))
     q["temporal_patterns"] = with_ctes(REVIEWS, TRAIN) + f"""
 SELECT user_id, count(*) AS n,
-       round((count(*) FILTER (WHERE dayofweek(ts) IN (0, 6))) / count(*), 6) AS weekend_share, {dows}
+       round((count(*) FILTER (WHERE dayofweek(ts) IN (0, 6))) / count(*), 6) AS weekend_share, {dows}, {parts}
 FROM train GROUP BY user_id"""
-    q["friend_ratings"] = with_ctes(REVIEWS, USERS, TRAIN) + f"""
+    q["friend_ratings"] = with_ctes(REVIEWS, USERS, TRAIN, TEST_PAIRS) + f"""
 , e AS (SELECT DISTINCT user_id, f AS friend_id
-        FROM (SELECT user_id, unnest({comma_list('friends')}) AS f FROM users) WHERE f <> user_id)
-SELECT e.user_id, t.business_id, count(*) AS n, round(avg(t.stars), 6) AS friend_avg
-FROM e JOIN train t ON t.user_id = e.friend_id GROUP BY e.user_id, t.business_id"""
+        FROM (SELECT user_id, unnest({comma_list('friends')}) AS f FROM users) WHERE f <> user_id),
+p AS (SELECT DISTINCT user_id, business_id FROM test_pairs),
+bp AS (SELECT p.user_id, p.business_id, count(*) AS n, avg(t.stars) AS friend_avg
+       FROM p JOIN e ON p.user_id = e.user_id
+       JOIN train t ON t.user_id = e.friend_id AND t.business_id = p.business_id GROUP BY p.user_id, p.business_id),
+bu AS (SELECT e.user_id, avg(t.stars) AS overall FROM e JOIN train t ON t.user_id = e.friend_id GROUP BY e.user_id)
+SELECT p.user_id, p.business_id, CAST(coalesce(bp.n, 0) AS BIGINT) AS n, round(bp.friend_avg, 6) AS friend_avg,
+       round(bu.overall, 6) AS friends_overall_avg
+FROM p LEFT JOIN bp ON p.user_id = bp.user_id AND p.business_id = bp.business_id LEFT JOIN bu ON p.user_id = bu.user_id"""
     q["tip_sentiment"] = with_ctes(TIPS, LEXICON) + """
 , tk AS (SELECT business_id,
                 list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'), lambda w: w <> '') AS toks

@@ -31,29 +31,43 @@ DEFAULT_CONF = {
 }
 
 
+# Settings that can only be made before the context starts.
+STATIC = ("spark.cleaner.referenceTracking.cleanCheckpoints", "spark.ui.enabled", "spark.ui.showConsoleProgress")
+
+
 def build_session(master: str | None = None, app_name: str = "ratewise",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """The running session or a new one. Defaults are set only for keys that neither the
+    submitted configuration nor the running session sets; ``extra`` always applies."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    submitted = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if not SparkSession.getActiveSession() and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        for k in STATIC:
+            if f"{k}=" not in submitted:
+                builder = builder.config(k, DEFAULT_CONF[k])
+    for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    defaults = {k: v for k, v in DEFAULT_CONF.items() if k not in STATIC}
+    if shuffle_partitions:
+        defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    present = {r.key for r in spark.sql("SET").collect()} | {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for k, v in defaults.items():
+        if k not in present:
+            spark.conf.set(k, v)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a fresh folder under the system temp dir is created and
-    registered, so clusters always use the folder they name.
+    Reads ``spark.checkpoint.dir`` from the session. Where it is unset, a local master gets
+    a fresh folder under the system temp dir; on a cluster, whose machines do not share
+    that one, it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +76,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         configured = tempfile.mkdtemp(prefix="ratewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

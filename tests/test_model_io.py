@@ -32,6 +32,68 @@ def test_planted_signal_beats_the_mean(spark):
     assert pred.filter((F.col("prediction") < 1) | (F.col("prediction") > 5)).count() == 0
 
 
+def test_early_stopping_ends_the_run_and_cuts_the_trees(spark):
+    res = MD.train(planted(spark), MD.GBTParams(step_size=0.5, max_depth=4, patience=4, first_stage=8, partitions=4))
+    assert res.stopped_early and 1 < res.n_trees < len(res.validation_errors) < 2000
+    assert len(res.model.stages[-1].trees) == res.n_trees
+    assert res.validation_errors[res.n_trees - 1] == min(res.validation_errors)
+
+
+def test_training_does_not_depend_on_the_inputs_partitioning(spark):
+    df = planted(spark, n=600)
+    params = MD.GBTParams(max_iter=4, step_size=0.3, max_depth=3, patience=0, partitions=4)
+    a, b = (MD.predict(MD.train(x, params).model, df).orderBy("business_id").collect()
+            for x in (df.repartition(3), df.repartition(7, "rating")))
+    assert all(abs(x.prediction - y.prediction) < 1e-9 for x, y in zip(a, b))
+
+
+def test_pair_store_is_strict(spark, tmp_dir):
+    t = Tables(spark, SF_SMALL)
+    pf = FE.pair_features(t.train, t.users, t.business, t.tips, 2024)
+    res = MD.train(pf, MD.GBTParams(max_iter=3, patience=0, step_size=0.3, max_depth=3, partitions=4))
+    us, bs = FE.user_side(t.users, t.tips, 2024), FE.business_side(t.business, t.tips, 2024)
+    MD.write_store(tmp_dir, res.model, us, bs)
+    store = MD.open_store(spark, tmp_dir)
+    one = MD.predict_pair(store, "7", "14").collect()
+    assert len(one) == 1 and 1 <= one[0].prediction <= 5
+    pairs = spark.createDataFrame([("7", "14")], "user_id string, business_id string")
+    same = MD.predict(res.model, FE.attach_sides(pairs, us, bs)).first()
+    assert abs(same.prediction - one[0].prediction) < 1e-9
+    for u, b in (("nobody", "14"), ("7", "nothing"), ("nobody", "nothing")):
+        assert MD.predict_pair(store, u, b).count() == 0
+
+
+def test_model_recommendations_are_personal(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["top_recommendations_model"](spark, SF_SMALL).collect()
+    sets = {}
+    for r in rows:
+        sets.setdefault(r.user_id, set()).add(r.business_id)
+    assert len({frozenset(s) for s in sets.values()}) > 1 and all(len(s) == 6 for s in sets.values())
+
+
+def test_registered_model_beats_the_mean_and_the_blend(spark):
+    import __spark_entry__ as E
+    from ratewise.operators import metrics as M
+    from ratewise.plans import catalog as C
+    q = E.queries()
+    got = M.regression_metrics(q["gbt_train_score"](spark, SF_SMALL)).first()
+    assert got.r2 > 0.3 and got.rmse < q["regression_metrics"](spark, SF_SMALL).first().rmse
+    assert C.trained(spark, SF_SMALL).stopped_early and C.trained(spark, SF_SMALL).n_trees > 1
+
+
+def test_a_fold_does_not_see_its_own_extremes(spark):
+    df = planted(spark, n=600).withColumn("_k", F.col("business_id"))
+    params = MD.GBTParams(max_iter=2, step_size=0.3, max_depth=2, patience=0, partitions=4)
+    base = {r.fold: r.rmse for r in MD.kfold_model_metrics(df, "_k", params, 2).collect()}
+    from ratewise.operators import metrics as M
+    fold_1 = M.fold_id("_k", 2) == 1
+    huge = df.withColumn("u_fans", F.when(fold_1, F.col("u_fans") * 1e6).otherwise(F.col("u_fans")))
+    moved = {r.fold: r.rmse for r in MD.kfold_model_metrics(huge, "_k", params, 2).collect()}
+    # fold 1 is scored by a model of fold 0 alone, which the extremes in fold 1 do not touch
+    assert abs(base[1] - moved[1]) < 0.05
+
+
 def test_model_save_load_same_predictions(spark, tmp_dir):
     df = planted(spark, n=400)
     res = MD.train(df, MD.GBTParams(max_iter=3, step_size=0.3, max_depth=3, patience=0))
@@ -54,8 +116,11 @@ def test_stats_cache(spark, tmp_dir):
     t = Tables(spark, SF_SMALL)
     path = os.path.join(tmp_dir, "stats")
     first = writers.global_stats_cached(spark, t.users, t.business, path).first()
-    again = writers.global_stats_cached(spark, t.users.limit(0), t.business.limit(0), path).first()
+    again = writers.global_stats_cached(spark, t.users, t.business, path).first()
     assert first == again and first.n_users == t.users.count()
+    # stored statistics of other tables are not used
+    stale = writers.global_stats_cached(spark, t.users.limit(0), t.business.limit(0), path).first()
+    assert stale.n_users == 0 and stale.total_reviews == 0.0
 
 
 def export_inputs(spark, folder):

@@ -44,20 +44,38 @@ def test_reviews_csv_header_like_row_and_quoted_comma(spark, tmp_dir):
               'user_id,business_id,stars\nu1,b1,4.0\n"u,2",b2,3.0\nuser_id,business_id,stars\n')
     rows = sorted(tuple(r) for r in readers.read_reviews_csv(spark, p).collect())
     assert rows == [("u,2", "b2", 3.0), ("u1", "b1", 4.0)]
+    assert readers.rejected_reviews(spark, p).count() == 0
+
+
+def test_reviews_csv_bad_rating_raises_and_is_listed(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "r.csv"), "user_id,business_id,stars\nu1,b1,4.0\nu2,b2,good\nu3,,1\n")
+    with pytest.raises(Exception, match="no review"):
+        readers.read_reviews_csv(spark, p).collect()
+    assert sorted(r.user_id for r in readers.rejected_reviews(spark, p).collect()) == ["u2", "u3"]
 
 
 def test_pairs_csv_third_column_optional(spark, tmp_dir):
-    p = write(os.path.join(tmp_dir, "p.csv"), "user_id,business_id,stars\nu1,b1,\nu2,b2,5\nu3,b3\n")
-    rows = sorted((r.user_id, r.business_id) for r in readers.read_pairs_csv(spark, p).collect())
-    assert rows == [("u1", "b1"), ("u2", "b2"), ("u3", "b3")]
+    p = write(os.path.join(tmp_dir, "p.csv"), "user_id,business_id,stars\nu1,b1,\nu2,b2,5\nu3,b3\nu4,,1\n")
+    rows = sorted((r.user_id, r.business_id or "") for r in readers.read_pairs_csv(spark, p).collect())
+    assert rows == [("u1", "b1"), ("u2", "b2"), ("u3", "b3"), ("u4", "")]
 
 
 def test_tolerant_json_skips_blank_and_malformed(spark, tmp_dir):
     p = write(os.path.join(tmp_dir, "u.json"),
               '{"user_id": "u1", "review_count": 5}\n\n{"user_id": "u2", \n'
               '{"user_id": "u3", "review_count": "abc"}\n')
-    rows = sorted((r.user_id, r.review_count) for r in readers.read_users(spark, p).collect())
+    rows = sorted((r.user_id, r.review_count) for r in readers.read_users(spark, p, tolerant=True).collect())
     assert rows == [("u1", 5), ("u3", None)]
+    with pytest.raises(Exception):
+        readers.read_users(spark, p).collect()
+
+
+def test_only_a_missing_path_counts_as_no_tips(spark, tmp_dir):
+    assert readers.read_stats(spark, os.path.join(tmp_dir, "nope")) is None
+    with pytest.raises(Exception):
+        readers.read_tips(spark, "nosuchstore://x/tip.json")
+    with pytest.raises(Exception):
+        readers.read_stats(spark, "nosuchstore://x/stats")
 
 
 def test_missing_tip_file_gives_empty_table_and_zero_tip_slots(spark, tmp_dir):
@@ -122,7 +140,7 @@ def test_empty_and_all_zero_users_give_zero_stats(spark):
 
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "a double, c double")
-    out = M.scaled_features(df, df, ["a", "c"], []).collect()
+    out = M.scaled_features(df, FE.minmax(df, ["a", "c"]), ["a", "c"], []).collect()
     assert [r.c for r in out] == [0.0, 0.0, 0.0]
     assert sorted(r.a for r in out) == [0.0, 0.5, 1.0]
 
@@ -156,7 +174,7 @@ def test_attribute_codes_variant_keeps_json_types(spark, tmp_dir):
         '{"business_id": "5"}',
     ]
     p = write(os.path.join(tmp_dir, "bv.json"), "\n".join(lines) + "\n")
-    codes = {r.business_id: r for r in V.attribute_codes_variant(readers.read_business_variant(spark, p)).collect()}
+    codes = {r.business_id: r for r in V.attribute_codes(readers.read_business_variant(spark, p)).collect()}
     assert (codes["1"]["a_HasTV"], codes["1"]["a_WiFi"], codes["1"]["a_Alcohol"]) == (1.0, 1.0, 0.0)
     assert codes["2"]["a_RestaurantsPriceRange2"] == 0.0
     assert codes["3"]["a_RestaurantsPriceRange2"] == 2.0 and codes["3"]["a_Ambience"] == 1.0
@@ -164,6 +182,11 @@ def test_attribute_codes_variant_keeps_json_types(spark, tmp_dir):
     assert all(codes["5"][f"a_{a}"] == 0.0 for a in V.SERVING_ATTRIBUTES)
 
 
+def test_true_attributes_variant_counts_booleans_only(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "bt.json"), '{"business_id": "1", "attributes": {"HasTV": true, "Dogs_Allowed": true, "WiFi": "true"}}\n')
+    assert V.true_attributes(readers.read_business_variant(spark, p)).first().features_text == "Dogs Allowed, Hastv"
+
+
 def test_rating_bands_and_star_glyphs(spark):
     df = spark.createDataFrame([(x,) for x in (2.49, 2.5, 3.49, 3.5, 4.5, 5.0)], "r double")
     got = [(r.b, r.g) for r in df.select(X.rating_band("r").alias("b"), X.star_glyphs("r").alias("g")).collect()]
@@ -233,4 +256,39 @@ def test_category_trim_removes_tabs(spark):
     b = business_df(spark, [dict(business_id="1", categories="Bars,\tFood\t")])
     r = FE.business_features(b, YEAR).first()
     assert (r.b_is_restaurant, r.b_category_count) == (1.0, 2.0)
-    assert H.category_onehot(b).first().cat_food == 1
+    got = {r.category: r.slot for r in H.category_onehot(b).collect()}
+    assert sorted(got) == ["Bars", "Food"] and sorted(got.values()) == [0, 1]
+
+
+def test_onehot_covers_the_fitted_vocabulary(spark):
+    names = [f"cat {i}" for i in range(300)]
+    b = business_df(spark, [dict(business_id="1", categories=",".join(names)), dict(business_id="2", categories="cat 7"),
+                            dict(business_id="3")])
+    rows = H.category_onehot(b).collect()
+    slot = {r.category: r.slot for r in rows if r.business_id == "1"}
+    assert sorted(slot.values()) == list(range(300))
+    assert [(r.category, r.slot) for r in rows if r.business_id == "2"] == [("cat 7", slot["cat 7"])]
+    assert [(r.category, r.slot) for r in rows if r.business_id == "3"] == [(None, None)]
+
+
+def test_rounding_keeps_large_values(spark):
+    xs = [1e18, 1e20, -3e17, 9.3e12, 9223372036854.775, 1.2345675, -0.5, 0.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select(X.round_half_up("x", 6).alias("y"))
+    got = [r.y for r in df.collect()]
+    assert got[:5] == xs[:5] and got[5:] == [1.234568, -0.5, 0.0]
+
+
+def test_balanced_sample_takes_the_rarest_ratings_size(spark):
+    from ratewise.operators import ranking as R
+    rows = [(f"u{i}", "b", 1.0 + (i % 10 > 2) + (i % 10 > 6), f"k{i // 2}") for i in range(3000)]
+    r = spark.createDataFrame(rows, "user_id string, business_id string, stars double, pair_key string")
+    got = {x.rating: x.n for x in R.balanced_sample(r).groupBy("rating").agg(F.count("*").alias("n")).collect()}
+    assert got == {1.0: 900, 2.0: 900, 3.0: 900}
+
+
+def test_friend_ratings_of_the_given_pairs(spark):
+    u = users_df(spark, [dict(user_id="a", friends="b, c, a"), dict(user_id="b", friends=""), dict(user_id="c")])
+    r = spark.createDataFrame([("b", "x", 4.0), ("b", "y", 2.0), ("c", "x", 1.0), ("b", "x", 5.0)], schemas.REVIEWS)
+    pairs = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "z"), ("b", "x")], "user_id string, business_id string")
+    got = {(x.user_id, x.business_id): (x.n, x.friend_avg, x.friends_overall_avg) for x in H.friend_ratings(pairs, u, r).collect()}
+    assert got == {("a", "x"): (3, pytest.approx(10 / 3), 3.0), ("a", "z"): (0, None, 3.0), ("b", "x"): (0, None, None)}
