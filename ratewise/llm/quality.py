@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.text import SPACES, ascii_lower, let, n_chars_of, words
+from ratewise.llm.text import SPACE_RUN, SPACES, let, n_chars_of, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -24,41 +24,53 @@ MAX_LOST_PERCENT = 50
 NAVIGATION_LINE = (r"^[^a-z]*(home|menu|log ?in|log ?out|sign ?in|sign ?up|next|previous|read more|show more|share|"
                    r"subscribe|search|contact us|about us|skip to content|back to top)[^a-z]*$")
 SEPARATOR = r" [|>»•·] "
-BOILERPLATE = (r"javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|"
-               r"lorem ipsum|click here|enable cookies")
+BOILERPLATE = ("javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
+               "lorem ipsum", "click here", "enable cookies")
 TERMINAL = r"[.!?:;…\"'”’»)\]]$"
 
 
-def line_fails(line: Column, n_words: Column) -> Column:
-    """True when ``line`` (trimmed, ``n_words`` words) fails a punctuation, navigation or boilerplate rule.
+def line_fails(line: Column, n_words: Column, n_symbols: Column) -> Column:
+    """True when ``line`` (trimmed, with that many words and symbols) fails a punctuation, navigation or boilerplate rule.
 
-    Punctuation: more than one symbol or doubled exclamation mark per five words, mostly upper-case letters, or
-    fewer than five words without an end mark. Navigation: at most twelve words with two separators, or only a menu
-    word. Boilerplate: a fixed phrase. A line without words never fails.
+    Punctuation: more than one symbol or doubled exclamation mark per five words, upper-case letters beyond half of the
+    characters, or fewer than five words without an end mark. Navigation: at most twelve words with two separators, or
+    only a menu word. Boilerplate: a fixed phrase. A line without words never fails.
     """
-    low = ascii_lower(line)
-    marks = n_chars_of(line, SYMBOLS) + F.regexp_count(line, F.lit("!!"))
+    low = F.lower(line)
+    marks = n_symbols + F.regexp_count(line, F.lit("!!"))
     upper = F.regexp_count(line, F.lit(r"\p{Lu}"))
-    lower = F.regexp_count(line, F.lit(r"\p{Ll}"))
-    punctuation = (marks * 5 > n_words) | (upper > lower) | ((n_words < 5) & ~F.rlike(line, F.lit(TERMINAL)))
-    navigation = ((n_words <= 12) & (F.regexp_count(line, F.lit(SEPARATOR)) >= 2)) | F.rlike(low, F.lit(NAVIGATION_LINE))
-    return (n_words > 0) & (punctuation | navigation | F.rlike(low, F.lit(BOILERPLATE)))
+    punctuation = ((marks * 5 > n_words) | (upper * 2 > F.char_length(line) - n_words + 1)
+                   | ((n_words < 5) & ~F.rlike(line, F.lit(TERMINAL))))
+    navigation = ((n_words <= 12) & (F.regexp_count(line, F.lit(SEPARATOR)) >= 2)) | (
+        (n_words <= 12) & F.rlike(low, F.lit(NAVIGATION_LINE)))
+    boilerplate = F.contains(low, F.lit(BOILERPLATE[0]))
+    for phrase in BOILERPLATE[1:]:
+        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
+    return (n_words > 0) & (punctuation | navigation | boilerplate)
 
 
 def repeated_words(ws: Column) -> Column:
     """Words covered by three-word windows that occur twice or more in the array ``ws`` (the first one included).
 
-    The windows are sorted with their position, so equal ones are neighbours: n log n in the words of the document.
+    If all windows have different hashes, none occurs twice. Else they are sorted by hash, words and position, so that
+    equal ones are neighbours: n log n in the words of the document, words being compared only under equal hashes.
     """
-    def count(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
-                              lambda i: F.struct(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2), i.alias("i")))
+    zero = F.lit(0).cast("bigint")
+
+    def hashed(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(w) - 3)
+        return let(F.transform(starts, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
+                   lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), zero).otherwise(count(w, h)))
+
+    def count(w: Column, h: Column) -> Column:
+        windows = F.transform(h, lambda x, i: F.struct(x.alias("h"), F.get(w, i).alias("col1"), F.get(w, i + 1).alias("col2"),
+                                                       F.get(w, i + 2).alias("col3"), i.alias("i")))
         return let(F.sort_array(windows), covered)
 
     def covered(s: Column) -> Column:
         def same(j: Column, k: Column) -> Column:
             a, b = F.get(s, j), F.get(s, k)
-            return F.coalesce((a["col1"] == b["col1"]) & (a["col2"] == b["col2"]) & (a["col3"] == b["col3"]), F.lit(False))
+            return F.coalesce((a["h"] == b["h"]) & (a["col1"] == b["col1"]) & (a["col2"] == b["col2"]) & (a["col3"] == b["col3"]), F.lit(False))
         repeated = F.filter(F.transform(s, lambda x, k: F.when(same(k, k - 1) | same(k, k + 1), x["i"])),
                             lambda i: i.isNotNull())
         start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last"))
@@ -66,7 +78,7 @@ def repeated_words(ws: Column) -> Column:
                            lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")),
                            lambda a: a["n"])
 
-    return F.when(F.size(ws) < 3, F.lit(0).cast("bigint")).otherwise(let(ws, count))
+    return F.when(F.size(ws) < 3, zero).otherwise(let(ws, hashed))
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -83,14 +95,16 @@ def _judged(df: DataFrame, max_lost_percent: int) -> DataFrame:
     wordy = F.filter(lines, lambda l: F.btrim(l, F.lit(SPACES)) != "")
     info = F.transform(lines, lambda l: let(
         F.btrim(l, F.lit(SPACES)),
-        lambda t: let(F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"[\x20\x09-\x0D]+"))),
-                      lambda n: F.struct(l.alias("line"), n.alias("n"), line_fails(t, n).alias("fails")))))
+        lambda t: let(F.struct(F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE_RUN))).alias("n"),
+                               n_chars_of(t, SYMBOLS).alias("s")),
+                      lambda k: F.struct(l.alias("line"), k["n"].alias("n"), k["s"].alias("s"),
+                                         line_fails(t, k["n"], k["s"]).alias("fails")))))
     df = df.select("*", words(F.col("_text")).alias("_words"), info.alias("_info"),
                    let(wordy, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"))
     df = df.select(
         "*", F.size("_words").cast("bigint").alias("n_words"),
-        F.char_length(F.translate("_text", SPACES, "")).cast("bigint").alias("word_chars"),
-        n_chars_of(F.col("_text"), SYMBOLS).alias("n_symbols"),
+        F.char_length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
+        F.aggregate("_info", F.lit(0).cast("bigint"), lambda a, x: a + x["s"]).alias("n_symbols"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
         F.aggregate("_info", F.lit(0).cast("bigint"), lambda a, x: a + x["fails"].cast("bigint")).alias("n_failed_lines"),
         F.aggregate("_info", F.lit(0).cast("bigint"),
@@ -128,14 +142,14 @@ cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, range(3) AS o(k) GROUP
 ln AS (SELECT rid, l, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS b
        FROM (SELECT rid, unnest(ls) AS l FROM r)),
 lw AS (SELECT rid, l, b, len(regexp_split_to_array(b, '[\x20\x09-\x0D]+')) AS n,
-              translate(b, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+              lower(b) AS low
        FROM ln WHERE b <> ''),
 lf AS (SELECT rid, l, n,
          5 * (len(regexp_extract_all(b, '[#*$%&|<>]')) + len(regexp_extract_all(b, '!!'))) > n
-         OR len(regexp_extract_all(b, '\p{Lu}')) > len(regexp_extract_all(b, '\p{Ll}'))
+         OR 2 * len(regexp_extract_all(b, '\p{Lu}')) > length(b) - n + 1
          OR (n < 5 AND NOT regexp_matches(b, '[.!?:;…"''”’»)\]]$'))
          OR (n <= 12 AND len(regexp_extract_all(b, ' [|>»•·] ')) >= 2)
-         OR regexp_matches(low, '^[^a-z]*(home|menu|log ?in|log ?out|sign ?in|sign ?up|next|previous|read more|show more|share|subscribe|search|contact us|about us|skip to content|back to top)[^a-z]*$')
+         OR (n <= 12 AND regexp_matches(low, '^[^a-z]*(home|menu|log ?in|log ?out|sign ?in|sign ?up|next|previous|read more|show more|share|subscribe|search|contact us|about us|skip to content|back to top)[^a-z]*$'))
          OR regexp_matches(low, 'javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|enable cookies')
          AS fails FROM lw),
 la AS (SELECT rid, count(*) - count(DISTINCT l) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_failed_lines,
