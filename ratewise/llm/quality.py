@@ -126,8 +126,9 @@ def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n
     out = _judged(docs.select(row, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), max_lost_percent)
     fixed = {text_col: F.col("clean_text"),
              chars_col: F.char_length("clean_text").cast(docs.schema[chars_col].dataType) if chars_col in docs.columns else None}
-    return out.where("kept").select(*[
-        (fixed[c] if c in fixed else F.col("_row")[c]).alias(c) for c in docs.columns])
+    clean = F.struct(*[(fixed[c] if c in fixed else F.col("_row")[c]).alias(c) for c in docs.columns])
+    # As a generator, not a filter: a filter is pushed below the columns it needs, which are then worked out twice.
+    return out.select(F.inline(F.when(F.col("kept"), F.array(clean))))
 
 
 ORACLE = r"""
