@@ -120,7 +120,7 @@ def schedule(spark, plan: list[tuple], block_words: int) -> DataFrame:
     info = spark.createDataFrame([(i, s, n, q, b, m) for i, ((s, n, q), b, m) in enumerate(zip(live, per_epoch, need))],
                                  "_k int, source string, _n bigint, _q bigint, _b bigint, _need bigint")
     # Rank of a slot in its source, in two levels over runs of slots.
-    run_len = max(1 << 16, run // 4096)
+    run_len = max(1 << 10, math.isqrt(run))
     drawn = drawn.withColumn("_run", F.floor(F.col("slot") / run_len))
     counts = drawn.groupBy("_k", "_run").agg(F.count("*").alias("_c"))
     before = F.sum("_c").over(W.partitionBy("_k").orderBy("_run").rowsBetween(W.unboundedPreceding, -1))
