@@ -106,7 +106,8 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     met = found[0]
     for more in found[1:]:
         met = met.unionByName(more)
-    by_text = met.groupBy("key").agg(F.collect_list(F.struct("start", "gap", "words", "items")).alias("met"))
+    # Written, so that the join below has a plain shuffle on both sides and AQE can split a text with very many copies.
+    by_text = written(met.groupBy("key").agg(F.collect_list(F.struct("start", "gap", "words", "items")).alias("met")), "met")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_key(F.col(text_col)).alias("key"))
     rows = rows.join(by_text, "key", "left").select("_row", index_words(F.col("_row")[text_col]).alias("words"), "met")
 
@@ -163,8 +164,21 @@ p AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT
 h AS (SELECT rid, i, n, item_id FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM p) JOIN w USING (n, g)),
 c AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM h, range(10) AS o(k) WHERE k < n GROUP BY rid),
 t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY rid)
+      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY rid),
+tok AS (SELECT rid, unnest(ws) AS term, unnest(range(len(ws))) AS pos FROM d),
+pl AS (SELECT g, unnest(string_split(g, ' ')) AS term, unnest(range(len(string_split(g, ' ')))) AS off FROM (SELECT DISTINCT g FROM w)),
+rk AS (SELECT pl.*, row_number() OVER (PARTITION BY g ORDER BY c.n, off) AS rank, count(*) OVER (PARTITION BY g) AS known
+       FROM pl JOIN (SELECT term, count(*) AS n FROM tok GROUP BY term) c USING (term)),
+a AS (SELECT rid, g, rank, known, pos - off AS start FROM tok JOIN rk USING (term) WHERE rank <= 2),
+met AS (SELECT x.rid, x.g, x.start, min(abs(x.start - y.start)) AS gap FROM a x JOIN a y
+          ON x.rid = y.rid AND x.g = y.g AND x.rank = 1 AND y.rank = 2 AND abs(x.start - y.start) <= 3 GROUP BY ALL
+        UNION ALL SELECT rid, g, start, 0 FROM a WHERE known = 1),
+ck AS (SELECT rid, start, gap, ws, string_split(g, ' ') AS wd, greatest(start - 3, 0) AS lo FROM met JOIN d USING (rid)),
+nr AS (SELECT rid, count(*) AS n_near FROM ck
+       WHERE NOT (gap = 0 AND start >= 0 AND ws[greatest(start, 0) + 1:greatest(start, 0) + len(wd)] = wd)
+         AND len(list_intersect(list_distinct(wd), ws[lo + 1:lo + len(wd) + 6])) >= len(list_distinct(wd)) * 0.8 GROUP BY rid)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid) LEFT JOIN nr USING (rid)
 """
