@@ -37,8 +37,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return out.drop("n_near")
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +70,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE} | (
+    return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE,
+            "op9_license_scan": licenses.oracle()} | (
         {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -75,7 +75,7 @@ def normalised(text: Column) -> Column:
     t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for old, new in EQUIVALENT:
         t = F.replace(t, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.btrim(F.regexp_replace(t, " +", " "))
+    return F.btrim(t)
 
 
 def digest(text: Column) -> Column:
@@ -93,16 +93,42 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
 
     ``known`` has license and digest. Units of a document that are alike after normalising count once.
     """
-    known = broadcast_if_small(known_digests(docs.sparkSession) if known is None else known, "digest")
+    known = known_digests(docs.sparkSession) if known is None else known
+    known = broadcast_if_small(known.groupBy("digest").agg(F.sort_array(F.collect_set("license")).alias("found")), "digest")
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\x09\x0D]*\n"), F.split(text, "\n")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"),
-                       digest(text).alias("_whole"), parts.alias("_parts"))
-    rows = rows.select("doc_id", "_row", "_whole", F.array_distinct(F.transform("_parts", digest)).alias("_units"))
-    # The row number is made once, below the join, and used once, above it, in one pass over the input.
-    units = rows.select("doc_id", "_row", "_whole", F.explode("_units").alias("digest"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"), parts.alias("_parts"))
+    rows = rows.select("doc_id", "_row", F.transform("_parts", digest).alias("_digests"))  # the whole text's is the first
+    # The row number is made once, below the join, and used once, above it, in one pass over the input; a row's units
+    # meet again in the task that made them, before the shuffle.
+    units = rows.select("doc_id", "_row", F.get("_digests", F.lit(0)).alias("_whole"),
+                        F.explode(F.array_distinct("_digests")).alias("digest"))
     return (units.join(known, "digest", "left").groupBy("_row", "doc_id")
-            .agg(F.count_distinct("digest").alias("n_units"), F.count("license").alias("n_matched"),
-                 F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
-                 F.min(F.when(F.col("digest") == F.col("_whole"), F.col("license"))).alias("text_license"))
+            .agg(F.count("*").alias("n_units"), F.sum(F.coalesce(F.array_size("found"), F.lit(0))).cast("bigint").alias("n_matched"),
+                 F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), ",").alias("licenses"),
+                 F.min(F.when(F.col("digest") == F.col("_whole"), F.get("found", F.lit(0)))).alias("text_license"))
             .drop("_row"))
+
+
+def oracle() -> str:
+    """DuckDB SQL of :func:`scan_licenses` over ``documents`` with the texts of KNOWN."""
+    def norm(t: str) -> str:
+        t = f"regexp_replace(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{COPYRIGHT_LINE}', ' ', 'g')"
+        t = f"' ' || regexp_replace({t}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+        for old, new in EQUIVALENT:
+            t = f"replace({t}, ' {old} ', ' {new} ')"
+        return f"sha256(trim({t}, ' '))"
+
+    quoted = [(name, text.replace("'", "''")) for name, text in KNOWN]
+    values = ", ".join(f"('{name}', '{text}')" for name, text in quoted)
+    return f"""
+WITH known AS (SELECT DISTINCT license, {norm('text')} AS digest FROM (VALUES {values}) v(license, text)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+p AS (SELECT rid, t AS part FROM d UNION SELECT rid, unnest(string_split(t, chr(10))) FROM d
+      UNION SELECT rid, unnest(regexp_split_to_array(t, '\\n[\\x20\\x09\\x0D]*\\n')) FROM d),
+u AS (SELECT DISTINCT rid, {norm('part')} AS digest FROM p),
+m AS (SELECT u.rid, count(DISTINCT u.digest) AS n_units, count(license) AS n_matched,
+        coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses
+      FROM u LEFT JOIN known USING (digest) GROUP BY u.rid),
+w AS (SELECT d.rid, min(license) AS text_license FROM d JOIN known ON {norm('d.t')} = known.digest GROUP BY d.rid)
+SELECT d.doc_id, n_units, n_matched, licenses, text_license FROM d JOIN m USING (rid) LEFT JOIN w USING (rid)"""

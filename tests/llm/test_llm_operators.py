@@ -83,7 +83,8 @@ def test_base_counts(odd):
     ("News | Sport | Weather", True), ("Please accept our cookie policy today, dear reader.", True),
     ("we have a long line without an end mark that is still prose", False), ("a# b% c& d", True), ("THIS IS SHOUTED LOUD!!", True)])
 def test_line_rules(spark, line, fails):
-    df = spark.createDataFrame([(line,)], "l string").select(quality.line_fails(F.col("l"), F.lit(len(ws(line)))).alias("f"))
+    df = spark.createDataFrame([(line,)], "l string").select(quality.line_fails(
+        F.col("l"), F.lit(len(ws(line))), F.lit(sum(c in quality.SYMBOLS for c in line))).alias("f"))
     assert df.first().f is fails
 
 
@@ -441,7 +442,7 @@ def test_personal_data(spark, odd, none, table):
                                              "+1 (988) 555-2485 +1", "4111111111111111-", "@a.b", "a@b.c.d@e.f.g"]
     for t in texts:
         assert [s for s in pii.spans(t) if s[0] != "iban"] == brute_base(t), t
-    out = catalog.op10_pii.__globals__["pii"].personal_data_digest(pii.find_personal_data(documents(spark, [(k, t, "s") for k, t in enumerate(texts)])))
+    out = pii.personal_data_digest(pii.find_personal_data(documents(spark, [(k, t, "s") for k, t in enumerate(texts)])))
     for r in out.collect():
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in brute_base(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
@@ -455,3 +456,38 @@ def test_checksums_and_scores():
     text = "my e-mail a@b.cd and a version 1.2.3.4"
     (k, s, e), (k2, s2, e2) = pii.spans(text)
     assert pii.score(text, k, s, e) == 1.0 and pii.score(text, k2, s2, e2) < 0.6
+
+
+# plans of the operators that use built-in functions only
+
+@pytest.mark.parametrize("name", ["op1_line_quality", "op6_decontaminate", "op8_chat_format", "op9_license_scan"])
+def test_native_operators_run_no_python(spark, name):
+    plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().toString()
+    for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
+        assert word not in plan
+
+
+# one very long text
+
+def test_very_long_text(spark):
+    rng = random.Random(9)
+    lines = [sentence(rng, 25) for _ in range(6000)]
+    text = "\n".join(lines + lines[100:140]) + "\nmail a.b@c.de from 10.0.0.1"
+    docs = documents(spark, [(1, text, "a"), (2, lines[7], "a"), (3, None, None)])
+    q = {r.doc_id: r for r in quality.line_quality(docs).collect()}[1]
+    assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == base_counts(text)
+    got = rows(suffix_dedup.remove_repeats(docs), *COLUMNS4)
+    assert got == brute_repeats([(1, text), (2, lines[7]), (3, None)], 400) and got[0][2] > 0
+    assert simhash.near_duplicates(docs).where("doc_id = 1").first().fingerprint == f"{brute_fingerprint(text):016x}"
+    bench = spark.createDataFrame([(1, lines[5999]), (2, lines[3])], "item_id bigint, text string")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = brute_contamination([(1, text), (2, lines[7]), (3, None)], [(1, lines[5999]), (2, lines[3])])
+    assert rows(decontaminate.contamination(docs, bench), *columns) == want
+    known = set(token_counts.load_pieces())
+    counts = {w: greedy("▁" + w, known) for w in set(ws(text))}
+    assert token_counts.count_tokens(docs, sorted(known)).where("doc_id = 1").first().n_tokens == sum(counts[w] for w in ws(text))
+    found = pii.personal_data_digest(pii.find_personal_data(docs)).where("doc_id = 1").first()
+    assert (found.n_email, found.n_ip) == (1, 1)
+    assert licenses.scan_licenses(docs).where("doc_id = 1").first().n_units == len(set(lines)) + 2
+    assert sum(r["size"] for r in sharding.assign_shards(docs, shards=2).collect()) == len(text) + len(lines[7]) + 48
+    assert {r.doc_id: r.taken for r in mixing.mix_digest(docs).collect()}.keys() == {1, 2, 3}
