@@ -117,17 +117,26 @@ def true_attributes(attrs, n: int = 5) -> Column:
 
 
 def true_attributes_variant(attrs, n: int = 5) -> Column:
-    """X12 over a ``variant``: only the boolean true counts, text 'true' does not."""
+    """X12 over a ``variant``: the boolean true and the text 'True' count, text 'true' does not."""
     members = F.try_variant_get(_c(attrs), F.lit("$"), "map<string,variant>")
-    trues = F.map_keys(F.map_filter(members, lambda k, v: (F.schema_of_variant(v) == "BOOLEAN")
-                                    & F.try_variant_get(v, F.lit("$"), "boolean")))
+
+    def true(k, v):
+        t = F.schema_of_variant(v)
+        return (((t == "BOOLEAN") & F.try_variant_get(v, F.lit("$"), "boolean"))
+                | ((t == "STRING") & (F.try_variant_get(v, F.lit("$"), "string") == "True")))
+    trues = F.map_keys(F.map_filter(members, true))
     return F.array_join(F.slice(F.array_sort(F.transform(trues, title_words)), 1, n), ", ")
 
 
+# Fixed value: the date that stands in for a missing one.
+MISSING_SINCE = "2020-01-01"
+
+
 def tenure_years(since, as_of_date: str) -> Column:
     """Days from a 'yyyy-MM-dd' date to ``as_of_date`` / 365, 0 when it does not parse
-    (a value with a time part does not parse, as in the reference)."""
-    since = _c(since)
+    (a value with a time part does not parse, as in the reference). A missing date
+    counts as MISSING_SINCE."""
+    since = F.coalesce(_c(since), F.lit(MISSING_SINCE))
     parsed = F.try_to_timestamp(since, F.lit("yyyy-M-d"))
     days = F.datediff(F.to_date(F.lit(as_of_date)), F.to_date(parsed))
     ok = F.regexp_like(since, F.lit(r"^\d{4}-\d{1,2}-\d{1,2}$"))

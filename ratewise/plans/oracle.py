@@ -417,19 +417,21 @@ FROM sc GROUP BY 1"""
     pairs = ", ".join(f"{{'k': '{k}', 'v': a_{k}}}" for k in ATTR_KEYS)
     q["true_attributes"] = with_ctes(BUSINESS) + f"""
 SELECT business_id, array_to_string(list_sort(list_transform(
-         list_filter([{pairs}], lambda x: x.v = 'true'),
+         list_filter([{pairs}], lambda x: x.v = 'true' OR x.v = '"True"'),
          lambda x: array_to_string(list_transform(string_split(replace(x.k, '_', ' '), ' '),
                    lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')))[1:5], ', ')
        AS features_text FROM business"""
     q["tenure_years"] = with_ctes(USERS_WITH_TIME) + f"""
-SELECT user_id, round(CASE WHEN regexp_full_match(yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')
+SELECT user_id, round(CASE WHEN yelping_since IS NULL THEN date_diff('day', DATE '2020-01-01', DATE '{AS_OF_DATE}') / 365.0e0
+                       WHEN regexp_full_match(yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')
                             AND try_strptime(yelping_since, '%Y-%m-%d') IS NOT NULL
                        THEN date_diff('day', CAST(try_strptime(yelping_since, '%Y-%m-%d') AS DATE),
                                       DATE '{AS_OF_DATE}') / 365.0e0
                        ELSE 0.0e0 END, 6) AS tenure_years FROM users"""
     q["attribute_codes"] = with_ctes(BUSINESS) + "\nSELECT business_id, " + ", ".join(
         f"round({attr_code('a_' + a)}, 6) AS a_{a}" for a in SERVING_ATTRIBUTES) + " FROM business"
-    tenure = (f"CASE WHEN regexp_full_match(u.yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
+    tenure = (f"CASE WHEN u.yelping_since IS NULL THEN date_diff('day', DATE '2020-01-01', DATE '{AS_OF_DATE}') / 365.0e0 "
+              f"WHEN regexp_full_match(u.yelping_since, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
               f"AND try_strptime(u.yelping_since, '%Y-%m-%d') IS NOT NULL "
               f"THEN date_diff('day', CAST(try_strptime(u.yelping_since, '%Y-%m-%d') AS DATE), "
               f"DATE '{AS_OF_DATE}') / 365.0e0 ELSE 0.0e0 END")

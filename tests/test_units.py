@@ -182,8 +182,8 @@ def test_attribute_codes_variant_keeps_json_types(spark, tmp_dir):
     assert all(codes["5"][f"a_{a}"] == 0.0 for a in V.SERVING_ATTRIBUTES)
 
 
-def test_true_attributes_variant_counts_booleans_only(spark, tmp_dir):
-    p = write(os.path.join(tmp_dir, "bt.json"), '{"business_id": "1", "attributes": {"HasTV": true, "Dogs_Allowed": true, "WiFi": "true"}}\n')
+def test_true_attributes_variant_counts_true_and_the_text_True(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "bt.json"), '{"business_id": "1", "attributes": {"HasTV": true, "Dogs_Allowed": "True", "WiFi": "true", "Alcohol": false}}\n')
     assert V.true_attributes(readers.read_business_variant(spark, p)).first().features_text == "Dogs Allowed, Hastv"
 
 
@@ -198,7 +198,8 @@ def test_tenure_years(spark):
     df = spark.createDataFrame([("2023-12-31",), ("2019-03-15 10:00:00",), ("n/a",), (None,), ("2024-2-1",)],
                                "s string")
     got = [r.t for r in df.select(X.tenure_years("s", "2024-12-31").alias("t")).collect()]
-    assert got[0] == pytest.approx(366 / 365.0) and got[1:4] == [0.0, 0.0, 0.0]
+    assert got[0] == pytest.approx(366 / 365.0) and got[1:3] == [0.0, 0.0]
+    assert got[3] == pytest.approx(1826 / 365.0)  # a missing date counts as 2020-01-01
     assert got[4] == pytest.approx(334 / 365.0)
 
 
