@@ -44,7 +44,7 @@ SEGMENT = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 EMPTY_SHA256 = hashlib.sha256().hexdigest()
 SKIP, NAMES, SUFFIXES = 0, 1, 2
-REPLY = "unit bigint, kind int, bucket int, bits binary"
+REPLY = "unit bigint, kind int, bucket bigint, bits binary"
 
 
 @lru_cache
@@ -79,8 +79,8 @@ class Texts:
     def __init__(self, data: bytes, lens: np.ndarray):
         self.buf, self.lens = np.frombuffer(data, np.uint8), lens
         self.starts = np.cumsum(lens) - lens
-        self.offset = (np.arange(len(self.buf)) - np.repeat(self.starts, lens)).astype(np.int32)
-        self.room = (np.repeat(lens, lens) - self.offset).astype(np.int32)
+        self.offset = np.arange(len(self.buf), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), lens)
+        self.room = np.repeat(lens.astype(np.int32), lens) - self.offset
 
     def fingerprints(self, at: np.ndarray, length: int) -> np.ndarray:
         """64-bit fingerprints of the ``length`` bytes from each of the ascending positions ``at``."""
@@ -109,8 +109,8 @@ def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
 class Unit:
     """The rows of one unit with the copies of texts in other units left out, and what the buckets replied."""
 
-    def __init__(self, rows: pa.Table, replies: pa.Table, length: int, buckets: int, q: int):
-        self.length, self.buckets = length, buckets
+    def __init__(self, rows: pa.Table, replies: pa.Table, length: int, bucket_ids: list[int], q: int):
+        self.length, self.buckets, self.ids = length, len(bucket_ids), np.array(bucket_ids, np.int64)
         self.v, self.cover = difference_cover(q)
         self.sample = length - self.v + 1
         self.replies, out = {NAMES: {}, SUFFIXES: {}}, set()
@@ -144,11 +144,12 @@ class Unit:
 
     def known(self, keys: list[np.ndarray], kind: int, name_keys: bool) -> np.ndarray:
         """Sorted keys that occur twice in the unit or in another unit as well."""
+        place = {int(i): b for b, i in enumerate(self.ids)}
         distinct, n = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.empty(0, np.uint64), np.empty(0, int))
         cuts = self.cuts(distinct, name_keys)
         twice = n > 1
         for bucket, bits in self.replies[kind].items():
-            lo, hi = cuts[bucket], cuts[bucket + 1]
+            lo, hi = cuts[place[bucket]], cuts[place[bucket] + 1]
             twice[lo:hi] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
         return distinct[twice]
 
@@ -162,13 +163,19 @@ class Unit:
         cuts = self.cuts(distinct, name_keys)
         sent = distinct.astype(np.uint32) if name_keys else distinct
         used = np.flatnonzero(np.diff(cuts))
-        return pa.table({"bucket": pa.array(used, pa.int32()), "unit": pa.array([unit] * len(used), pa.int64()),
+        return pa.table({"bucket": pa.array(self.ids[used]), "unit": pa.array([unit] * len(used), pa.int64()),
                          "keys": pa.array([sent[cuts[b]:cuts[b + 1]].tobytes() for b in used], pa.binary())})
 
-    def tying(self, t: Texts, names: np.ndarray) -> np.ndarray:
-        """Positions whose next v bytes hold a sample with a name in ``names`` and that have ``length`` bytes left."""
-        at, name = self.samples(t)
-        at = at[isin_sorted(name, names)]
+    def tying(self) -> Iterator[tuple[Texts, list[bytes], np.ndarray]]:
+        """Texts, their digests and the positions that can tie: a sample with a repeated name stands within their next v
+        bytes, and ``length`` bytes are left."""
+        samples = [self.samples(t) for t, _ in self.texts()]
+        names = self.known([name for _, name in samples], NAMES, True)
+        for (t, digests), (at, name) in zip(self.texts(), samples):
+            yield t, digests, self.near(t, at[isin_sorted(name, names)])
+
+    def near(self, t: Texts, at: np.ndarray) -> np.ndarray:
+        """Positions with one of the samples ``at`` within their next v bytes and ``length`` bytes left."""
         if not len(at):
             return at
         change = np.zeros(len(t.buf) + 1, np.int32)
@@ -203,9 +210,9 @@ def sort_bucket(keys: DataFrame, kind: int) -> DataFrame:
     return keys.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def unit_keys(spark, units: int) -> list[int]:
-    """One number for each bucket of a table bucketed into ``units`` by it, so that every unit has its own bucket."""
-    ids = spark.range(64 * units + 64).select("id", F.pmod(F.hash("id"), F.lit(units)).alias("b"))
+def spread_keys(spark, n: int) -> list[int]:
+    """n numbers whose hashes differ modulo n: as keys, they fill n partitions (or a divisor of n) evenly."""
+    ids = spark.range(64 * n + 64).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("b"))
     return [r[0] for r in ids.groupBy("b").agg(F.min("id").alias("id")).select("id").orderBy("id").collect()]
 
 
@@ -252,8 +259,8 @@ def repeats_of_texts(docs: DataFrame, text_col: str, length: int, q: int, unit_b
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = max(partitions, -(-total_bytes // unit_bytes))
-    buckets = max(partitions, -(-total_bytes // bucket_bytes))
-    numbers = unit_keys(spark, units)
+    bucket_ids = spread_keys(spark, partitions * max(1, -(-total_bytes // (bucket_bytes * partitions))))
+    numbers = spread_keys(spark, units)
     name = f"packed_{uuid.uuid4().hex}"
     (pack(docs, text_col, numbers, unit_bytes).write.bucketBy(units, "unit").option("path", new_path(spark, "packed"))
      .option("compression", "zstd").saveAsTable(name))
@@ -265,16 +272,15 @@ def repeats_of_texts(docs: DataFrame, text_col: str, length: int, q: int, unit_b
         lambda k: F.substring(F.col("digests"), k * 32 + 1, F.lit(32)))).alias("digest"))
     many = places.groupBy("digest").agg(F.min("unit").alias("first"), F.count("*").alias("n")).where("n > 1")
     skip = places.join(many, "digest").where("unit <> first").select(
-        "unit", F.lit(SKIP).alias("kind"), F.lit(0).alias("bucket"), F.col("digest").alias("bits"))
+        "unit", F.lit(SKIP).alias("kind"), F.lit(0).cast("bigint").alias("bucket"), F.col("digest").alias("bits"))
     replies = written(skip, "skip")
 
     def per_unit(run, schema: str) -> DataFrame:
         def whole(key, rows: pa.Table, answers: pa.Table) -> pa.Table:
-            return run(Unit(rows, answers, length, buckets, q), key[0].as_py())
+            return run(Unit(rows, answers, length, bucket_ids, q), key[0].as_py())
         return packed.groupBy("unit").cogroup(replies.groupBy("unit")).applyInArrow(whole, schema)
 
-    keys_schema = "bucket int, unit bigint, keys binary"
-    all_names = lambda u: u.known([u.samples(t)[1] for t, _ in u.texts()], NAMES, True)
+    keys_schema = "bucket bigint, unit bigint, keys binary"
 
     def names(u: Unit, unit: int) -> pa.Table:
         return u.packed([u.samples(t)[1] for t, _ in u.texts()], unit, True)
@@ -282,19 +288,19 @@ def repeats_of_texts(docs: DataFrame, text_col: str, length: int, q: int, unit_b
     replies = replies.unionByName(written(sort_bucket(per_unit(names, keys_schema), NAMES), "name-replies"))
 
     def suffixes(u: Unit, unit: int) -> pa.Table:
-        shared = all_names(u)
-        return u.packed([t.fingerprints(u.tying(t, shared), length) for t, _ in u.texts()], unit, False)
+        return u.packed([t.fingerprints(at, length) for t, _, at in u.tying()], unit, False)
 
     replies = replies.unionByName(written(sort_bucket(per_unit(suffixes, keys_schema), SUFFIXES), "suffix-replies"))
 
     def results(u: Unit, unit: int) -> pa.Table:
-        shared = all_names(u)
-        keys = [t.fingerprints(u.tying(t, shared), length) for t, _ in u.texts()]
+        places, keys = [], []
+        for t, _, at in u.tying():
+            places.append(at)
+            keys.append(t.fingerprints(at, length))
         repeated = u.known(keys, SUFFIXES, False)
         out = {"digest": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-        for (t, digests), k in zip(u.texts(), keys):
-            at = u.tying(t, shared)[isin_sorted(k, repeated)]
-            gone = covered(at, len(t.buf), length)
+        for (t, digests), at, k in zip(u.texts(), places, keys):
+            gone = covered(at[isin_sorted(k, repeated)], len(t.buf), length)
             for d, s, n in zip(digests, t.starts, t.lens):
                 part = gone[s:s + n]
                 removed = int(part.sum())
@@ -330,8 +336,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     found = repeats_of_texts(docs, text_col, length, q, unit_bytes, bucket_bytes, total)
     copies = rows.groupBy("digest").agg(F.count("*").alias("n_copies"))
+    # Written, so that AQE can split the rows of a text with very many copies in the join below.
+    found = written(found.join(copies, "digest"), "repeats-of-texts")
     whole = (F.col("n_copies") > 1) & (F.col("n_bytes") >= length)
-    return rows.join(found.join(copies, "digest"), "digest").select(
+    return rows.join(found, "digest").select(
         "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.col("n_spans")).cast("bigint").alias("n_spans"),
         F.when(whole, F.lit(EMPTY_SHA256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"))
