@@ -1,6 +1,6 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score (operator 10).
 
-Kinds: email, ip, card (Luhn) and phone as fixed base kinds, and iban (mod 97) on top. Each document is scanned whole,
+Kinds: email, ip, card (Luhn) and phone as fixed base kinds, and iban (the country's length, mod 97) on top. Each document is scanned whole,
 inside one task, with patterns that run in time linear in the text; there is no shuffle.
 
 Defined cases: null text counts as empty; repeated rows and ids each give one row; an empty table gives an empty
@@ -24,7 +24,15 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: The longest run that an IBAN can be the beginning of; :func:`iban_end` says where it ends.
+IBAN_RUN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+#: Characters of an IBAN by country code, as registered.
+IBAN_LENGTH = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in codes.split()}
+ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 
 #: Words that make a kind more likely, searched within CONTEXT characters before the span.
 HINTS = {
@@ -53,6 +61,31 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def iban_end(text: str, start: int, stop: int) -> int | None:
+    """End of the IBAN that begins at ``start`` of the run up to ``stop``; none if mod 97 confirms no possible end.
+
+    It ends before a character that is no letter or digit, after as many characters as its country code has; a code
+    that is not registered may have any length, and the longest one that is confirmed counts.
+    """
+    length = IBAN_LENGTH.get(text[start:start + 2])
+    ends, chars = [], 0
+    for k in range(start, stop):
+        chars += text[k] != " "
+        if text[k] != " " and chars >= 15 and length in (None, chars) and text[k + 1:k + 2] not in ALNUM:
+            ends.append(k + 1)
+    return next((e for e in reversed(ends) if mod97(text[start:e].replace(" ", ""))), None)
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping IBANs; a start that fails is left by one character only."""
+    m = IBAN_RUN.search(text)
+    while m:
+        end = iban_end(text, m.start(), m.end())
+        if end:
+            yield m.start(), end
+        m = IBAN_RUN.search(text, end or m.start() + 1)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping addresses: from each @, the run of local characters before it and the domain after it."""
     done, at = 0, text.find("@")
@@ -86,9 +119,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
     if "+" in text:
         found += [("phone", m.start(), m.end()) for m in PHONE.finditer(text)
                   if 9 <= sum(m[0].count(d) for d in "0123456789") <= 15]
-    for m in IBAN.finditer(text):
-        if 15 <= len(iban := m[0].replace(" ", "")) <= 34 and mod97(iban):
-            found.append(("iban", m.start(), m.end()))
+    found += [("iban", s, e) for s, e in ibans(text)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -458,6 +458,25 @@ def test_checksums_and_scores():
     assert pii.score(text, k, s, e) == 1.0 and pii.score(text, k2, s2, e2) < 0.6
 
 
+@pytest.mark.parametrize("text, found", [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 BIC: COBADEFFXXX", ["DE89370400440532013000"]),
+    ("GB82 WEST 1234 5698 7654 32 I paid", ["GB82 WEST 1234 5698 7654 32"]),
+    ("DE89 3704 0044 0532 0130 00 2024 was", ["DE89 3704 0044 0532 0130 00"]),
+    ("AB12 DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("NO93 8601 1117 947 NO 4", ["NO93 8601 1117 947"]), ("MT84MALT011000012345MTLCAST001S X", ["MT84MALT011000012345MTLCAST001S"]),
+    ("DE89 3704 0044 0532 0130 01 BIC", []), ("DE89370400440532013000BIC", []), ("DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"])])
+def test_ibans_before_capitals_and_digits(text, found):
+    assert [text[s:e] for k, s, e in pii.spans(text) if k == "iban"] == found
+
+
+def test_iban_of_an_unregistered_code():
+    body = "XX", "12345678901234"
+    check = next(f"{k:02}" for k in range(100) if pii.mod97(f"{body[0]}{k:02}{body[1]}"))
+    iban = body[0] + check + body[1]
+    assert pii.spans(f"account {iban} AB, paid")[-1] == ("iban", 8, 8 + len(iban)) and "XX" not in pii.IBAN_LENGTH
+
+
 # plans of the operators that use built-in functions only
 
 @pytest.mark.parametrize("name", ["op1_line_quality", "op6_decontaminate", "op8_chat_format", "op9_license_scan"])
