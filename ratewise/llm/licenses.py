@@ -2,7 +2,8 @@
 
 A text is normalised (case, punctuation, white space, copyright lines, equivalent spellings) and its SHA-256 is looked
 up, by a hash join, among the digests of known licence texts normalised in the same way. Units are the whole document,
-each of its paragraphs (parts between blank lines) and each of its lines, always entire.
+each of its paragraphs (parts between blank lines) and each of its lines, always entire. With ``runs``, which the
+registered query and its SQL do not use, known texts of several paragraphs are also found inside a longer document.
 
 Defined cases: null text has one empty unit that matches nothing; repeated rows and ids each give one row; an empty
 table gives an empty result; extra columns are ignored.
@@ -10,11 +11,13 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.llm.scratch import broadcast_if_small
-from ratewise.llm.text import ascii_lower
+from ratewise.llm.text import ascii_lower, let
 
 # Licence texts and notices as their authors publish them.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -68,6 +71,12 @@ EQUIVALENT = (("licence", "license"), ("licenced", "licensed"), ("sub license",
 #: A line that names a year or an owner after the mark; running text that happens to begin with the word stays.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright *[(©\[<0-9]|©|\(c\) *[0-9]|all rights reserved)[^\n]*$"
 
+#: A line that is only a licence's title, lower-cased; the known texts begin below it.
+TITLE_LINE = r"(?m)^[^\p{L}\n]*(the )?((mit|isc|expat) licen[sc]e)( \((mit|isc|expat)\))?[^\p{L}\n]*$"
+PARAGRAPH_END = r"\n[\x20\x09\x0D]*\n"
+#: Paragraphs of the known texts that have more than one.
+RUN_LENGTHS = tuple(sorted({n for _, t in KNOWN if (n := len(re.split(PARAGRAPH_END, t))) > 1}))
+
 
 def normalised(text: Column) -> Column:
     """Lower case, no copyright lines, punctuation as blanks, one blank between words, equivalent spellings united."""
@@ -82,31 +91,51 @@ def digest(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
+def run_digests(text: Column) -> Column:
+    """Digests of the whole text and of its runs of as many paragraphs as a known text has, without title lines."""
+    def cut(paragraphs: Column, n: int) -> Column:
+        starts = F.when(F.size(paragraphs) >= n, F.sequence(F.lit(1), F.size(paragraphs) - (n - 1)))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.array_join(F.slice(paragraphs, i, n), "\n\n"))
+
+    bare = F.regexp_replace(ascii_lower(text), TITLE_LINE, " ")
+    found = let(F.filter(F.split(bare, PARAGRAPH_END), lambda p: normalised(p) != ""),
+                lambda p: F.concat(F.array(bare), *[cut(p, n) for n in RUN_LENGTHS]))
+    return F.transform(found, digest)
+
+
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """license, digest of each known text."""
     df = spark.createDataFrame([(k, t) for k, t in known], "license string, text string")
     return df.select("license", digest(F.col("text")).alias("digest")).distinct()
 
 
-def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+                  runs: bool = False) -> DataFrame:
     """doc_id, n_units, n_matched, licenses (sorted, comma-joined) and text_license (of the whole text, else null).
 
-    ``known`` has license and digest. Units of a document that are alike after normalising count once.
+    ``known`` has license and digest. Units of a document that are alike after normalising count once. With ``runs``,
+    runs of consecutive paragraphs and the text without title lines are units too; text_license may be of the latter.
     """
     known = known_digests(docs.sparkSession) if known is None else known
     known = broadcast_if_small(known.groupBy("digest").agg(F.sort_array(F.collect_set("license")).alias("found")), "digest")
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\x09\x0D]*\n"), F.split(text, "\n")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"), parts.alias("_parts"))
-    rows = rows.select("doc_id", "_row", F.transform("_parts", digest).alias("_digests"))  # the whole text's is the first
+    more = [run_digests(text).alias("_runs")] if runs else []
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("_row"), parts.alias("_parts"), *more)
+    rows = rows.select("doc_id", "_row", F.transform("_parts", digest).alias("_digests"), *(["_runs"] if runs else []))  # the whole text's is the first
     # The row number is made once, below the join, and used once, above it, in one pass over the input; a row's units
     # meet again in the task that made them, before the shuffle.
-    units = rows.select("doc_id", "_row", F.get("_digests", F.lit(0)).alias("_whole"),
-                        F.explode(F.array_distinct("_digests")).alias("digest"))
+    whole, all_units = F.get("_digests", F.lit(0)), F.col("_digests")
+    bare = [F.get("_runs", F.lit(0)).alias("_bare")] if runs else []
+    units = rows.select("doc_id", "_row", whole.alias("_whole"), *bare,
+                        F.explode(F.array_distinct(F.concat(all_units, "_runs") if runs else all_units)).alias("digest"))
+    is_whole = F.col("digest") == F.col("_whole")
+    if runs:
+        is_whole = is_whole | (F.col("digest") == F.col("_bare"))
     return (units.join(known, "digest", "left").groupBy("_row", "doc_id")
             .agg(F.count("*").alias("n_units"), F.sum(F.coalesce(F.array_size("found"), F.lit(0))).cast("bigint").alias("n_matched"),
                  F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), ",").alias("licenses"),
-                 F.min(F.when(F.col("digest") == F.col("_whole"), F.get("found", F.lit(0)))).alias("text_license"))
+                 F.min(F.when(is_whole, F.get("found", F.lit(0)))).alias("text_license"))
             .drop("_row"))
 
 

@@ -420,6 +420,19 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+def test_license_runs_of_paragraphs(spark, odd, none):
+    mark = "Copyright (c) 2020 Someone\n\n"
+    docs = documents(spark, [
+        (1, "MIT License\n\n" + mark + licenses.MIT, "a"), (2, "The MIT License (MIT)\n" + licenses.MIT, "a"),
+        (3, licenses.ISC + "\n\nand more", "a"), (4, "Some code.\n\n" + mark + licenses.APACHE_NOTICE + "\n\nimport os\n\nimport re", "b"),
+        (5, licenses.MIT.replace("\n\n", "\n\nA word.\n\n"), "b"), (6, None, None), (7, "MIT License", "a"), (8, licenses.MIT.split("\n\n")[0], "a"),
+        (9, licenses.ISC + "\n\n" + licenses.MIT, "a")])
+    out = {r.doc_id: (r.licenses, r.text_license) for r in licenses.scan_licenses(docs, runs=True).collect()}
+    assert out == {1: ("MIT", "MIT"), 2: ("MIT", "MIT"), 3: ("ISC", None), 4: ("Apache-2.0", None), 5: ("", None), 6: ("", None),
+                   7: ("", None), 8: ("", None), 9: ("ISC,MIT", None)}
+    assert licenses.scan_licenses(odd, runs=True).count() == len(ODD) and licenses.scan_licenses(none, runs=True).count() == 0
+
+
 # 10 personal data
 
 def brute_base(text):
