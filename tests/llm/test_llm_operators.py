@@ -97,6 +97,22 @@ def test_cleaning_removes_lines_and_rejects(spark, odd, none):
     assert quality.line_quality(none).count() == quality.clean_documents(none).count() == 0
 
 
+def test_phrase_in_a_long_line_keeps_it(spark):
+    rng = random.Random(11)
+    clean = sentence(rng, 40)[:-1] + " and they changed the privacy policy in May " + sentence(rng, 40)
+    longer = "\n".join([sentence(rng, 60), clean, "Please read our privacy policy today, dear reader."])
+    heavy = sentence(rng, 60) + "\nClick here for our terms of use, or click here for the Cookie Policy and the privacy policy of us."
+    out = {r.doc_id: r.text for r in quality.clean_documents(documents(spark, [(1, clean, "a"), (2, longer, "a"), (3, heavy, "a")])).collect()}
+    assert out == {1: clean, 2: longer.rsplit("\n", 1)[0], 3: heavy.split("\n")[0]}
+
+
+@pytest.mark.parametrize("n, fails", [(12, True), (13, False)])
+def test_short_lines_fail_by_one_phrase(spark, n, fails):
+    line = "click here " + " ".join(["word"] * (n - 2)) + "."
+    f = quality.line_fails(F.col("l"), F.lit(n), F.lit(0), any_mention=False)
+    assert spark.createDataFrame([(line,)], "l string").select(f.alias("f")).first().f is fails
+
+
 # 2 sharding
 
 def test_differencing():
