@@ -1,15 +1,16 @@
 """The corpus pipeline, stage by stage, against brute-force versions."""
 
 import re
+import unicodedata
 from collections import Counter
 
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from ratewise.llm import catalog, quality
+from ratewise.llm import catalog, mixing, quality
 from ratewise.llm.scratch import written
-from test_llm_operators import brute_components, brute_contamination, brute_fingerprint
+from test_llm_operators import base_counts, brute_components, brute_contamination, brute_fingerprint, ws
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,6 +38,40 @@ def test_quality_stage(stages):
     assert dict(pairs(stages[1])) == kept and 0 < len(kept) < stages[0].count()
 
 
+MENU = (r"[^a-z]*(home|menu|log ?in|log ?out|sign ?in|sign ?up|next|previous|read more|show more|share|subscribe|search|contact us|"
+        r"about us|skip to content|back to top)[^a-z]*")
+PHRASES = ("javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|"
+           "enable cookies")
+
+
+def brute_fails(line):
+    """The rules of the quality stage in plain Python."""
+    t = line.strip(" \t\n\x0b\x0c\r")
+    n, low = len(ws(t)), t.lower()
+    if not n:
+        return False
+    phrase_words = sum(len(m.split()) for m in re.findall(PHRASES, low))
+    return (5 * (sum(c in "#*$%&|<>" for c in t) + t.count("!!")) > n
+            or 2 * sum(unicodedata.category(c) == "Lu" for c in t) > len(t) - n + 1
+            or n < 5 and t[-1] not in ".!?:;…\"'”’»)]"
+            or n <= 12 and (len(re.findall(" [|>»•·] ", t)) >= 2 or re.fullmatch(MENU, low) is not None)
+            or phrase_words > 0 and (n <= 12 or 100 * phrase_words >= 25 * n))
+
+
+def brute_clean(text):
+    """The cleaned text, None if the document goes."""
+    counts, lines = base_counts(text), (text or "").split("\n")
+    lost = sum(len(ws(x)) for x in lines if brute_fails(x))
+    if counts[0] < 50 or 100 * counts[4] > 50 * counts[0] or 100 * lost > 50 * counts[0]:
+        return None
+    return "\n".join(x for x in lines if not brute_fails(x))
+
+
+def test_quality_stage_against_plain_rules(stages):
+    want = Counter((i, c) for i, t in pairs(stages[0]) if (c := brute_clean(t)) is not None)
+    assert Counter(pairs(stages[1])) == want
+
+
 def test_near_duplicate_stage(stages):
     before = pairs(stages[1])
     root = brute_components([brute_fingerprint(t) for _, t in before])
@@ -62,6 +97,42 @@ def test_mix_stage(stages):
     assert abs(sum(words(t) for _, t in after) - total) <= 20 * longest
 
 
+def brute_mix(docs):
+    """Times that each (doc_id, text) is in the mix, and the target of each source; docs of (doc_id, text, source, hash)."""
+    size = Counter()
+    for _, t, source, _ in docs:
+        size[source] += len(ws(t))
+    names = sorted(size, key=lambda x: (x is None, (x or "").encode()))
+    weight = {x: k % 3 + 1 for k, x in enumerate(names)}
+    low, high = 0.0, 3.0 * sum(size.values())
+    for _ in range(200):  # the level at which the capped shares add up to all words
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(3 * size[x], mid * weight[x]) for x in names) < sum(size.values()) else (low, mid)
+    target = {x: min(3 * size[x], high * weight[x]) for x in names}
+    exact = dict(zip(names, mixing.targets([size[x] for x in names], [weight[x] for x in names])))
+    assert exact == pytest.approx(target)
+    times = Counter()
+    for x in names:
+        quota, start = min(round(exact[x]), 3 * size[x]), 0
+        for i, t, _, _ in sorted((d for d in docs if d[2] == x), key=lambda d: ((d[3] >> 20) % mixing.SLICES, d[3], d[0])):
+            n = len(ws(t))
+            if n:
+                times[i, t] = quota // size[x] + (2 * max(0, min(n, quota % size[x] - start)) >= n)
+            start += n
+    return +times, target
+
+
+def test_mix_stage_per_source(stages):
+    order = F.xxhash64(F.lit(mixing.SEED), "doc_id", "text")
+    docs = [tuple(r) for r in stages[3].select("doc_id", "text", "source", order).collect()]
+    times, target = brute_mix(docs)
+    after = [(r.doc_id, r.text, r.source) for r in stages[4].collect()]
+    assert Counter((i, t) for i, t, _ in after) == times
+    for x in target:
+        longest = max(len(ws(t)) for _, t, s, _ in docs if s == x)
+        assert abs(sum(len(ws(t)) for _, t, s in after if s == x) - target[x]) <= longest
+
+
 def test_shard_stage(stages):
     out = stages[5]
     assert Counter(pairs(out)) == Counter(pairs(stages[4]))
