@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ratewise.llm import chat, decontaminate, licenses, mixing, pii, quality, sharding, simhash, suffix_dedup, token_counts
+from ratewise.llm import chat, decontaminate, fim, licenses, mixing, pii, pivots, quality, sharding, simhash, spelling, suffix_dedup
+from ratewise.llm import token_counts
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -59,6 +60,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data_digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf_dir, "documents"), outputs=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -66,10 +79,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_quality, op2_shard_balance, op3_source_mix, op4_suffix_dedup, op5_simhash, op6_decontaminate,
                                     op7_token_counts, op8_chat_format,
-                                    op9_license_scan, op10_pii, pipeline)}
+                                    op9_license_scan, op10_pii, op11_topk_search, op12_spelling_groups, op13_fill_in_middle,
+                                    pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_quality": quality.ORACLE, "op6_decontaminate": decontaminate.ORACLE, "op8_chat_format": chat.ORACLE,
-            "op9_license_scan": licenses.oracle()} | (
+            "op9_license_scan": licenses.oracle(), "op11_topk_search": pivots.ORACLE, "op12_spelling_groups": spelling.ORACLE,
+            "op13_fill_in_middle": fim.ORACLE} | (
         {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
