@@ -481,14 +481,37 @@ def q_pair_prediction(spark, sf_dir):
     return MD.predict_pairs(pair_store(spark, sf_dir), pairs)
 
 
+def personal(spark, sf_dir):
+    """The personal candidates from factors of the training part; fitted once per session and folder."""
+    from ratewise.plans import candidates as CA
+    t, key = Tables(spark, sf_dir), (id(spark), sf_dir, "candidates")
+    hit = _MODELS.get(key)
+    if hit is None or hit[0] is not spark:
+        made = CA.personal_candidates(CA.fit_factors(t.train), t.users, t.business, N_CANDIDATES)
+        hit = _MODELS[key] = (spark, CA.stored(made, "personal-candidates"))
+    return hit[1]
+
+
+@register("personal_candidates")
+def q_personal_candidates(spark, sf_dir):
+    """J5, personal: each user's best new restaurants by the factors of its reviews."""
+    return personal(spark, sf_dir)
+
+
+@register("candidate_recall")
+def q_candidate_recall(spark, sf_dir):
+    """Recall of the personal candidates, and of the most reviewed places, on the liked holdout reviews."""
+    from ratewise.plans import candidates as CA
+    t = Tables(spark, sf_dir)
+    return CA.candidate_recall(personal(spark, sf_dir), t.train, t.reviews.filter(R.holdout_flag("pair_key")), t.business, N_CANDIDATES)
+
+
 @register("top_recommendations_model")
 def q_top_recommendations_model(spark, sf_dir):
-    """Every user's best candidate restaurants, ranked by the trained model."""
+    """Every user's personal candidates, ranked by the trained model."""
     from ratewise.plans import model as MD
-    t = Tables(spark, sf_dir)
-    pairs = P.candidate_pairs(t.users, t.business, N_CANDIDATES)
     store = pair_store(spark, sf_dir)
-    return MD.recommend(store.model, pairs, store.users, store.business, N_RECOMMENDED)
+    return MD.recommend(store.model, personal(spark, sf_dir).select("user_id", "business_id"), store.users, store.business, N_RECOMMENDED)
 
 
 @register("kfold_model_metrics")
