@@ -418,7 +418,7 @@ def q_tip_sentiment(spark, sf_dir):
 
 # A larger step and shallower trees than the job's settings, so that early stopping (which
 # ends the run, far below the job's 2000 rounds) comes after tens of trees.
-QUERY_GBT = dict(step_size=0.2, max_depth=5, patience=10, partitions=8)
+QUERY_GBT = dict(step_size=0.2, max_depth=5, patience=10, first_stage=20)
 # The trained cross-validation and the grid fit several models; these are their parameters.
 FOLD_GBT = dict(step_size=0.3, max_depth=4, max_iter=20, patience=0, partitions=8)
 N_MODEL_FOLDS = 3
