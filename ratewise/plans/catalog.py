@@ -462,23 +462,22 @@ def q_batch_predictions(spark, sf_dir):
 
 def pair_store(spark, sf_dir):
     """Model and feature tables stored, opened again; once per session and folder."""
-    from ratewise.plans import model as MD
+    from ratewise.plans import store as ST
     from ratewise.session import scratch_path
     key = (id(spark), sf_dir, "store")
     hit = _MODELS.get(key)
     if hit is None or hit[0] is not spark:
         path = scratch_path(spark, f"pair-store-{uuid.uuid4().hex}")
-        MD.write_store(path, trained(spark, sf_dir).model, *sides(Tables(spark, sf_dir)))
-        hit = _MODELS[key] = (spark, MD.open_store(spark, path))
+        ST.write_store(path, trained(spark, sf_dir).model, *sides(Tables(spark, sf_dir)))
+        hit = _MODELS[key] = (spark, ST.open_store(spark, path))
     return hit[1]
 
 
 @register("pair_prediction")
 def q_pair_prediction(spark, sf_dir):
     """M6: from the stored model and feature tables, score the known test pairs of one user."""
-    from ratewise.plans import model as MD
-    pairs = Tables(spark, sf_dir).test_pairs.filter(F.col("user_id") == F.lit(PAIR_USER))
-    return MD.predict_pairs(pair_store(spark, sf_dir), pairs)
+    from ratewise.plans import store as ST
+    return ST.predict_pairs(pair_store(spark, sf_dir), FX.test_pairs(spark, sf_dir, only_user=int(PAIR_USER)))
 
 
 def personal(spark, sf_dir):

@@ -53,11 +53,13 @@ def rating(user, business, noise):
     return F.least(F.lit(5.0), F.greatest(F.lit(1.0), F.floor(tenths / 10).cast("double")))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem join orders: user_id, business_id, stars, ts, pair_key."""
+def reviews(spark: SparkSession, sf_dir: str, only_user: int | None = None) -> DataFrame:
+    """lineitem join orders: user_id, business_id, stars, ts, pair_key; ``only_user`` one customer key, filtered in the scan."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    if only_user is not None:
+        od = od.filter(F.col("o_custkey") == only_user)
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     part = F.col("l_partkey").cast("string")
     minutes = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 1440
@@ -209,7 +211,7 @@ def train_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.filter(~split_flag(F.col("pair_key")))
 
 
-def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def test_pairs(spark: SparkSession, sf_dir: str, only_user: int | None = None) -> DataFrame:
     """Holdout pairs without the label."""
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, only_user)
     return r.filter(split_flag(F.col("pair_key"))).select("user_id", "business_id", "pair_key")

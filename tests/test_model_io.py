@@ -47,22 +47,6 @@ def test_training_does_not_depend_on_the_inputs_partitioning(spark):
     assert all(abs(x.prediction - y.prediction) < 1e-9 for x, y in zip(a, b))
 
 
-def test_pair_store_is_strict(spark, tmp_dir):
-    t = Tables(spark, SF_SMALL)
-    pf = FE.pair_features(t.train, t.users, t.business, t.tips, 2024)
-    res = MD.train(pf, MD.GBTParams(max_iter=3, patience=0, step_size=0.3, max_depth=3, partitions=4))
-    us, bs = FE.user_side(t.users, t.tips, 2024), FE.business_side(t.business, t.tips, 2024)
-    MD.write_store(tmp_dir, res.model, us, bs)
-    store = MD.open_store(spark, tmp_dir)
-    one = MD.predict_pair(store, "7", "14").collect()
-    assert len(one) == 1 and 1 <= one[0].prediction <= 5
-    pairs = spark.createDataFrame([("7", "14")], "user_id string, business_id string")
-    same = MD.predict(res.model, FE.attach_sides(pairs, us, bs)).first()
-    assert abs(same.prediction - one[0].prediction) < 1e-9
-    for u, b in (("nobody", "14"), ("7", "nothing"), ("nobody", "nothing")):
-        assert MD.predict_pair(store, u, b).count() == 0
-
-
 def test_model_recommendations_are_personal(spark):
     import __spark_entry__ as E
     rows = E.queries()["top_recommendations_model"](spark, SF_SMALL).collect()

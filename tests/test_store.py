@@ -1,0 +1,102 @@
+"""The model store: commits, point lookups against the model's own transform, unknown ids, plans."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise.operators import features as FE
+from ratewise.plans import model as MD
+from ratewise.plans import store as ST
+from ratewise.plans.catalog import Tables
+
+from conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def parts(spark):
+    t = Tables(spark, SF_SMALL)
+    us, bs = (df.cache() for df in (FE.user_side(t.users, t.tips, 2024), FE.business_side(t.business, t.tips, 2024)))
+    pf = FE.pair_features(t.train, t.users, t.business, t.tips, 2024).cache()
+    models = [MD.train(pf, MD.GBTParams(max_iter=n, patience=0, step_size=0.3, max_depth=d, partitions=4)).model for n, d in ((12, 5), (1, 1))]
+    return models, us, bs, t.test_pairs.select("user_id", "business_id").distinct()
+
+
+@pytest.mark.parametrize("which, rows_per_bucket", [(0, 50_000), (0, 40), (1, 100)])
+def test_points_equal_transform(spark, tmp_dir, parts, which, rows_per_bucket):
+    models, us, bs, pairs = parts
+    ST.write_store(tmp_dir, models[which], us, bs, rows_per_bucket)
+    store = ST.open_store(spark, tmp_dir)
+    assert store.buckets == -(-(store.users.count() + store.business.count()) // rows_per_bucket)
+    want = {(r.user_id, r.business_id): r.prediction for r in MD.predict(models[which], FE.attach_sides(pairs, us, bs)).collect()}
+    known = {(r.user_id, r.business_id): r.prediction for r in ST.predict_pairs(store, pairs).collect()}
+    assert known and all(abs(want[k] - p) < 1e-9 for k, p in known.items())
+    for u, b in sorted(known)[:25]:
+        one = ST.predict_pair(store, u, b).collect()
+        assert [(r.user_id, r.business_id) for r in one] == [(u, b)]
+        assert abs(one[0].prediction - want[u, b]) < 1e-9 and abs(ST.predict_one(store, u, b) - want[u, b]) < 1e-9
+
+
+def test_all_points_equal_transform(spark, tmp_dir, parts):
+    """Every known test pair through the column expression at once."""
+    models, us, bs, pairs = parts
+    ST.write_store(tmp_dir, models[0], us, bs)
+    store = ST.open_store(spark, tmp_dir)
+
+    def of(kind, key):
+        return store.points.filter(F.col("kind") == kind).select(F.col("id").alias(key), F.struct("slots", "inputs").alias(kind))
+
+    trees = store.points.filter(F.col("bucket") == ST.MODEL_BUCKET).select(F.struct("inputs", "nodes", "roots").alias("model"))
+    walked = (pairs.join(of("user", "user_id"), "user_id").join(of("business", "business_id"), "business_id")
+              .withColumn("model", trees.scalar()).select("user_id", "business_id", store.score.alias("p")))
+    both = walked.join(ST.predict_pairs(store, pairs), ["user_id", "business_id"])
+    row = both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("p") - F.col("prediction"))).alias("d")).first()
+    assert row.n == ST.predict_pairs(store, pairs).count() > 100 and row.d < 1e-9
+
+
+def test_unknown_ids_give_nothing(spark, tmp_dir, parts):
+    models, us, bs, _ = parts
+    ST.write_store(tmp_dir, models[0], us, bs)
+    store = ST.open_store(spark, tmp_dir)
+    assert ST.predict_one(store, "7", "14") is not None
+    for u, b in (("nobody", "14"), ("7", "nothing"), ("nobody", "nothing"), ("14", "x14"), ("", "")):
+        assert ST.predict_pair(store, u, b).count() == 0 and ST.predict_one(store, u, b) is None
+
+
+def test_a_lookup_reads_its_buckets_only(spark, tmp_dir, parts):
+    models, us, bs, _ = parts
+    ST.write_store(tmp_dir, models[0], us, bs, 20)
+    store = ST.open_store(spark, tmp_dir)
+    df = ST.predict_pair(store, "7", "14")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PartitionFilters: [((" in plan and "PushedFilters: [Or(" in plan
+    touched = store.points.filter(ST.at_point(store, "user", "7")).select(F.input_file_name().alias("f")).distinct().count()
+    assert touched == 1 and store.buckets > 5
+
+
+def test_a_writer_that_dies_leaves_the_store(spark, tmp_dir, parts, monkeypatch):
+    models, us, bs, _ = parts
+    first = ST.write_store(tmp_dir, models[0], us, bs)
+    before = ST.predict_one(ST.open_store(spark, tmp_dir), "7", "14")
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    for step in ("write_points", "side"):
+        with monkeypatch.context() as m:
+            m.setattr(ST, step, dies)
+            with pytest.raises(RuntimeError):
+                ST.write_store(tmp_dir, models[1], us, bs)
+        again = ST.open_store(spark, tmp_dir)
+        assert again.version == first and ST.predict_one(again, "7", "14") == before
+    opened = ST.open_store(spark, tmp_dir)
+    second = ST.write_store(tmp_dir, models[1], us, bs)
+    assert ST.open_store(spark, tmp_dir).version == second != first
+    assert ST.predict_one(opened, "7", "14") == before  # a reader of the earlier version goes on
+    with pytest.raises(FileNotFoundError):
+        ST.open_store(spark, os.path.join(tmp_dir, "nowhere"))
+
+
+def test_scaling_is_read_back(spark):
+    fitted = {"a": (1.0, 5.0), "b": (-2.5e-7, 3e10), "c": (4.0, 4.0), "d": (None, None)}
+    assert MD.fitted_scaling(MD.scaling_stage(fitted, list(fitted))) == {**fitted, "d": (0.0, 0.0)}
