@@ -414,6 +414,53 @@ def q_tip_sentiment(spark, sf_dir):
     return rounded(H.tip_sentiment(Tables(spark, sf_dir).tips, FX.lexicon(spark)))
 
 
+# --- 2.13 in depth: point in time, distance, fitted sentiment -----------------------------
+
+from ratewise.operators import as_of as AO  # noqa: E402
+from ratewise.operators import nearby as NB  # noqa: E402
+from ratewise.operators import sentiment as SE  # noqa: E402
+
+NEAR_KM = 25.0
+
+
+@register("user_rating_history_as_of")
+def q_user_rating_history_as_of(spark, sf_dir):
+    return rounded(AO.rating_history(Tables(spark, sf_dir).reviews, "user_id"))
+
+
+@register("business_rating_history_as_of")
+def q_business_rating_history_as_of(spark, sf_dir):
+    return rounded(AO.rating_history(Tables(spark, sf_dir).reviews, "business_id"))
+
+
+@register("user_recency_as_of")
+def q_user_recency_as_of(spark, sf_dir):
+    return rounded(AO.recency(Tables(spark, sf_dir).reviews))
+
+
+@register("neighborhood_radius")
+def q_neighborhood_radius(spark, sf_dir):
+    return rounded(NB.radius_stats(Tables(spark, sf_dir).business, NEAR_KM))
+
+
+@register("sentiment_lexicon")
+def q_sentiment_lexicon(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(SE.fit_lexicon(t.tips, t.train))
+
+
+@register("tip_sentiment_fitted")
+def q_tip_sentiment_fitted(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(SE.score_tips(t.tips, SE.fit_lexicon(t.tips, t.train), ["business_id"]))
+
+
+@register("sentiment_sign_test")
+def q_sentiment_sign_test(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return rounded(SE.sign_test(t.tips, t.train))
+
+
 # --- 2.12: model training and scoring (rows-only checks) ----------------------------------
 
 # A larger step and shallower trees than the job's settings, so that early stopping (which

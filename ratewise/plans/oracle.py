@@ -565,6 +565,82 @@ FROM cnt LEFT JOIN sc ON cnt.business_id = sc.business_id"""
     return q
 
 
+# The negations and their window, as in ``operators.sentiment``.
+NEGATIONS = "['no', 'nor', 'not', 'never', 'cannot', 'without', 'ne', 'pas', 'nicht', 'kein', 'nunca']"
+NEAR_KM = "25.0e0"
+
+WORDS = f"""
+tip_words AS (
+  SELECT business_id, i, k, len(words) AS n, words[k] AS word, words FROM (
+    SELECT business_id, i, words, unnest(range(1, len(words) + 1)) AS k FROM (
+      SELECT business_id, row_number() OVER () AS i,
+             list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+               regexp_replace(lower(coalesce(text, '')), 'n[''’]t', ' not', 'g'), '[.,;:!?\n]+')), '[^a-z]+'), lambda w: w <> '') AS words
+      FROM tips))),
+marked AS (
+  SELECT business_id, CASE WHEN list_has_any(words[greatest(1, k - 3):k - 1], {NEGATIONS}) THEN 'not_' || word ELSE word END AS word
+  FROM tip_words),
+means AS (SELECT business_id, avg(stars) AS mean FROM train GROUP BY business_id),
+business_label AS (SELECT business_id, mean >= (SELECT avg(stars) FROM train) AS positive FROM means)"""
+
+
+def fitted_lexicon(name: str, where: str = "TRUE") -> str:
+    return f"""
+{name}_counts AS (
+  SELECT word, count(*) FILTER (positive) AS n_pos, count(*) FILTER (NOT positive) AS n_neg
+  FROM marked JOIN business_label USING (business_id) WHERE {where} GROUP BY word),
+{name}_all AS (
+  SELECT c.*, ln((n_pos + 1.0e0) / (t.pos + t.words)) - ln((n_neg + 1.0e0) / (t.neg + t.words)) AS weight
+  FROM {name}_counts c, (SELECT sum(n_pos) AS pos, sum(n_neg) AS neg, count(*) AS words FROM {name}_counts) t),
+{name} AS (
+  SELECT *, weight / sqrt(1 / (n_pos + 1.0e0) + 1 / (n_neg + 1.0e0)) AS z FROM {name}_all
+  WHERE n_pos + n_neg >= 5 AND abs(weight / sqrt(1 / (n_pos + 1.0e0) + 1 / (n_neg + 1.0e0))) >= 1.96e0)"""
+
+
+def _queries_4() -> dict[str, str]:
+    """Point-in-time history, statistics within a radius, the fitted lexicon."""
+    q: dict[str, str] = {}
+    for key, col in (("user_rating_history_as_of", "user_id"), ("business_rating_history_as_of", "business_id")):
+        q[key] = with_ctes(REVIEWS) + f"""
+, w AS (
+  SELECT user_id, business_id, pair_key, ts, count(stars) OVER e AS n, sum(stars) OVER e AS s, sum(stars * stars) OVER e AS ss,
+         min(stars) OVER e AS lo, max(stars) OVER e AS hi
+  FROM reviews WINDOW e AS (PARTITION BY {col} ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP))
+SELECT user_id, business_id, pair_key, ts, n, round(s / nullif(n, 0), 6) AS avg_rating,
+       round(CASE WHEN n > 1 THEN greatest(0.0e0, (ss - s * s / n) / (n - 1)) WHEN n = 1 THEN 0.0e0 END, 6) AS var_rating,
+       round(lo, 6) AS min_rating, round(hi, 6) AS max_rating FROM w"""
+    q["user_recency_as_of"] = with_ctes(REVIEWS) + """
+, w AS (
+  SELECT user_id, business_id, pair_key, ts, count(*) OVER e AS n, min(CAST(ts AS DATE)) OVER e AS a, max(CAST(ts AS DATE)) OVER e AS z
+  FROM reviews WINDOW e AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP))
+SELECT user_id, business_id, pair_key, ts, n, CAST(date_diff('day', a, z) + 1 AS BIGINT) AS active_days,
+       CAST(date_diff('day', z, CAST(ts AS DATE)) AS BIGINT) AS days_since_last,
+       round(CASE WHEN n > 0 THEN n / (date_diff('day', a, z) + 1) END, 6) AS reviews_per_day FROM w"""
+    q["neighborhood_radius"] = with_ctes(BUSINESS) + f"""
+, near AS (
+  SELECT a.business_id, count(*) AS n_near, avg(b.stars) AS near_avg
+  FROM business a JOIN business b ON a.business_id <> b.business_id
+    AND {hav('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')} <= {NEAR_KM}
+  GROUP BY a.business_id)
+SELECT a.business_id, coalesce(n_near, 0) AS n_near, round(near_avg, 6) AS near_avg_stars, round(a.stars - near_avg, 6) AS diff
+FROM business a LEFT JOIN near USING (business_id)"""
+    q["sentiment_lexicon"] = with_ctes(REVIEWS, TRAIN, TIPS, WORDS, fitted_lexicon("lexicon")) + """
+SELECT word, n_pos, n_neg, round(weight, 6) AS weight, round(z, 6) AS z FROM lexicon"""
+    q["tip_sentiment_fitted"] = with_ctes(REVIEWS, TRAIN, TIPS, WORDS, fitted_lexicon("lexicon")) + """
+, s AS (SELECT business_id, count(*) AS tokens, coalesce(sum(weight), 0.0e0) AS score_sum
+        FROM marked LEFT JOIN lexicon USING (word) GROUP BY business_id)
+SELECT b.business_id, coalesce(tokens, 0) AS tokens, round(coalesce(score_sum, 0.0e0), 6) AS score_sum,
+       round(coalesce(score_sum / tokens, 0.0e0), 6) AS score_avg
+FROM (SELECT DISTINCT business_id FROM tips) b LEFT JOIN s USING (business_id)"""
+    q["sentiment_sign_test"] = with_ctes(REVIEWS, TRAIN, TIPS, WORDS, fitted_lexicon("fit", "substr(md5(business_id), 1, 2) >= '33'")) + """
+, s AS (SELECT business_id, coalesce(sum(weight), 0.0e0) AS score FROM marked LEFT JOIN fit USING (word)
+        WHERE substr(md5(business_id), 1, 2) < '33' GROUP BY business_id)
+SELECT count(*) AS n, count(*) FILTER ((score > 0) = positive) AS agree,
+       round(count(*) FILTER ((score > 0) = positive) / nullif(count(*), 0), 6) AS share
+FROM s JOIN business_label USING (business_id) WHERE score <> 0"""
+    return q
+
+
 def _half_up(sql: str, digits=("6", "4")) -> str:
     """Rewrite ``round(e, d)`` (d in ``digits``) as ``floor(e * 1e<d> + 0.5) / 1e<d>``: the
     same double arithmetic the Spark side uses for compared outputs."""
@@ -603,4 +679,5 @@ def oracle_sql() -> dict[str, str]:
     q = _queries()
     q.update(_queries_2())
     q.update(_queries_3())
+    q.update(_queries_4())
     return {k: _half_up(v) for k, v in q.items()}
