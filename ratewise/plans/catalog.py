@@ -22,6 +22,7 @@ from ratewise.operators import pairs as P
 from ratewise.operators import ranking as R
 from ratewise.operators import serving as V
 from ratewise.operators import stats as S
+from ratewise.plans.memo import kept, stored
 from ratewise.sources import fixtures as FX
 
 AS_OF_YEAR = 2024
@@ -55,22 +56,25 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 class Tables:
-    """Lazily derived domain tables of one scale-factor folder."""
+    """Domain tables of one scale-factor folder. The reviews, a join of the two large tables, are stored when first asked for
+    and shared by the queries of a session; the others are derived lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @property
     def reviews(self) -> DataFrame:
-        return FX.reviews(self.spark, self.sf_dir)
+        # dealt evenly by a key without hot values, as the scans of the stored table take their parallelism from its files
+        return kept(self.spark, self.sf_dir, "reviews", lambda: stored(
+            FX.reviews(self.spark, self.sf_dir).repartition("pair_key"), "reviews"))
 
     @property
     def train(self) -> DataFrame:
-        return FX.train_reviews(self.spark, self.sf_dir)
+        return self.reviews.filter(~FX.split_flag(F.col("pair_key")))
 
     @property
     def test_pairs(self) -> DataFrame:
-        return FX.test_pairs(self.spark, self.sf_dir)
+        return self.reviews.filter(FX.split_flag(F.col("pair_key"))).select("user_id", "business_id", "pair_key")
 
     @property
     def users(self) -> DataFrame:
@@ -123,16 +127,31 @@ def q_global_stats(spark, sf_dir):
     return rounded(S.global_stats(t.users, t.business))
 
 
+def sides(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The user and the business feature side, stored when first asked for and shared by the queries of a session."""
+    return (kept(t.spark, t.sf_dir, "user side", lambda: stored(FE.user_side(t.users, t.tips, AS_OF_YEAR, UNIQUE), "user-side")),
+            kept(t.spark, t.sf_dir, "business side", lambda: stored(FE.business_side(t.business, t.tips, AS_OF_YEAR, UNIQUE), "business-side")))
+
+
+def labelled_features(t: Tables, reviews: DataFrame) -> DataFrame:
+    """J1 from the stored sides."""
+    return FE.attach_sides(reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("rating")), *sides(t))
+
+
+def unlabelled_features(t: Tables) -> DataFrame:
+    """J2 from the stored sides."""
+    return FE.attach_sides(t.test_pairs.select("user_id", "business_id"), *sides(t))
+
+
 @register("pair_features")
 def q_pair_features(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return rounded(FE.pair_features(t.reviews, t.users, t.business, t.tips, AS_OF_YEAR, UNIQUE))
+    return rounded(labelled_features(t, t.reviews))
 
 
 @register("pair_features_unlabelled")
 def q_pair_features_unlabelled(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return rounded(FE.pair_features_unlabelled(t.test_pairs, t.users, t.business, t.tips, AS_OF_YEAR, UNIQUE))
+    return rounded(unlabelled_features(Tables(spark, sf_dir)))
 
 
 @register("interaction_features")
@@ -293,10 +312,6 @@ def q_star_glyphs(spark, sf_dir):
 
 # --- A6 / M2: scaling --------------------------------------------------------------------
 
-def sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    return (FE.user_side(t.users, t.tips, AS_OF_YEAR, UNIQUE), FE.business_side(t.business, t.tips, AS_OF_YEAR, UNIQUE))
-
-
 @register("feature_minmax")
 def q_feature_minmax(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -466,26 +481,18 @@ def q_sentiment_sign_test(spark, sf_dir):
 # A larger step and shallower trees than the job's settings, so that early stopping (which
 # ends the run, far below the job's 2000 rounds) comes after tens of trees.
 QUERY_GBT = dict(step_size=0.2, max_depth=5, patience=10, first_stage=20)
-# The trained cross-validation and the grid fit several models; these are their parameters.
-FOLD_GBT = dict(step_size=0.3, max_depth=4, max_iter=20, patience=0, partitions=8)
 N_MODEL_FOLDS = 3
-GRID = dict(depths=(3, 5), steps=(0.1, 0.3), folds=2, max_iter=10)
-_MODELS: dict = {}
+GRID = dict(depths=(3, 5), steps=(0.1, 0.3), k=2, rung=10)
 
 
 def trained(spark, sf_dir):
-    """Train once per session and folder (memoised: several queries score with it)."""
+    """The scoring model; trained when first asked for, as several queries score with it."""
     from ratewise.plans import model as MD
-    key = (id(spark), sf_dir)
-    hit = _MODELS.get(key)
-    if hit is None or hit[0] is not spark:
-        pf = train_features(Tables(spark, sf_dir))
-        hit = _MODELS[key] = (spark, MD.train(pf, MD.GBTParams(**QUERY_GBT)))
-    return hit[1]
+    return kept(spark, sf_dir, "model", lambda: MD.train(train_features(Tables(spark, sf_dir)), MD.GBTParams(**QUERY_GBT)))
 
 
 def train_features(t: Tables) -> DataFrame:
-    return FE.pair_features(t.train, t.users, t.business, t.tips, AS_OF_YEAR, UNIQUE)
+    return labelled_features(t, t.train)
 
 
 @register("gbt_train_score")
@@ -493,8 +500,7 @@ def q_gbt_train_score(spark, sf_dir):
     """Train on the training part; score the labelled holdout reviews."""
     from ratewise.plans import model as MD
     t = Tables(spark, sf_dir)
-    hold = t.reviews.filter(R.holdout_flag("pair_key"))
-    pf = FE.pair_features(hold, t.users, t.business, t.tips, AS_OF_YEAR, UNIQUE)
+    pf = labelled_features(t, t.reviews.filter(R.holdout_flag("pair_key")))
     return MD.predict(trained(spark, sf_dir).model, pf, ["user_id", "business_id", "rating"])
 
 
@@ -502,22 +508,20 @@ def q_gbt_train_score(spark, sf_dir):
 def q_batch_predictions(spark, sf_dir):
     """M5: score the unlabelled test pairs."""
     from ratewise.plans import model as MD
-    t = Tables(spark, sf_dir)
-    pf = FE.pair_features_unlabelled(t.test_pairs, t.users, t.business, t.tips, AS_OF_YEAR, UNIQUE)
-    return MD.predict(trained(spark, sf_dir).model, pf)
+    return MD.predict(trained(spark, sf_dir).model, unlabelled_features(Tables(spark, sf_dir)))
 
 
 def pair_store(spark, sf_dir):
-    """Model and feature tables stored, opened again; once per session and folder."""
+    """Model and feature tables stored, opened again."""
     from ratewise.plans import store as ST
     from ratewise.session import scratch_path
-    key = (id(spark), sf_dir, "store")
-    hit = _MODELS.get(key)
-    if hit is None or hit[0] is not spark:
+
+    def made():
         path = scratch_path(spark, f"pair-store-{uuid.uuid4().hex}")
         ST.write_store(path, trained(spark, sf_dir).model, *sides(Tables(spark, sf_dir)))
-        hit = _MODELS[key] = (spark, ST.open_store(spark, path))
-    return hit[1]
+        return ST.open_store(spark, path)
+
+    return kept(spark, sf_dir, "pair store", made)
 
 
 @register("pair_prediction")
@@ -528,14 +532,11 @@ def q_pair_prediction(spark, sf_dir):
 
 
 def personal(spark, sf_dir):
-    """The personal candidates from factors of the training part; fitted once per session and folder."""
+    """The personal candidates from factors of the training part."""
     from ratewise.plans import candidates as CA
-    t, key = Tables(spark, sf_dir), (id(spark), sf_dir, "candidates")
-    hit = _MODELS.get(key)
-    if hit is None or hit[0] is not spark:
-        made = CA.personal_candidates(CA.fit_factors(t.train), t.users, t.business, N_CANDIDATES)
-        hit = _MODELS[key] = (spark, CA.stored(made, "personal-candidates"))
-    return hit[1]
+    t = Tables(spark, sf_dir)
+    return kept(spark, sf_dir, "candidates", lambda: stored(
+        CA.personal_candidates(CA.fit_factors(t.train), t.users, t.business, N_CANDIDATES), "personal-candidates"))
 
 
 @register("personal_candidates")
@@ -560,19 +561,22 @@ def q_top_recommendations_model(spark, sf_dir):
     return MD.recommend(store.model, personal(spark, sf_dir).select("user_id", "business_id"), store.users, store.business, N_RECOMMENDED)
 
 
+def paired_features(t: Tables) -> DataFrame:
+    return train_features(t).withColumn("_pair", F.concat_ws("|", "user_id", "business_id"))
+
+
 @register("kfold_model_metrics")
 def q_kfold_model_metrics(spark, sf_dir):
-    """Cross-validation with a model trained for each fold."""
+    """Cross-validation with a model trained for each fold as the scoring model is."""
     from ratewise.plans import model as MD
-    pf = train_features(Tables(spark, sf_dir)).withColumn("_pair", F.concat_ws("|", "user_id", "business_id"))
-    return MD.kfold_model_metrics(pf, "_pair", MD.GBTParams(**FOLD_GBT), N_MODEL_FOLDS)
+    return MD.kfold_model_metrics(paired_features(Tables(spark, sf_dir)), "_pair", MD.GBTParams(**QUERY_GBT), N_MODEL_FOLDS)
 
 
 @register("grid_search_metrics")
 def q_grid_search_metrics(spark, sf_dir):
-    """Mean RMSE of every point of a parameter grid."""
+    """Every point of a parameter grid, by successive halving; the winner is grown to its end."""
     from ratewise.plans import model as MD
-    return MD.grid_search_metrics(MD.grid_search(train_features(Tables(spark, sf_dir)), **GRID))
+    return MD.grid_table(spark, MD.grid_search(paired_features(Tables(spark, sf_dir)), "_pair", MD.GBTParams(**QUERY_GBT), **GRID))
 
 
 @register("category_embedding")

@@ -16,7 +16,6 @@ import json
 import os
 import sys
 import time
-import uuid
 
 if __name__ == "__main__":  # launched as a file by spark-submit: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -26,20 +25,10 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import features as FE
 from ratewise.plans import model as MD
-from ratewise.session import scratch_path
+from ratewise.plans.memo import stored
 from ratewise.sources import readers, writers
 
 
-def sides(spark: SparkSession, *tables):
-    """Each table written as Parquet and read back; a small one is then known to be small."""
-    out = []
-    for df in tables:
-        path = scratch_path(spark, f"side-{uuid.uuid4().hex}")
-        df.write.parquet(path)
-        out.append(spark.read.parquet(path))
-    return out
-
-
 def run(spark: SparkSession, folder: str, test_path: str, output_path: str,
         model_path: str | None = None, as_of_year: int | None = None,
         params: MD.GBTParams | None = None, train_file: str = "train.csv") -> dict:
@@ -53,7 +42,7 @@ def run(spark: SparkSession, folder: str, test_path: str, output_path: str,
 
     # the per-user and per-business feature sides are written once into the shared
     # checkpoint folder and read for training and for scoring
-    us, bs = sides(spark, FE.user_side(users, tips, year), FE.business_side(business, tips, year))
+    us, bs = (stored(df, "side") for df in (FE.user_side(users, tips, year), FE.business_side(business, tips, year)))
     labelled = train_rows.select("user_id", "business_id", F.col("stars").cast("double").alias("rating"))
     feats = FE.attach_sides(labelled, us, bs)
     result = MD.train(feats, params or MD.GBTParams())

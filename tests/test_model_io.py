@@ -68,7 +68,7 @@ def test_registered_model_beats_the_mean_and_the_blend(spark):
 
 def test_a_fold_does_not_see_its_own_extremes(spark):
     df = planted(spark, n=600).withColumn("_k", F.col("business_id"))
-    params = MD.GBTParams(max_iter=2, step_size=0.3, max_depth=2, patience=0, partitions=4)
+    params = MD.GBTParams(max_iter=4, step_size=0.3, max_depth=2, patience=2, first_stage=2, partitions=4)
     base = {r.fold: r.rmse for r in MD.kfold_model_metrics(df, "_k", params, 2).collect()}
     from ratewise.operators import metrics as M
     fold_1 = M.fold_id("_k", 2) == 1
@@ -158,12 +158,40 @@ def test_streaming_scoring(spark, tmp_dir):
     assert spark.read.parquet(sink).count() == 4
 
 
-def test_grid_search_cross_validation(spark):
-    df = planted(spark, n=600)
-    cv = MD.grid_search(df, depths=(2, 4), steps=(0.3,), folds=2, max_iter=3, parallelism=2)
-    assert len(cv.avgMetrics) == 2 and all(m > 0 for m in cv.avgMetrics)
-    # deeper trees fit the planted signal better
-    assert cv.avgMetrics[1] < cv.avgMetrics[0]
+def test_grid_search_by_halving(spark):
+    df = planted(spark, n=600).withColumn("_k", F.col("business_id"))
+    params = MD.GBTParams(step_size=0.3, patience=3, first_stage=4, partitions=4)
+    rows = MD.grid_table(spark, MD.grid_search(df, "_k", params, depths=(1, 4), steps=(0.05, 0.3), k=2, rung=3)).collect()
+    assert len(rows) == 4 and sum(r.winner for r in rows) == 1
+    best = min(rows, key=lambda r: r.rmse)
+    assert best.winner and (best.depth, best.step) == (4, 0.3)
+    assert best.rounds > best.trees and sorted(r.rounds for r in rows)[:3] == [3, 3, 6]  # patience ended the winner alone
+
+
+def test_halving_order():
+    calls = []
+
+    def grow(name, rounds):
+        calls.append((name, rounds))
+        return {"a": 3.0, "b": 1.0, "c": 2.0, "d": 4.0, "e": 1.0}[name]
+
+    assert MD.successive_halving(dict.fromkeys("abcde"), grow, 5) == ["d", "a", "c", "e", "b"]
+    assert calls == [(n, 5) for n in "abcde"] + [("b", 5), ("e", 5)]
+    assert MD.successive_halving({"only": None}, grow, 5) == ["only"]
+
+
+def test_stages_grow_one_sequence(spark):
+    """Each round is grown once, the trees of the stages add up, and the errors are those of the joined model."""
+    df = planted(spark, n=800)
+    p = MD.GBTParams(step_size=0.3, max_depth=3, patience=4, first_stage=5, max_iter=12, partitions=4)
+    prepared = MD.Prepared(MD.training_table(df, FE.FEATURES, p), p, FE.FEATURES)
+    b = prepared.boosting(p)
+    b.grow_to_the_end()
+    assert b.grown == len(b.errors) <= 12 and len(b.models) > 1
+    whole = MD.joined_trees(b.models, b.grown)
+    errors = whole.evaluateEachIteration(prepared.validation.withColumnRenamed("rating", "label"), "squared")
+    assert np.allclose(errors, b.errors, rtol=1e-6)
+    assert len(b.model().trees) == b.best
 
 
 def test_category_embedding_vectors(spark):
