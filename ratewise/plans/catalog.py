@@ -579,11 +579,18 @@ def q_grid_search_metrics(spark, sf_dir):
     return MD.grid_table(spark, MD.grid_search(paired_features(Tables(spark, sf_dir)), "_pair", MD.GBTParams(**QUERY_GBT), **GRID))
 
 
+@register("category_pmi")
+def q_category_pmi(spark, sf_dir):
+    """K5: positive pointwise mutual information of categories that are listed together."""
+    from ratewise.plans import embedding as EM
+    return rounded(EM.category_pmi(Tables(spark, sf_dir).business))
+
+
 @register("category_embedding")
 def q_category_embedding(spark, sf_dir):
-    """K5: Word2Vec category vectors per business."""
-    from ratewise.plans import model as MD
-    return MD.category_embedding(Tables(spark, sf_dir).business)
+    """K5: category vectors, factorised from the PMI table, per business."""
+    from ratewise.plans import embedding as EM
+    return EM.category_embedding(Tables(spark, sf_dir).business)
 
 
 def queries() -> dict[str, Query]:

@@ -624,6 +624,13 @@ SELECT user_id, business_id, pair_key, ts, n, CAST(date_diff('day', a, z) + 1 AS
   GROUP BY a.business_id)
 SELECT a.business_id, coalesce(n_near, 0) AS n_near, round(near_avg, 6) AS near_avg_stars, round(a.stars - near_avg, 6) AS diff
 FROM business a LEFT JOIN near USING (business_id)"""
+    q["category_pmi"] = with_ctes(BUSINESS) + f"""
+, l AS (SELECT DISTINCT business_id, unnest({comma_list('categories')}) AS c FROM business),
+one AS (SELECT c, count(*) AS n FROM l GROUP BY c),
+two AS (SELECT x.c AS a, y.c AS b, count(*) AS n FROM l x JOIN l y ON x.business_id = y.business_id AND x.c <> y.c GROUP BY x.c, y.c)
+SELECT a, b, two.n, round(ln(two.n * (SELECT count(DISTINCT business_id) FROM l) / (p.n * q.n)), 6) AS ppmi
+FROM two JOIN one p ON p.c = a JOIN one q ON q.c = b
+WHERE ln(two.n * (SELECT count(DISTINCT business_id) FROM l) / (p.n * q.n)) > 0"""
     q["sentiment_lexicon"] = with_ctes(REVIEWS, TRAIN, TIPS, WORDS, fitted_lexicon("lexicon")) + """
 SELECT word, n_pos, n_neg, round(weight, 6) AS weight, round(z, 6) AS z FROM lexicon"""
     q["tip_sentiment_fitted"] = with_ctes(REVIEWS, TRAIN, TIPS, WORDS, fitted_lexicon("lexicon")) + """

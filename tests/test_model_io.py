@@ -195,8 +195,29 @@ def test_stages_grow_one_sequence(spark):
 
 
 def test_category_embedding_vectors(spark):
+    from ratewise.plans import embedding as EM
     t = Tables(spark, SF_SMALL)
-    emb = MD.category_embedding(t.business, size=4)
-    rows = emb.collect()
+    rows = EM.category_embedding(t.business, size=4).collect()
     assert len(rows) == t.business.count()
     assert all(len(r.embedding) == 4 for r in rows)
+
+
+def test_synonyms_are_neighbours(spark):
+    """'Pub' and 'Bar' are never listed together, but go with the same categories."""
+    from ratewise.plans import embedding as EM
+    rng = np.random.default_rng(5)
+    worlds = [["Beer", "Nightlife", "Darts"], ["Pasta", "Wine", "Pizza"], ["Yoga", "Pilates", "Spa"]]
+    heads = [("Pub", "Bar"), ("Trattoria", "Osteria"), ("Studio", "Gym")]
+    rows = []
+    for k in range(600):
+        w = int(rng.integers(3))
+        cats = [heads[w][int(rng.integers(2))], *rng.choice(worlds[w], 2, replace=False)]
+        rows.append((f"b{k}", ", ".join(cats)))
+    rows += [("none", None), ("lone", "Alone")]
+    df = spark.createDataFrame(rows, "business_id string, categories string")
+    v = {r.category: np.array(r.vector) for r in EM.category_vectors(df, 6).collect()}
+    near = lambda a: max((c for c in v if c != a and any(v[c])), key=lambda c: v[a] @ v[c] / np.linalg.norm(v[a]) / np.linalg.norm(v[c]))
+    assert all(near(a) == b and near(b) == a for a, b in heads)
+    emb = {r.business_id: r.embedding for r in EM.category_embedding(df, 6).collect()}
+    assert len(emb) == 602 and not any(emb["none"]) and any(emb["lone"])
+    assert EM.category_embedding(spark.createDataFrame([], df.schema), 6).collect() == []
