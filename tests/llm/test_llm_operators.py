@@ -242,11 +242,79 @@ def test_repeats_of_random_texts(spark, seed):
     rng = random.Random(seed)
     parts = ["".join(rng.choice("ab") for _ in range(rng.randint(20, 90))) for _ in range(12)]
     docs = [(k, "".join(rng.choice(parts) + rng.choice("abé") for _ in range(rng.randint(0, 5)))) for k in range(60)]
-    got = rows(suffix_dedup.remove_repeats(documents(spark, [(i, t, "s") for i, t in docs]).repartition(5), length=40, q=5,
+    got = rows(suffix_dedup.remove_repeats(documents(spark, [(i, t, "s") for i, t in docs]).repartition(5), length=40, q=5, sample=10,
                                            unit_bytes=600, bucket_bytes=600), *COLUMNS4)
     assert got == brute_repeats(docs, 40)
 
 
+def longest_repeat(docs):
+    """For each text the longest string that also starts elsewhere, and whether bytes outside strings of ``n`` repeat."""
+    data = [(t or "").encode() for _, t in docs]
+    out = []
+    for a, t in enumerate(data):
+        best = 0
+        while any(t[k:k + best + 1] in u if b != a else t.find(t[k:k + best + 1], k + 1) >= 0 or t.find(t[k:k + best + 1]) < k
+                  for k in range(len(t) - best) for b, u in enumerate(data)):
+            best += 1
+        out.append(best)
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_ties_tell_of_shorter_repeats(spark, seed):
+    """Every repeat of sample + v - 1 bytes leaves a tie, and there is no tie without a repeat of a sample."""
+    rng = random.Random(seed)
+    part = "".join(rng.choice("abcdefgh") for _ in range(45))
+    docs = []
+    for k in range(40):
+        text = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 60)))
+        cut = rng.randint(0, 44)
+        docs.append((k, text + part[cut:cut + rng.randint(0, 45)] + "".join(rng.choice("abcdefgh") for _ in range(9))))
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(documents(spark, [(i, t, "s") for i, t in docs]).repartition(4), length=60, q=3,
+                                                            sample=8, unit_bytes=500, bucket_bytes=500).collect()}
+    longest = longest_repeat(docs)
+    assert max(longest) >= 20 and min(longest) < 8
+    for (k, t), n in zip(docs, longest):
+        r = got[k]
+        assert (r.tied_bytes > 0) == (r.longest_tie > 0) and 0 <= r.tied_bytes <= len(t) and r.longest_tie <= len(t)
+        assert r.tied_bytes >= 8 if n >= 8 + 13 - 1 else True
+        assert r.tied_bytes == 0 if n < 8 else True
+
+
+def test_units_beyond_the_bucket_limit(spark):
+    """More units than Spark's limit of buckets: the limit is raised for the table and set back, and no table is left."""
+    limit, before = "spark.sql.sources.bucketing.maxBuckets", spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    tables = {t.name for t in spark.catalog.listTables()}
+    spark.conf.set(limit, 20)
+    try:
+        got = rows(suffix_dedup.remove_repeats(documents(spark, ODD), unit_bytes=2000, bucket_bytes=2000), *COLUMNS4)
+        assert spark.conf.get(limit) == "20"
+    finally:
+        spark.conf.set(limit, before)
+    assert got == brute_repeats([(i, t) for i, t, _ in ODD], 400)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_many_units_are_numbered_without_a_list(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SPREAD", 3)
+    assert list(suffix_dedup.spread_keys(spark, 200_000)[-2:]) == [199_998, 199_999]
+    got = rows(suffix_dedup.remove_repeats(documents(spark, ODD), unit_bytes=3000, bucket_bytes=3000), *COLUMNS4)
+    assert got == brute_repeats([(i, t) for i, t, _ in ODD], 400)
+    assert suffix_dedup.grown(8 << 20, 10 ** 9) == 8 << 20 and suffix_dedup.grown(8 << 20, 10 ** 14) > 300 << 20
+
+
+def test_a_failing_run_leaves_no_table(spark, monkeypatch):
+    tables = {t.name for t in spark.catalog.listTables()}
+
+    def fails(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(suffix_dedup, "repeats_of_units", fails)
+    with pytest.raises(RuntimeError):
+        suffix_dedup.remove_repeats(documents(spark, ODD[:5]))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 # 5 near-duplicates
 
 def brute_fingerprint(text, shingle=4):
