@@ -32,13 +32,13 @@ PHRASE_PERCENT = 25
 TERMINAL = r"[.!?:;…\"'”’»)\]]$"
 
 
-def line_fails(line: Column, n_words: Column, n_symbols: Column, any_mention: bool = True) -> Column:
+def line_fails(line: Column, n_words: Column, n_symbols: Column) -> Column:
     """True when ``line`` (trimmed, with that many words and symbols) fails a punctuation, navigation or boilerplate rule.
 
     Punctuation: more than one symbol or doubled exclamation mark per five words, upper-case letters beyond half of the
     characters, or fewer than five words without an end mark. Navigation: at most twelve words with two separators, or
-    only a menu word. Boilerplate: a fixed phrase; without ``any_mention`` the line must also be short, or the phrases
-    a stated share of its words. A line without words never fails.
+    only a menu word. Boilerplate: a fixed phrase, if the line has at most SHORT_WORDS words or the phrases make up
+    PHRASE_PERCENT of them. A line without words never fails.
     """
     low = F.lower(line)
     marks = n_symbols + F.regexp_count(line, F.lit("!!"))
@@ -47,12 +47,11 @@ def line_fails(line: Column, n_words: Column, n_symbols: Column, any_mention: bo
                    | ((n_words < 5) & ~F.rlike(line, F.lit(TERMINAL))))
     navigation = ((n_words <= 12) & (F.regexp_count(line, F.lit(SEPARATOR)) >= 2)) | (
         (n_words <= 12) & F.rlike(low, F.lit(NAVIGATION_LINE)))
-    boilerplate = F.contains(low, F.lit(BOILERPLATE[0]))
+    mentioned = F.contains(low, F.lit(BOILERPLATE[0]))
     for phrase in BOILERPLATE[1:]:
-        boilerplate = boilerplate | F.contains(low, F.lit(phrase))
-    if not any_mention:
-        in_phrases = sum((F.regexp_count(low, F.lit(p)) * (p.count(" ") + 1) for p in BOILERPLATE), F.lit(0))
-        boilerplate = F.when(boilerplate, (n_words <= SHORT_WORDS) | (in_phrases * 100 >= n_words * PHRASE_PERCENT)).otherwise(False)
+        mentioned = mentioned | F.contains(low, F.lit(phrase))
+    in_phrases = sum((F.regexp_count(low, F.lit(p)) * (p.count(" ") + 1) for p in BOILERPLATE), F.lit(0))
+    boilerplate = F.when(mentioned, (n_words <= SHORT_WORDS) | (in_phrases * 100 >= n_words * PHRASE_PERCENT)).otherwise(False)
     return (n_words > 0) & (punctuation | navigation | boilerplate)
 
 
@@ -89,18 +88,15 @@ def repeated_words(ws: Column) -> Column:
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 max_lost_percent: int = MAX_LOST_PERCENT, any_mention: bool = True) -> DataFrame:
-    """One row per document: base counts, lines and words lost, cleaned text, ``base_failed`` and ``kept``.
-
-    By default one mention of a boilerplate phrase fails a line of any length, as in ORACLE.
-    """
+                 max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
+    """One row per document: base counts, lines and words lost, cleaned text, ``base_failed`` and ``kept``."""
     return _judged(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")),
-                   max_lost_percent, any_mention).select(
+                   max_lost_percent).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_failed_lines", "words_lost", "clean_text")
 
 
-def _judged(df: DataFrame, max_lost_percent: int, any_mention: bool) -> DataFrame:
+def _judged(df: DataFrame, max_lost_percent: int) -> DataFrame:
     lines = F.split("_text", "\n")
     wordy = F.filter(lines, lambda l: F.btrim(l, F.lit(SPACES)) != "")
     info = F.transform(lines, lambda l: let(
@@ -108,7 +104,7 @@ def _judged(df: DataFrame, max_lost_percent: int, any_mention: bool) -> DataFram
         lambda t: let(F.struct(F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE_RUN))).alias("n"),
                                n_chars_of(t, SYMBOLS).alias("s")),
                       lambda k: F.struct(l.alias("line"), k["n"].alias("n"), k["s"].alias("s"),
-                                         line_fails(t, k["n"], k["s"], any_mention).alias("fails")))))
+                                         line_fails(t, k["n"], k["s"]).alias("fails")))))
     df = df.select("*", words(F.col("_text")).alias("_words"), info.alias("_info"),
                    let(wordy, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"))
     df = df.select(
@@ -127,14 +123,13 @@ def _judged(df: DataFrame, max_lost_percent: int, any_mention: bool) -> DataFram
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
-                    max_lost_percent: int = MAX_LOST_PERCENT, any_mention: bool = False) -> DataFrame:
+                    max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
     """The kept documents with failing lines removed from their text; same columns as ``docs``.
 
-    A boilerplate phrase fails a line only if the line is short or the phrases are a stated share of its words.
     ``chars_col``, if present, is set to the code points of the cleaned text.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    out = _judged(docs.select(row, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), max_lost_percent, any_mention)
+    out = _judged(docs.select(row, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), max_lost_percent)
     fixed = {text_col: F.col("clean_text"),
              chars_col: F.char_length("clean_text").cast(docs.schema[chars_col].dataType) if chars_col in docs.columns else None}
     clean = F.struct(*[(fixed[c] if c in fixed else F.col("_row")[c]).alias(c) for c in docs.columns])
@@ -162,7 +157,10 @@ lf AS (SELECT rid, l, n,
          OR (n < 5 AND NOT regexp_matches(b, '[.!?:;…"''”’»)\]]$'))
          OR (n <= 12 AND len(regexp_extract_all(b, ' [|>»•·] ')) >= 2)
          OR (n <= 12 AND regexp_matches(low, '^[^a-z]*(home|menu|log ?in|log ?out|sign ?in|sign ?up|next|previous|read more|show more|share|subscribe|search|contact us|about us|skip to content|back to top)[^a-z]*$'))
-         OR regexp_matches(low, 'javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|enable cookies')
+         OR (regexp_matches(low, 'javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|lorem ipsum|click here|enable cookies')
+             AND (n <= 12 OR 25 * n <= 100 * (
+               len(regexp_extract_all(low, 'javascript')) + 2 * len(regexp_extract_all(low, 'cookie policy|privacy policy|lorem ipsum|click here|enable cookies'))
+               + 3 * len(regexp_extract_all(low, 'terms of use|terms of service|all rights reserved')))))
          AS fails FROM lw),
 la AS (SELECT rid, count(*) - count(DISTINCT l) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_failed_lines,
               coalesce(sum(n) FILTER (WHERE fails), 0) AS words_lost FROM lf GROUP BY rid),
