@@ -59,7 +59,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 block_words: int = BLOCK_WORDS, max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix as (documents, sources, schedule).
 
-    documents: _row, _key (of id and text), doc_id, source, size, _start (place in its source's shuffled stream).
+    documents: _row, _key (of id, text and source), doc_id, source, size, _start (place in its source's shuffled stream).
     sources: source, source_size, target, quota. schedule: slot, source, epoch, _row, from_word, words - the pieces
     in the order of the mix; a slot is made of the pieces of one block.
     """
@@ -67,7 +67,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                        n_words(F.coalesce(F.col(text_col), F.lit(""))).alias("size"),
                        F.xxhash64(F.lit(SEED), F.col(id_col), F.col(text_col)).alias("_order"),
-                       row_key(id_col, text_col).alias("_key"), F.monotonically_increasing_id().alias("_row"))
+                       row_key(id_col, text_col, source_col).alias("_key"), F.monotonically_increasing_id().alias("_row"))
     rows = written(rows, "mix-rows")
     plan = source_plan(rows, max_repeats)
     sources = spark.createDataFrame(plan, "source string, source_size bigint, target double, quota bigint")
@@ -148,16 +148,17 @@ def mix_digest(docs: DataFrame, **columns) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents of the mix with the columns of ``docs``, each as often as the mix passes over it.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix with the columns of ``docs``, each as often as the mix passes over it. Rows equal in id, text and
+    source are alike: one of them stands for all, as often as the mix passes over all of them.
 
     A pass counts if the mix takes at least half of the document's words in it; only at a source's target is a document
     cut, so that this rounds one document per source. Documents without words are not in the mix.
     """
-    placed, _, mixed = mix_sources(docs, id_col, text_col, **options)
+    placed, _, mixed = mix_sources(docs, id_col, text_col, source_col, **options)
     passes = mixed.groupBy("_row", "epoch").agg(F.sum("words").alias("taken"))
     times = (passes.join(placed.select("_row", "_key", "size"), "_row").where("taken * 2 >= size")
              .groupBy("_key").agg(F.count("*").cast("int").alias("_times")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key(id_col, text_col).alias("_key"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key(id_col, text_col, source_col).alias("_key"))
     return (rows.join(times, "_key").dropDuplicates(["_key"])
             .select("_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*"))
