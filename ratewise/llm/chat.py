@@ -8,7 +8,8 @@ One conversation becomes one output text, so its turns meet in one row; that is
 
 Defined cases: null text and null role count as empty strings; turns with equal numbers are ordered by role, then text;
 null turn numbers come first; rows with a null ``conv_id`` form one conversation; repeated rows are repeated turns; a
-conversation whose roles break the order is still formatted, with ``valid`` false.
+conversation whose roles break the order is still formatted, with ``valid`` false; an empty table gives an empty result; extra
+columns, whatever their names, are ignored; a text of any length is escaped and read back whole.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Each round turns every node's larger neighbours, then its smaller ones, towards the smallest it sees, until nothing
     changes: a number of rounds logarithmic in the length of the longest chain. Nothing is collected but a checksum.
+
+    Defined cases: repeated links count once; a link of a node with itself, or with null, links nothing; no links give no rows.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     edges = written(edges, "links")

@@ -5,8 +5,8 @@ up, by a hash join, among the digests of known licence texts normalised in the s
 each of its paragraphs (parts between blank lines) and each of its lines, always entire. With ``runs``, which the
 registered query and its SQL do not use, known texts of several paragraphs are also found inside a longer document.
 
-Defined cases: null text has one empty unit that matches nothing; repeated rows and ids each give one row; an empty
-table gives an empty result; extra columns are ignored.
+Defined cases: null text has one empty unit that matches nothing; repeated rows and ids each give one row; a text that matches several licences names them all, sorted, so there are no ties; a text of any length is cut into units
+whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

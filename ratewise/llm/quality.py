@@ -5,7 +5,9 @@ removed; a document that loses too large a part of its words that way is rejecte
 rules look at length and at repeated word triples. All work is done inside one row, so there is no shuffle.
 
 Defined cases: null text counts as empty text (no words, rejected as too short); repeated rows and ids each give one
-row; an empty table gives an empty result; extra columns are ignored by :func:`line_quality`.
+row, and equal texts the same verdict (nothing is ranked, so there are no ties); a text of any length is judged whole, in its
+own row; an empty table gives an empty result; extra columns are ignored by :func:`line_quality` and kept by
+:func:`clean_documents`, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Every word is preceded by the word-start mark of the vocabulary. A character out
 tokens as it has UTF-8 bytes (byte fallback). Vocabulary files are read from a path that the caller gives.
 
 Defined cases: null text has 0 tokens; repeated rows and ids each give one row; an empty table gives an empty result;
-extra columns are ignored; a text is read whole and counted word by word, so its length does not matter.
+extra columns are ignored; a text is read whole and counted word by word, so its length does not matter. The longest piece
+always wins, and pieces of one length at one place are the same piece, so there are no ties.
 """
 
 from __future__ import annotations

@@ -492,6 +492,33 @@ def test_chats(spark):
     assert chat.chat_digest(chat.format_chats(df.limit(0))).count() == 0
 
 
+def test_chats_with_very_long_and_odd_texts(spark):
+    rng = random.Random(12)
+    long = "".join(rng.choice(["<|im_end|>", "\\\\", "<", "|", "ab ", "é😀", "\n"]) for _ in range(120_000))
+    data = [(1, 0, "user", long), (1, 1, "assistant", long[::-1]), (2, 0, "user", ""), (2, 1, "assistant", None), (2, 1, "assistant", "x"),
+            (3, None, "user", "first"), (3, 0, "assistant", "<|")]
+    schema = "conv_id bigint, turn int, role string, text string"
+    plain = spark.createDataFrame(data, schema)
+    clashing = spark.createDataFrame([(*r, 1, "f", True, [1], 2, "s") for r in data],
+                                     schema + ", n_turns int, formatted string, valid boolean, turns array<int>, loss_chars int, state string")
+    want = {}
+    for c in (1, 2, 3):
+        turns = sorted((t is not None, t or 0, r, x or "") for i, t, r, x in data if i == c)
+        loss = "".join(x for _, _, r, x in turns if r == "assistant")
+        want[c] = (len(turns), hashlib.sha256("".join(f"{r}\n{x}\n" for _, _, r, x in turns).encode()).hexdigest(), len(loss),
+                   hashlib.sha256(loss.encode()).hexdigest())
+    for df in (plain, clashing):
+        got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.chat_digest(chat.format_chats(df)).collect()}
+        assert got == want
+
+
+def test_components_of_odd_links(spark):
+    links = spark.createDataFrame([(1, 2), (2, 1), (2, 2), (3, 2), (None, 4), (5, None), (7, 6), (7, 6)], "a bigint, b bigint")
+    got = {r.node: r.root for r in components.connected_components(links, "a", "b").collect()}
+    assert got == {2: 1, 3: 1, 7: 6}
+    assert components.connected_components(links.limit(0), "a", "b").count() == 0
+
+
 # 9 licences
 
 def test_licenses(spark, odd, none):
