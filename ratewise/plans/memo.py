@@ -20,12 +20,15 @@ _KEPT: dict[tuple, tuple] = {}
 
 
 def folder_state(spark: SparkSession, folder: str, tables: tuple[str, ...] = TABLES) -> tuple:
-    """(table, bytes, files, time of change) of each table, by three calls to the file system that holds it."""
+    """(table, bytes, files, time of change) of each table, by a few calls to the file system that holds it; (table,) where it is missing."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for t in tables:
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{t}.parquet")
         fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            out.append((t,))
+            continue
         size = fs.getContentSummary(path)
         out.append((t, size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
     return tuple(out)
