@@ -1,18 +1,26 @@
 """Benchmark decontamination with a positional inverted index (operator 6, built-in functions only).
 
 Benchmark items are cut into windows of consecutive words. The index holds the postings (term, text, position) of the
-corpus for the terms that a search starts from: the two rarest of each window, by their counts in the whole corpus.
-Postings are aligned to where the window would begin, and the lists of a window are intersected from its rarest term
-on: equal beginnings are phrase candidates, beginnings at most ``slop`` apart proximity candidates. Candidates are then
-compared with all words of the window, in the text's own row.
+corpus for the terms that a search starts from: the rarest of each window, by their counts in the whole corpus.
+
+Phrases: postings of a window's two rarest places are aligned to where the window would begin and intersected; what is
+left is compared with all words of the window, in the text's own row.
+
+Proximity: a window is near in a text if at least ``NEAR_SHARE`` of its distinct words stand in some stretch of
+``slop`` words more on either side than the window has (a shorter text is one stretch), and the text does not hold it as
+a phrase. If m of its d distinct words may be missing, any m + 2 of them leave two in such a stretch, so blocks of the
+text with two of the window's m + 2 rarest words (with the rarest m + 1 words, if one word is enough) miss no match.
+Only these blocks are cut from the texts and compared.
 
 The index is keyed by a hash of the text, so copies of a text are looked up once; a clash of two texts adds candidates
-that the comparison turns down and loses none. Benchmark windows are searched in blocks of a fixed size, and only
-such a block, or a vocabulary whose measured size is under a bound, is broadcast.
+that the comparison turns down and loses none; near windows (``n_near``) are counted by that hash. Benchmark windows are
+searched in blocks of a fixed size, written one by one, and only such a block, or a vocabulary, whose measured size is
+under a bound, is broadcast.
 
 Defined cases: null text has no words; an item without words has no window, a shorter one than a window is one window;
 a null item_id counts for hits but not among the items; repeated rows of either table change nothing but repeat their
-own output; empty tables give no hits; extra columns are ignored.
+own output; a text of any length is searched whole; words of equal count rank in order of their place (phrases) or the
+word (proximity), which changes no result; empty tables give no hits; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ratewise.llm.scratch import broadcast_if_small, written
+from ratewise.llm.scratch import broadcast_if_small, new_path, written
 from ratewise.llm.text import ascii_lower, let
 
 WINDOW = 10
 SLOP = 3
-#: A proximity match has at least this share of the window's distinct words within ``slop`` words of its place.
+#: A proximity match has at least this share of the window's distinct words.
 NEAR_SHARE = 0.8
 BLOCK_WINDOWS = 50_000
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,65 +71,111 @@ def positional_index(docs: DataFrame, text_col: str, terms: DataFrame | None = N
     return found.groupBy("term", "key", "pos").agg(F.lit(1).alias("_")).drop("_")
 
 
-def rarest_terms(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """wid, len, rank (1: rarest), term, off: the two rarest places of each window, which must occur in the corpus."""
-    places = windows.select("wid", F.size("words").alias("len"), F.posexplode("words").alias("off", "term"))
-    ranked = places.join(counts, "term").withColumn(
-        "rank", F.row_number().over(W.partitionBy("wid").orderBy("n", "off"))).withColumn(
-        "known", F.count("*").over(W.partitionBy("wid")))
-    # A window with a term that the corpus lacks has no phrase match; its known terms still serve proximity.
-    return ranked.where("rank <= 2").select("wid", "len", "rank", "term", "off", "known")
+def rarest_places(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """wid, places, rank (1: rarest), term, off: the two rarest places of each window whose words all occur in the corpus."""
+    places = windows.select("wid", F.size("words").alias("places"), F.posexplode("words").alias("off", "term"))
+    of = W.partitionBy("wid")
+    ranked = places.join(counts, "term").select(
+        "wid", "places", "term", "off", F.row_number().over(of.orderBy("n", "off")).alias("rank"), F.count("*").over(of).alias("known"))
+    return ranked.where("rank <= 2 AND known = places").drop("known")
+
+
+def needed(words: Column) -> Column:
+    """Distinct words that a proximity match must have."""
+    return F.ceil(F.size(F.array_distinct(words)) * F.lit(NEAR_SHARE)).cast("int")
+
+
+def rarest_words(windows: DataFrame, counts: DataFrame, slop: int) -> DataFrame:
+    """wid, width (words of a stretch), least (of these words that a match has), rank, term: the rarest distinct words of
+    each window, as many as leave ``least`` of them in any match; words that the corpus lacks are the rarest."""
+    terms = windows.select("wid", (F.size("words") + 2 * slop).alias("width"), needed(F.col("words")).alias("need"),
+                           F.array_distinct("words").alias("terms"))
+    terms = terms.select("wid", "width", F.least("need", F.lit(2)).alias("least"), (F.size("terms") - F.col("need")).alias("missing"),
+                         F.explode("terms").alias("term"))
+    rank = F.row_number().over(W.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "term"))
+    ranked = terms.join(counts, "term", "left").withColumn("rank", rank)
+    return ranked.where("n IS NOT NULL AND rank <= missing + least").select("wid", "width", "least", "rank", "term")
+
 
+def phrase_candidates(index: DataFrame, rarest: DataFrame) -> DataFrame:
+    """key, wid, start: where the lists of a window's two rarest places (of its only one) have one beginning."""
+    def aligned(of) -> DataFrame:
+        probe = broadcast_if_small(rarest.where(of), "term")
+        return index.join(probe, "term").select("key", "wid", (F.col("pos") - F.col("off")).alias("start"))
 
-def candidates(index: DataFrame, rarest: DataFrame, slop: int) -> DataFrame:
-    """key, wid, start, gap: where the two rarest lists of a window meet (gap 0: at one beginning)."""
-    def aligned(rank: int) -> DataFrame:
-        probe = rarest.where(F.col("rank") == rank).select("term", "wid", "off", "known")
-        return index.join(F.broadcast(probe), "term").select("key", "wid", (F.col("pos") - F.col("off")).alias("start"), "known")
+    first, second = aligned("rank = 1 AND places > 1"), aligned("rank = 2")
+    return first.join(second, ["key", "wid", "start"]).unionByName(aligned("places = 1")).where("start >= 0")
 
-    bucket = F.floor(F.col("start") / (slop + 1))
-    one = aligned(1)
-    first = one.where("known > 1").select("key", "wid", "start", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    second = aligned(2).select("key", "wid", F.col("start").alias("other"), bucket.alias("b"))
-    met = (first.join(second, ["key", "wid", "b"]).where(F.abs(F.col("start") - F.col("other")) <= slop)
-           .groupBy("key", "wid", "start").agg(F.min(F.abs(F.col("start") - F.col("other"))).alias("gap")))
-    single = one.where("known = 1").select("key", "wid", "start", F.lit(0).alias("gap"))
-    return met.unionByName(single)
+
+def near_blocks(index: DataFrame, rarest: DataFrame) -> DataFrame:
+    """key, wid, width, begin: blocks of two widths of a text in whose first half a near stretch may begin."""
+    met = index.join(broadcast_if_small(rarest, "term"), "term")
+    block = F.floor(F.col("pos") / F.col("width")).cast("int")
+    met = met.select("key", "wid", "width", "least", "rank", F.explode(F.array(block - 1, block)).alias("block")).where("block >= 0")
+    found = met.groupBy("key", "wid", "width", "least", "block").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    return found.where("least < 2 OR low < high").select("key", "wid", "width", (F.col("block") * F.col("width")).alias("begin"))
+
+
+def near_windows(docs: DataFrame, text_col: str, blocks: DataFrame, windows: DataFrame) -> DataFrame:
+    """key, wid, start: the windows near in a text, phrases included, and where the first stretch that shows it begins."""
+    wanted = blocks.groupBy("key").agg(F.collect_set(F.struct("begin", "width")).alias("wanted"))
+    texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(wanted, "key")
+    pieces = texts.select("key", index_words(F.col("text")).alias("ws"), "wanted").select("key", "ws", F.inline("wanted"))
+    pieces = pieces.select("key", "begin", "width", F.slice("ws", F.col("begin") + 1, F.col("width") * 2).alias("piece")).distinct()
+    terms = windows.select("wid", F.array_distinct("words").alias("terms"), needed(F.col("words")).alias("need"))
+    met = pieces.join(blocks, ["key", "begin", "width"]).join(terms, "wid")
+
+    def enough(words: Column) -> Column:
+        return F.size(F.array_intersect("terms", words)) >= F.col("need")
+
+    met = met.where(enough(F.col("piece")))
+    firsts = F.filter(F.sequence(F.lit(0), F.col("width") - 1), lambda i: enough(F.slice("piece", i + 1, F.col("width"))))
+    met = met.select("key", "wid", (F.col("begin") + F.get(firsts, F.lit(0))).alias("start"))
+    return met.where("start IS NOT NULL").groupBy("key", "wid").agg(F.min("start").alias("start"))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-           item_text_col: str = "text", window: int = WINDOW, slop: int = SLOP) -> DataFrame:
-    """``docs`` (columns as given, in struct ``_row``) with words, hits and near: the verified (start, words, items)."""
+           item_text_col: str = "text", window: int = WINDOW, slop: int = SLOP, proximity: bool = True) -> DataFrame:
+    """``docs`` (columns as given, in struct ``_row``) with words, hits (start, words, items of each phrase match) and, with
+    ``proximity``, near: (start, wid) of each window near in the text, those that are phrases too."""
     windows = written(benchmark_windows(benchmark, item_col, item_text_col, window), "windows")
     terms = written(windows.select(F.explode("words").alias("term")).distinct(), "terms")
     counts = written(term_counts(docs, text_col, terms), "term-counts")
-    rarest = written(rarest_terms(windows, counts), "rarest")
-    index = written(positional_index(docs, text_col, rarest.select("term").distinct()), "postings")
+    places = written(rarest_places(windows, counts), "places")
+    starts = places.select("term")
+    if proximity:
+        words = written(rarest_words(windows, counts, slop), "rarest")
+        starts = starts.union(words.select("term"))
+    index = written(positional_index(docs, text_col, starts.distinct()), "postings")
     blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
-    found = []
+    phrases, nears = [], []
     for k in range(blocks):
         of = F.pmod("wid", F.lit(blocks)) == k
-        met = candidates(index, rarest.where(of), slop)
-        found.append(met.join(windows.where(of), "wid"))
-    met = found[0]
-    for more in found[1:]:
-        met = met.unionByName(more)
+        phrases.append(new_path(docs.sparkSession, "phrases"))
+        phrase_candidates(index, places.where(of)).write.parquet(phrases[-1])
+        if proximity:
+            nears.append(new_path(docs.sparkSession, "near"))
+            near_blocks(index, words.where(of)).write.parquet(nears[-1])
+    met = docs.sparkSession.read.parquet(*phrases).join(windows, "wid")
     # Written, so that the join below has a plain shuffle on both sides and AQE can split a text with very many copies.
-    by_text = written(met.groupBy("key").agg(F.collect_list(F.struct("start", "gap", "words", "items")).alias("met")), "met")
+    by_text = met.groupBy("key").agg(F.collect_list(F.struct("start", "words", "items")).alias("met"))
+    if proximity:
+        near = near_windows(docs, text_col, docs.sparkSession.read.parquet(*nears), windows)
+        near = written(near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "wid"))).alias("near")), "near-by-text")
+        by_text = by_text.join(near, "key", "full")
+    by_text = written(by_text, "met")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_key(F.col(text_col)).alias("key"))
-    rows = rows.join(by_text, "key", "left").select("_row", index_words(F.col("_row")[text_col]).alias("words"), "met")
+    more = [empty_if_null(by_text, "near")] if proximity else []
+    rows = rows.join(by_text, "key", "left").select("_row", index_words(F.col("_row")[text_col]).alias("words"), empty_if_null(by_text, "met"), *more)
 
     def exact(c: Column) -> Column:
-        return (c["start"] >= 0) & (F.slice(F.col("words"), F.greatest(c["start"], F.lit(0)) + 1, F.size(c["words"])) == c["words"])
+        return F.slice(F.col("words"), c["start"] + 1, F.size(c["words"])) == c["words"]
+
+    return rows.select("_row", "words", F.filter("met", exact).alias("hits"), *(["near"] if proximity else []))
 
-    def near(c: Column) -> Column:
-        around = F.slice(F.col("words"), F.greatest(c["start"] - slop, F.lit(0)) + 1, F.size(c["words"]) + 2 * slop)
-        return F.size(F.array_intersect(c["words"], around)) >= F.size(F.array_distinct(c["words"])) * NEAR_SHARE
 
-    met = F.coalesce("met", F.array().cast(by_text.schema["met"].dataType))
-    rows = rows.select("_row", "words", met.alias("met"))
-    rows = rows.select("_row", "words", "met", F.filter("met", lambda c: (c["gap"] == 0) & exact(c)).alias("hits"))
-    return rows.select("_row", "words", "hits", F.filter("met", lambda c: ~((c["gap"] == 0) & exact(c)) & near(c)).alias("near"))
+def empty_if_null(table: DataFrame, column: str) -> Column:
+    return F.coalesce(column, F.array().cast(table.schema[column].dataType)).alias(column)
 
 
 def covered(hits: Column) -> Column:
@@ -137,18 +191,20 @@ def covered(hits: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near (proximity matches that are no phrase)."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near (windows near in the text, but no phrase of it)."""
     out = search(docs, benchmark, **columns)
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
+    # Every phrase is also near, so the phrases are the part of the near windows to leave out.
+    phrases = F.size(F.array_distinct(F.transform("hits", lambda h: h["words"])))
     out = out.select(F.col("_row")[id_col].alias("doc_id"), F.size("words").cast("bigint").alias("n_words"),
-                     covered(F.col("hits")).alias("n_hit"), items.alias("items"), F.size("near").cast("bigint").alias("n_near"))
+                     covered(F.col("hits")).alias("n_hit"), items.alias("items"), (F.size("near") - phrases).cast("bigint").alias("n_near"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
     """The documents without any window of the benchmark, with the columns of ``docs``."""
-    return search(docs, benchmark, **columns).where("size(hits) = 0").select("_row.*")
+    return search(docs, benchmark, proximity=False, **columns).where("size(hits) = 0").select("_row.*")
 
 
 ORACLE = r"""
@@ -161,22 +217,19 @@ b AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, list_fil
 w AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g
       FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM b)),
 p AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM w)),
-h AS (SELECT rid, i, n, item_id FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM p) JOIN w USING (n, g)),
+h AS (SELECT rid, i, n, g, item_id FROM (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM p) JOIN w USING (n, g)),
+hg AS (SELECT DISTINCT rid, g FROM h),
 c AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM h, range(10) AS o(k) WHERE k < n GROUP BY rid),
 t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY rid),
 tok AS (SELECT rid, unnest(ws) AS term, unnest(range(len(ws))) AS pos FROM d),
-pl AS (SELECT g, unnest(string_split(g, ' ')) AS term, unnest(range(len(string_split(g, ' ')))) AS off FROM (SELECT DISTINCT g FROM w)),
-rk AS (SELECT pl.*, row_number() OVER (PARTITION BY g ORDER BY c.n, off) AS rank, count(*) OVER (PARTITION BY g) AS known
-       FROM pl JOIN (SELECT term, count(*) AS n FROM tok GROUP BY term) c USING (term)),
-a AS (SELECT rid, g, rank, known, pos - off AS start FROM tok JOIN rk USING (term) WHERE rank <= 2),
-met AS (SELECT x.rid, x.g, x.start, min(abs(x.start - y.start)) AS gap FROM a x JOIN a y
-          ON x.rid = y.rid AND x.g = y.g AND x.rank = 1 AND y.rank = 2 AND abs(x.start - y.start) <= 3 GROUP BY ALL
-        UNION ALL SELECT rid, g, start, 0 FROM a WHERE known = 1),
-ck AS (SELECT rid, start, gap, ws, string_split(g, ' ') AS wd, greatest(start - 3, 0) AS lo FROM met JOIN d USING (rid)),
-nr AS (SELECT rid, count(*) AS n_near FROM ck
-       WHERE NOT (gap = 0 AND start >= 0 AND ws[greatest(start, 0) + 1:greatest(start, 0) + len(wd)] = wd)
-         AND len(list_intersect(list_distinct(wd), ws[lo + 1:lo + len(wd) + 6])) >= len(list_distinct(wd)) * 0.8 GROUP BY rid)
+v AS (SELECT g, list_distinct(string_split(g, ' ')) AS wd, len(string_split(g, ' ')) + 6 AS width FROM (SELECT DISTINCT g FROM w)),
+vt AS (SELECT g, unnest(wd) AS term FROM v),
+able AS (SELECT rid, g FROM (SELECT DISTINCT rid, term FROM tok) JOIN vt USING (term) JOIN v USING (g) GROUP BY ALL
+         HAVING count(*) >= 0.8 * any_value(len(wd))),
+nr AS (SELECT rid, count(DISTINCT g) AS n_near FROM able JOIN v USING (g) JOIN vt USING (g) JOIN tok USING (rid, term) JOIN d USING (rid)
+       WHERE len(list_intersect(wd, ws[pos + 1:pos + width])) >= 0.8 * len(wd)
+         AND (rid, g) NOT IN (SELECT rid, g FROM hg) GROUP BY rid)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
   CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
