@@ -9,8 +9,8 @@ left is compared with all words of the window, in the text's own row.
 Proximity: a window is near in a text if at least ``NEAR_SHARE`` of its distinct words stand in some stretch of
 ``slop`` words more on either side than the window has (a shorter text is one stretch), and the text does not hold it as
 a phrase. If m of its d distinct words may be missing, any m + 2 of them leave two in such a stretch, so blocks of the
-text with two of the window's m + 2 rarest words (with the rarest m + 1 words, if one word is enough) miss no match.
-Only these blocks are cut from the texts and compared.
+text with two of the window's m + 2 rarest words (with one, if one word is enough) miss no match: postings are gathered
+into blocks, and pairs of terms of a block meet the windows that have them. Only blocks so found are cut from the texts and compared.
 
 The index is keyed by a hash of the text, so copies of a text are looked up once; a clash of two texts adds candidates
 that the comparison turns down and loses none; near windows (``n_near``) are counted by that hash. Benchmark windows are
@@ -85,16 +85,23 @@ def needed(words: Column) -> Column:
     return F.ceil(F.size(F.array_distinct(words)) * F.lit(NEAR_SHARE)).cast("int")
 
 
-def rarest_words(windows: DataFrame, counts: DataFrame, slop: int) -> DataFrame:
-    """wid, width (words of a stretch), least (of these words that a match has), rank, term: the rarest distinct words of
-    each window, as many as leave ``least`` of them in any match; words that the corpus lacks are the rarest."""
-    terms = windows.select("wid", (F.size("words") + 2 * slop).alias("width"), needed(F.col("words")).alias("need"),
-                           F.array_distinct("words").alias("terms"))
-    terms = terms.select("wid", "width", F.least("need", F.lit(2)).alias("least"), (F.size("terms") - F.col("need")).alias("missing"),
+def rare_pairs(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """wid, a, b, pair: pairs (a <= b) of the rarest distinct words of each window, of as many as leave two of them in any
+    match; words that the corpus lacks are the rarest. Where one word makes a match, the word with itself."""
+    terms = windows.select("wid", needed(F.col("words")).alias("need"), F.array_distinct("words").alias("terms"))
+    terms = terms.select("wid", F.least("need", F.lit(2)).alias("least"), (F.size("terms") - F.col("need")).alias("missing"),
                          F.explode("terms").alias("term"))
     rank = F.row_number().over(W.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "term"))
-    ranked = terms.join(counts, "term", "left").withColumn("rank", rank)
-    return ranked.where("n IS NOT NULL AND rank <= missing + least").select("wid", "width", "least", "rank", "term")
+    rare = terms.join(counts, "term", "left").withColumn("rank", rank).where("n IS NOT NULL AND rank <= missing + least")
+    rare = rare.groupBy("wid", "least").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    return pairs_of(rare, "wid", "least").where("least < 2 OR a < b").drop("least")
+
+
+def pairs_of(sets: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, a, b, pair: the pairs a <= b of each sorted set ``terms``."""
+    first = sets.select(*columns, "terms", F.posexplode("terms").alias("i", "a"))
+    both = first.select(*columns, "a", F.explode(F.slice("terms", F.col("i") + 1, F.size("terms"))).alias("b"))
+    return both.withColumn("pair", F.concat_ws("\x00", "a", "b"))
 
 
 def phrase_candidates(index: DataFrame, rarest: DataFrame) -> DataFrame:
@@ -107,30 +114,35 @@ def phrase_candidates(index: DataFrame, rarest: DataFrame) -> DataFrame:
     return first.join(second, ["key", "wid", "start"]).unionByName(aligned("places = 1")).where("start >= 0")
 
 
-def near_blocks(index: DataFrame, rarest: DataFrame) -> DataFrame:
-    """key, wid, width, begin: blocks of two widths of a text in whose first half a near stretch may begin."""
-    met = index.join(broadcast_if_small(rarest, "term"), "term")
-    block = F.floor(F.col("pos") / F.col("width")).cast("int")
-    met = met.select("key", "wid", "width", "least", "rank", F.explode(F.array(block - 1, block)).alias("block")).where("block >= 0")
-    found = met.groupBy("key", "wid", "width", "least", "block").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
-    return found.where("least < 2 OR low < high").select("key", "wid", "width", (F.col("block") * F.col("width")).alias("begin"))
+def term_blocks(index: DataFrame, width: int) -> DataFrame:
+    """key, block, terms: the indexed terms of each block of two ``width`` words; blocks begin every ``width`` words."""
+    block = F.floor(F.col("pos") / width).cast("int")
+    found = index.select("key", "term", F.explode(F.array(block - 1, block)).alias("block")).where("block >= 0")
+    return found.groupBy("key", "block").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+
 
+def near_blocks(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, block, wid: blocks with a pair of a window's rarest words, so that a near stretch may begin in their first half."""
+    met = pairs_of(blocks, "key", "block").join(broadcast_if_small(pairs.select("pair", "wid"), "pair"), "pair")
+    return met.select("key", "block", "wid").distinct()
 
-def near_windows(docs: DataFrame, text_col: str, blocks: DataFrame, windows: DataFrame) -> DataFrame:
+
+def near_windows(docs: DataFrame, text_col: str, blocks: DataFrame, windows: DataFrame, slop: int, width: int) -> DataFrame:
     """key, wid, start: the windows near in a text, phrases included, and where the first stretch that shows it begins."""
-    wanted = blocks.groupBy("key").agg(F.collect_set(F.struct("begin", "width")).alias("wanted"))
+    wanted = blocks.groupBy("key").agg(F.collect_set("block").alias("wanted"))
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(wanted, "key")
-    pieces = texts.select("key", index_words(F.col("text")).alias("ws"), "wanted").select("key", "ws", F.inline("wanted"))
-    pieces = pieces.select("key", "begin", "width", F.slice("ws", F.col("begin") + 1, F.col("width") * 2).alias("piece")).distinct()
-    terms = windows.select("wid", F.array_distinct("words").alias("terms"), needed(F.col("words")).alias("need"))
-    met = pieces.join(blocks, ["key", "begin", "width"]).join(terms, "wid")
+    pieces = texts.select("key", index_words(F.col("text")).alias("ws"), "wanted").select("key", "ws", F.explode("wanted").alias("block"))
+    pieces = pieces.select("key", "block", F.slice("ws", F.col("block") * width + 1, 2 * width).alias("piece")).distinct()
+    terms = windows.select("wid", F.array_distinct("words").alias("terms"), needed(F.col("words")).alias("need"),
+                           (F.size("words") + 2 * slop).alias("size"))
+    met = pieces.join(blocks, ["key", "block"]).join(terms, "wid")
 
     def enough(words: Column) -> Column:
         return F.size(F.array_intersect("terms", words)) >= F.col("need")
 
     met = met.where(enough(F.col("piece")))
-    firsts = F.filter(F.sequence(F.lit(0), F.col("width") - 1), lambda i: enough(F.slice("piece", i + 1, F.col("width"))))
-    met = met.select("key", "wid", (F.col("begin") + F.get(firsts, F.lit(0))).alias("start"))
+    firsts = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: enough(F.slice("piece", i + 1, F.col("size"))))
+    met = met.select("key", "wid", (F.col("block") * width + F.get(firsts, F.lit(0))).alias("start"))
     return met.where("start IS NOT NULL").groupBy("key", "wid").agg(F.min("start").alias("start"))
 
 
@@ -144,9 +156,12 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     places = written(rarest_places(windows, counts), "places")
     starts = places.select("term")
     if proximity:
-        words = written(rarest_words(windows, counts, slop), "rarest")
-        starts = starts.union(words.select("term"))
+        pairs = written(rare_pairs(windows, counts), "pairs")
+        starts = starts.union(pairs.select(F.explode(F.array("a", "b"))))
     index = written(positional_index(docs, text_col, starts.distinct()), "postings")
+    width = window + 2 * slop
+    if proximity:
+        found = written(term_blocks(index, width), "term-blocks")
     blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
     phrases, nears = [], []
     for k in range(blocks):
@@ -155,12 +170,12 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
         phrase_candidates(index, places.where(of)).write.parquet(phrases[-1])
         if proximity:
             nears.append(new_path(docs.sparkSession, "near"))
-            near_blocks(index, words.where(of)).write.parquet(nears[-1])
+            near_blocks(found, pairs.where(of)).write.parquet(nears[-1])
     met = docs.sparkSession.read.parquet(*phrases).join(windows, "wid")
     # Written, so that the join below has a plain shuffle on both sides and AQE can split a text with very many copies.
     by_text = met.groupBy("key").agg(F.collect_list(F.struct("start", "words", "items")).alias("met"))
     if proximity:
-        near = near_windows(docs, text_col, docs.sparkSession.read.parquet(*nears), windows)
+        near = near_windows(docs, text_col, docs.sparkSession.read.parquet(*nears), windows, slop, width)
         near = written(near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "wid"))).alias("near")), "near-by-text")
         by_text = by_text.join(near, "key", "full")
     by_text = written(by_text, "met")
