@@ -73,3 +73,18 @@ def test_friend_ratings_hot_user(spark):
     base = run()
     split = with_conf(spark, SKEW_CONF, run)
     assert split == base and len(base) > 0
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_balanced_sample_shuffles_no_rating_whole(spark):
+    """Joined by a shuffle, all rows of a rating met in one task."""
+    from ratewise.operators import ranking as R
+    r = spark.createDataFrame([("u", "b", 1.0, "k")], "user_id string, business_id string, stars double, pair_key string")
+    p = with_conf(spark, NO_BROADCAST, lambda: plan(R.balanced_sample(r)))
+    assert "SortMergeJoin" not in p and p.count("BroadcastHashJoin") == 2
