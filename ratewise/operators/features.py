@@ -179,7 +179,8 @@ def attach_sides(pairs: DataFrame, us: DataFrame, bs: DataFrame) -> DataFrame:
     """Pairs left-joined with user and business sides; missing slots are 0.
 
     Also used with a streaming ``pairs`` (stream-static left joins)."""
-    j = pairs.join(us, "user_id", "left").join(bs, "business_id", "left")
+    # the side with fewer columns first: its columns are shuffled on to the second join
+    j = pairs.join(bs, "business_id", "left").join(us, "user_id", "left")
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
     keep = [c for c in pairs.columns]
     filled = j.select(*keep, *[zero(c) for c in USER_SLOTS + BUSINESS_SLOTS + TIP_SLOTS])

@@ -64,9 +64,8 @@ class Tables:
 
     @property
     def reviews(self) -> DataFrame:
-        # dealt evenly by a key without hot values, as the scans of the stored table take their parallelism from its files
-        return kept(self.spark, self.sf_dir, "reviews", lambda: stored(
-            FX.reviews(self.spark, self.sf_dir).repartition("pair_key"), "reviews"))
+        # dealt by the join, as the scans of the stored table take their parallelism from its files
+        return kept(self.spark, self.sf_dir, "reviews", lambda: stored(FX.reviews(self.spark, self.sf_dir, dealt=True), "reviews"))
 
     @property
     def train(self) -> DataFrame:

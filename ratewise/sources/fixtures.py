@@ -53,14 +53,17 @@ def rating(user, business, noise):
     return F.least(F.lit(5.0), F.greatest(F.lit(1.0), F.floor(tenths / 10).cast("double")))
 
 
-def reviews(spark: SparkSession, sf_dir: str, only_user: int | None = None) -> DataFrame:
-    """lineitem join orders: user_id, business_id, stars, ts, pair_key; ``only_user`` one customer key, filtered in the scan."""
+def reviews(spark: SparkSession, sf_dir: str, only_user: int | None = None, dealt: bool = False) -> DataFrame:
+    """lineitem join orders: user_id, business_id, stars, ts, pair_key; ``only_user`` one customer key, filtered in the scan.
+
+    ``dealt``: joined by a shuffle of the order keys at any size, so that the rows lie evenly in partitions; the five short columns
+    of lineitem are shuffled for it, not the longer rows of the result."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     if only_user is not None:
         od = od.filter(F.col("o_custkey") == only_user)
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    j = li.join(od.hint("merge") if dealt else od, li.l_orderkey == od.o_orderkey, "inner")
     part = F.col("l_partkey").cast("string")
     minutes = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 1440
     return j.select(

@@ -88,3 +88,18 @@ def test_balanced_sample_shuffles_no_rating_whole(spark):
     r = spark.createDataFrame([("u", "b", 1.0, "k")], "user_id string, business_id string, stars double, pair_key string")
     p = with_conf(spark, NO_BROADCAST, lambda: plan(R.balanced_sample(r)))
     assert "SortMergeJoin" not in p and p.count("BroadcastHashJoin") == 2
+
+
+def test_stored_reviews_are_shuffled_once(spark):
+    from ratewise.sources import fixtures as FX
+    p = plan(FX.reviews(spark, SF_SMALL, dealt=True))
+    assert p.count("Exchange hashpartitioning(") == 2 and "hashpartitioning(l_orderkey" in p and "hashpartitioning(o_orderkey" in p
+
+
+def test_the_narrower_side_is_shuffled_on(spark):
+    t = Tables(spark, SF_SMALL)
+    us, bs = (spark.createDataFrame([], ", ".join([f"{k} string", *[f"{c} double" for c in cols]]))
+              for k, cols in (("user_id", FE.USER_SLOTS + FE.TIP_SLOTS[:3]), ("business_id", FE.BUSINESS_SLOTS + FE.TIP_SLOTS[3:])))
+    p = with_conf(spark, NO_BROADCAST, lambda: plan(FE.attach_sides(t.test_pairs.select("user_id", "business_id"), us, bs)))
+    joins = [x for x in p.split("\n") if "SortMergeJoin" in x]
+    assert len(joins) == 2 and "[user_id" in joins[0] and "[business_id" in joins[1]  # the plan's first line is its last join
