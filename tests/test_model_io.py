@@ -221,3 +221,18 @@ def test_synonyms_are_neighbours(spark):
     emb = {r.business_id: r.embedding for r in EM.category_embedding(df, 6).collect()}
     assert len(emb) == 602 and not any(emb["none"]) and any(emb["lone"])
     assert EM.category_embedding(spark.createDataFrame([], df.schema), 6).collect() == []
+
+
+def test_many_training_rows_get_partitions_by_the_root():
+    p = MD.GBTParams()
+    assert [MD.n_partitions(k << 16, p) for k in (0, 1, 8, 64, 256, 6400)] == [1, 1, 8, 64, 128, 640]
+    assert MD.n_partitions(1 << 40, MD.GBTParams(partitions=3)) == 3
+
+
+def test_vectors_do_not_take_the_memory_of_the_trees(spark):
+    p = MD.GBTParams()
+    prepared = MD.Prepared(MD.training_table(planted(spark, n=50), FE.FEATURES, p), p, FE.FEATURES)
+    try:
+        assert all(df.storageLevel.useDisk and not df.storageLevel.useMemory for df in (prepared.fit, prepared.validation))
+    finally:
+        prepared.close()
