@@ -44,6 +44,15 @@ def marked_words(text) -> Column:
     return F.flatten(F.transform(clauses, marked))
 
 
+def with_words(tips: DataFrame) -> DataFrame:
+    """``tips`` with their :func:`marked_words` as ``words`` instead of the text. Stored, they are marked once for fitting and scoring."""
+    return tips.withColumn("words", marked_words("text")).drop("text")
+
+
+def words_of(tips: DataFrame) -> Column:
+    return F.col("words") if "words" in tips.columns else marked_words("text")
+
+
 def business_labels(reviews: DataFrame) -> DataFrame:
     """business_id, positive: whether the mean rating of the business reaches the mean of all reviews."""
     stars = F.col("stars").cast("double")
@@ -54,8 +63,8 @@ def business_labels(reviews: DataFrame) -> DataFrame:
 
 def fit_lexicon(tips: DataFrame, reviews: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, z: float = Z) -> DataFrame:
     """word, n_pos, n_neg, weight (smoothed log-odds), z, of the words that pass ``min_count`` and ``z``."""
-    labelled = tips.select("business_id", "text").join(business_labels(reviews), "business_id")
-    words = labelled.select("positive", F.explode(marked_words("text")).alias("word"))
+    labelled = tips.select("business_id", "words" if "words" in tips.columns else "text").join(business_labels(reviews), "business_id")
+    words = labelled.select("positive", F.explode(words_of(tips)).alias("word"))
     counts = words.groupBy("word").agg(F.count_if("positive").alias("n_pos"), F.count_if(~F.col("positive")).alias("n_neg"))
     totals = counts.agg(F.struct(F.sum("n_pos").alias("pos"), F.sum("n_neg").alias("neg"), F.count(F.lit(1)).alias("words"))).scalar()
     pos, neg, mass = F.col("n_pos") + alpha, F.col("n_neg") + alpha, alpha * F.col("_t.words")
@@ -67,7 +76,7 @@ def fit_lexicon(tips: DataFrame, reviews: DataFrame, alpha: float = ALPHA, min_c
 
 def score_tips(tips: DataFrame, lexicon: DataFrame, key: list[str]) -> DataFrame:
     """``key``, tokens, score_sum, score_avg per ``key`` of the tips, by the weights of ``lexicon``."""
-    words = tips.select(*key, F.explode_outer(marked_words("text")).alias("word"))
+    words = tips.select(*key, F.explode_outer(words_of(tips)).alias("word"))
     return (words.join(lexicon.select("word", F.col("weight").cast("double").alias("weight")), "word", "left").groupBy(*key)
             .agg(F.count("word").alias("tokens"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score_sum"))
             .select(*key, "tokens", "score_sum", X.safe_ratio(F.col("score_sum"), F.col("tokens")).alias("score_avg")))

@@ -466,7 +466,8 @@ def q_sentiment_lexicon(spark, sf_dir):
 @register("tip_sentiment_fitted")
 def q_tip_sentiment_fitted(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return rounded(SE.score_tips(t.tips, SE.fit_lexicon(t.tips, t.train), ["business_id"]))
+    tips = kept(spark, sf_dir, "tip words", lambda: stored(SE.with_words(t.tips.select("business_id", "text")), "tip-words"))
+    return rounded(SE.score_tips(tips, SE.fit_lexicon(tips, t.train), ["business_id"]))
 
 
 @register("sentiment_sign_test")

@@ -211,3 +211,16 @@ def test_scores_without_words_or_ratings(spark):
     assert SE.fit_lexicon(tips, none).collect() == [] and SE.sign_test(tips, none).first().n == 0
     assert {r.score_sum for r in SE.score_tips(tips, SE.fit_lexicon(tips, none), ["business_id"]).collect()} == {0.0}
     assert SE.score_tips(spark.createDataFrame([], TIPS), SE.fit_lexicon(tips, reviews), ["business_id"]).collect() == []
+
+
+def test_tips_are_marked_once(spark):
+    """Fitting and scoring each split every text before; texts without words and null texts keep their rows."""
+    tips = spark.createDataFrame([("b1", "not good, fine"), ("b1", "fine fine"), ("b2", ""), ("b3", None)], "business_id string, text string")
+    reviews = spark.createDataFrame([("b1", 5.0), ("b2", 1.0), ("b3", 1.0)], "business_id string, stars double")
+    marked = SE.with_words(tips)
+    run = lambda t: sorted(map(tuple, SE.score_tips(t, SE.fit_lexicon(t, reviews, min_count=1, z=0.0), ["business_id"]).collect()))
+    assert run(marked) == run(tips) and [r[1] for r in run(marked)] == [5, 0, 0]
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    plan = E.queries()["tip_sentiment_fitted"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "n['’]t" not in plan and "words" in plan
