@@ -164,19 +164,23 @@ def neighborhood_stats(business: DataFrame) -> DataFrame:
         (F.col("stars") - F.col("city_avg_stars")).alias("diff"))
 
 
-def category_affinity(reviews: DataFrame, business: DataFrame) -> DataFrame:
+def category_affinity(reviews: DataFrame, business: DataFrame, parts: int | None = None) -> DataFrame:
     """Per (user, category): reviews, mean rating, mean minus the user's mean.
 
     One pass over the reviews: every business also has a null category, whose row of a
     user is the user's total. The window sees one row per category of a user.
+
+    ``parts``: tasks that the reviews are dealt to, by user and place, before they are first
+    added up. Few reviews of one user meet there, so a task's table of sums is nearly as long
+    as its reviews, and a scan or a join would give it as many as fit into a file or a shuffle block.
     """
-    per = (reviews.groupBy("user_id", "business_id")
-           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("stars").cast("double")).alias("s")))
     cats = business.select("business_id", category_list().alias("cats"))
     total = F.array(F.lit(None).cast("string"))
-    uc = (per.join(cats, "business_id", "left")
-          .select("user_id", "c", "s", F.explode(F.concat(F.coalesce("cats", F.array().cast("array<string>")), total)).alias("category"))
-          .groupBy("user_id", "category").agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("avg_rating")))
+    listed = (reviews.select("user_id", "business_id", F.col("stars").cast("double").alias("s")).join(cats, "business_id", "left"))
+    if parts and parts > 1:
+        listed = listed.repartition(parts, "user_id", "business_id")
+    uc = (listed.select("user_id", "s", F.explode(F.concat(F.coalesce("cats", F.array().cast("array<string>")), total)).alias("category"))
+          .groupBy("user_id", "category").agg(F.count(F.lit(1)).alias("n"), (F.sum("s") / F.count(F.lit(1))).alias("avg_rating")))
     user_avg = F.max(F.when(F.col("category").isNull(), F.col("avg_rating"))).over(Window.partitionBy("user_id"))
     return (uc.withColumn("user_avg", user_avg).filter(F.col("category").isNotNull())
             .select("user_id", "category", "n", "avg_rating", (F.col("avg_rating") - F.col("user_avg")).alias("affinity")))

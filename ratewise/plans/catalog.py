@@ -29,6 +29,10 @@ AS_OF_YEAR = 2024
 AS_OF_DATE = "2024-12-31"
 # The derived users and businesses have one row per id (their ids are primary keys).
 UNIQUE = True
+#: Reviews that a task of category_affinity adds up by user and category.
+AFFINITY_ROWS = 250_000
+#: The most such tasks; above 5 billion reviews a task gets more of them.
+AFFINITY_TASKS = 20_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -67,6 +71,10 @@ class Tables:
         # dealt by the join, as the scans of the stored table take their parallelism from its files
         return kept(self.spark, self.sf_dir, "reviews", lambda: stored(FX.reviews(self.spark, self.sf_dir, dealt=True), "reviews"))
 
+    @property
+    def n_reviews(self) -> int:
+        return kept(self.spark, self.sf_dir, "n_reviews", lambda: self.reviews.count())
+
     @property
     def train(self) -> DataFrame:
         return self.reviews.filter(~FX.split_flag(F.col("pair_key")))
@@ -397,7 +405,7 @@ def q_neighborhood_stats(spark, sf_dir):
 @register("category_affinity")
 def q_category_affinity(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return rounded(H.category_affinity(t.train, t.business))
+    return rounded(H.category_affinity(t.train, t.business, min(-(-t.n_reviews // AFFINITY_ROWS), AFFINITY_TASKS)))
 
 
 @register("price_alignment")
