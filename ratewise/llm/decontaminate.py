@@ -3,19 +3,19 @@
 Benchmark items are cut into windows of consecutive words. The index holds the postings (term, text, position) of the
 corpus for the terms that a search starts from: the rarest of each window, by their counts in the whole corpus.
 
-Phrases: postings of a window's two rarest places are aligned to where the window would begin and intersected; what is
+Phrases: postings of a window's two rarest places are aligned to where the window would begin and must meet there; what is
 left is compared with all words of the window, in the text's own row.
 
 Proximity: a window is near in a text if at least ``NEAR_SHARE`` of its distinct words stand in some stretch of
 ``slop`` words more on either side than the window has (a shorter text is one stretch), and the text does not hold it as
-a phrase. If m of its d distinct words may be missing, any m + 2 of them leave two in such a stretch, so blocks of the
-text with two of the window's m + 2 rarest words (with one, if one word is enough) miss no match: postings are gathered
-into blocks, and pairs of terms of a block meet the windows that have them. Only blocks so found are cut from the texts and compared.
+a phrase. If m of its d distinct words may be missing, any m + 2 of them leave two in such a stretch, so pairs of
+the window's m + 2 rarest words (one word, if one is enough) that stand as near as in a stretch miss no match. The text is cut
+into blocks, and only those where such a stretch can begin are cut from the texts and compared.
 
-The index is keyed by a hash of the text, so copies of a text are looked up once; a clash of two texts adds candidates
-that the comparison turns down and loses none; near windows (``n_near``) are counted by that hash. Benchmark windows are
-searched in blocks of a fixed size, written one by one, and only such a block, or a vocabulary, whose measured size is
-under a bound, is broadcast.
+The postings lie by text and block of places, and terms are looked up by a hash. The index is keyed by a hash of the text, so copies of a
+text are looked up once; a clash of two texts adds candidates that the comparison turns down and loses none; near windows
+(``n_near``) are counted by that hash. Benchmark windows are searched in blocks of a fixed size, written one by one, and only
+such a block, or a vocabulary, whose measured size is under a bound, is broadcast.
 
 Defined cases: null text has no words; an item without words has no window, a shorter one than a window is one window;
 a null item_id counts for hits but not among the items; repeated rows of either table change nothing but repeat their
@@ -38,11 +38,23 @@ SLOP = 3
 NEAR_SHARE = 0.8
 BLOCK_WINDOWS = 50_000
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same between words that still have their A-Z.
+BETWEEN_GIVEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def lowered(text: Column) -> Column:
+    """``ascii_lower``, by the faster ``lower`` where all characters are ASCII."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(ascii_lower(text))
 
 
 def index_words(text: Column) -> Column:
     """Words of letters, digits and characters beyond ASCII, A-Z lower-cased."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN_WORDS), lambda w: w != "")
+    return F.array_remove(F.split(lowered(F.coalesce(text, F.lit(""))), BETWEEN_WORDS), "")
+
+
+def given_words(text: Column) -> Column:
+    """The words of ``index_words``, as many and in the same places, before they are lower-cased."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN_GIVEN_WORDS), "")
 
 
 def text_key(text: Column) -> Column:
@@ -57,25 +69,38 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     return cut.groupBy("words").agg(F.collect_set("item").alias("items")).select(F.xxhash64("words").alias("wid"), "words", "items")
 
 
+def term_of(word: Column) -> Column:
+    """The number that a word is looked up by, a hash; a clash of two words adds candidates and loses none."""
+    return F.xxhash64(word)
+
+
 def term_counts(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     """term, n: occurrences in the whole corpus of each of ``terms`` that occurs."""
-    return (docs.select(F.explode(index_words(F.col(text_col))).alias("term"))
-            .join(broadcast_if_small(terms, "term"), "term").groupBy("term").agg(F.count("*").alias("n")))
+    found = docs.select(F.explode(given_words(F.col(text_col))).alias("word")).select(term_of(lowered(F.col("word"))).alias("term"))
+    return found.join(broadcast_if_small(terms, "term"), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def positional_index(docs: DataFrame, text_col: str, terms: DataFrame | None = None) -> DataFrame:
-    """term, key, pos: the postings of the corpus, those of ``terms`` only if given; copies of a text share theirs."""
-    found = docs.select(text_key(F.col(text_col)).alias("key"), F.posexplode(index_words(F.col(text_col))).alias("pos", "term"))
-    if terms is not None:
-        found = found.join(broadcast_if_small(terms, "term"), "term")
-    return found.groupBy("term", "key", "pos").agg(F.lit(1).alias("_")).drop("_")
+def positional_index(docs: DataFrame, text_col: str, terms: DataFrame, width: int) -> DataFrame:
+    """key, block, terms: the postings of ``terms`` by text and block of two ``width`` places; blocks begin every ``width`` places.
+    The array has the term of each place of the block, null where it is none of ``terms``; copies of a text share theirs."""
+    # The hashes in a step of their own: beside posexplode, the whole text would be hashed once a word.
+    texts = docs.select(text_key(F.col(text_col)).alias("key"), F.hash(text_col).alias("other"), F.col(text_col).alias("text"))
+    found = texts.select("key", "other", F.posexplode(given_words(F.col("text"))).alias("pos", "word"))
+    found = found.select("key", "other", "pos", term_of(lowered(F.col("word"))).alias("term")).join(broadcast_if_small(terms, "term"), "term")
+    block = F.floor(F.col("pos") / width).cast("int")
+    found = found.select("key", "other", "pos", "term", F.explode(F.array(block - 1, block)).alias("block")).where("block >= 0")
+    found = found.select("key", "other", "block", "term", (F.col("pos") - F.col("block") * width).alias("at"))
+    # A column a place, so that partial sums of a fixed size take in the copies of a text; the second hash keeps texts apart that
+    # clash in the first.
+    places = [F.max(F.when(F.col("at") == i, F.col("term"))).alias(f"t{i}") for i in range(2 * width)]
+    return found.groupBy("key", "other", "block").agg(*places).select("key", "block", F.array(*[f"t{i}" for i in range(2 * width)]).alias("terms"))
 
 
 def rarest_places(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """wid, places, rank (1: rarest), term, off: the two rarest places of each window whose words all occur in the corpus."""
-    places = windows.select("wid", F.size("words").alias("places"), F.posexplode("words").alias("off", "term"))
+    places = windows.select("wid", F.size("words").alias("places"), F.posexplode("words").alias("off", "word"))
     of = W.partitionBy("wid")
-    ranked = places.join(counts, "term").select(
+    ranked = places.withColumn("term", term_of(F.col("word"))).join(counts, "term").select(
         "wid", "places", "term", "off", F.row_number().over(of.orderBy("n", "off")).alias("rank"), F.count("*").over(of).alias("known"))
     return ranked.where("rank <= 2 AND known = places").drop("known")
 
@@ -86,91 +111,88 @@ def needed(words: Column) -> Column:
 
 
 def rare_pairs(windows: DataFrame, counts: DataFrame) -> DataFrame:
-    """wid, a, b, pair: pairs (a <= b) of the rarest distinct words of each window, of as many as leave two of them in any
+    """wid, a, b: pairs (a <= b) of the terms of the rarest distinct words of each window, of as many as leave two of them in any
     match; words that the corpus lacks are the rarest. Where one word makes a match, the word with itself."""
     terms = windows.select("wid", needed(F.col("words")).alias("need"), F.array_distinct("words").alias("terms"))
     terms = terms.select("wid", F.least("need", F.lit(2)).alias("least"), (F.size("terms") - F.col("need")).alias("missing"),
-                         F.explode("terms").alias("term"))
-    rank = F.row_number().over(W.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "term"))
-    rare = terms.join(counts, "term", "left").withColumn("rank", rank).where("n IS NOT NULL AND rank <= missing + least")
-    rare = rare.groupBy("wid", "least").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    return pairs_of(rare, "wid", "least").where("least < 2 OR a < b").drop("least")
+                         F.explode("terms").alias("word"))
+    rank = F.row_number().over(W.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "word"))
+    rare = (terms.withColumn("term", term_of(F.col("word"))).join(counts, "term", "left").withColumn("rank", rank)
+            .where("n IS NOT NULL AND rank <= missing + least"))
+    rare = rare.groupBy("wid", "least").agg(F.sort_array(F.collect_list("term")).alias("terms"))  # two words with one hash stay two
+    first = rare.select("wid", "least", "terms", F.posexplode("terms").alias("i", "a"))
+    return (first.select("wid", "a", "least", "i", F.posexplode(F.slice("terms", F.col("i") + 1, F.size("terms"))).alias("j", "b"))
+            .where("least < 2 OR j > 0").select("wid", "a", "b").distinct())
 
 
-def pairs_of(sets: DataFrame, *columns: str) -> DataFrame:
-    """``columns``, a, b, pair: the pairs a <= b of each sorted set ``terms``."""
-    first = sets.select(*columns, "terms", F.posexplode("terms").alias("i", "a"))
-    both = first.select(*columns, "a", F.explode(F.slice("terms", F.col("i") + 1, F.size("terms"))).alias("b"))
-    return both.withColumn("pair", F.concat_ws("\x00", "a", "b"))
+def pair_of(a: Column, b: Column) -> Column:
+    """The number of a pair of terms, in either order; a clash adds candidates and loses none."""
+    return F.xxhash64(F.least(a, b), F.greatest(a, b))
 
 
-def phrase_candidates(index: DataFrame, rarest: DataFrame) -> DataFrame:
+def phrase_candidates(index: DataFrame, rarest: DataFrame, width: int) -> DataFrame:
     """key, wid, start: where the lists of a window's two rarest places (of its only one) have one beginning."""
-    def aligned(of) -> DataFrame:
-        probe = broadcast_if_small(rarest.where(of), "term")
-        return index.join(probe, "term").select("key", "wid", (F.col("pos") - F.col("off")).alias("start"))
-
-    first, second = aligned("rank = 1 AND places > 1"), aligned("rank = 2")
-    return first.join(second, ["key", "wid", "start"]).unionByName(aligned("places = 1")).where("start >= 0")
-
-
-def term_blocks(index: DataFrame, width: int) -> DataFrame:
-    """key, block, terms: the indexed terms of each block of two ``width`` words; blocks begin every ``width`` words."""
-    block = F.floor(F.col("pos") / width).cast("int")
-    found = index.select("key", "term", F.explode(F.array(block - 1, block)).alias("block")).where("block >= 0")
-    return found.groupBy("key", "block").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-
-
-def near_blocks(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key, block, wid: blocks with a pair of a window's rarest words, so that a near stretch may begin in their first half."""
-    met = pairs_of(blocks, "key", "block").join(broadcast_if_small(pairs.select("pair", "wid"), "pair"), "pair")
+    # Each place is in the first half of one block.
+    met = index.select("key", "block", F.posexplode(F.slice("terms", 1, width)).alias("at", "term")).where("term IS NOT NULL")
+    met = met.join(broadcast_if_small(rarest, "term"), "term").select(
+        "key", "wid", (F.col("block") * width + F.col("at") - F.col("off")).alias("start"), "places")
+    both = met.where("start >= 0").groupBy("key", "wid", "start").agg(F.count("*").alias("n"), F.min("places").alias("places"))
+    return both.where("n >= 2 OR places = 1").select("key", "wid", "start")
+
+
+def near_blocks(index: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """key, block, wid: blocks with a pair of a window's rarest words within ``width`` places, so that a near stretch may begin in
+    their first half."""
+    first = index.select("key", "block", "terms", F.posexplode("terms").alias("i", "a")).where("a IS NOT NULL")
+    both = first.select("key", "block", "a", F.explode(F.slice("terms", F.col("i") + 1, width)).alias("b")).where("b IS NOT NULL")
+    wanted = pairs.select(pair_of(F.col("a"), F.col("b")).alias("pair"), "wid")
+    met = both.select("key", "block", pair_of(F.col("a"), F.col("b")).alias("pair")).join(broadcast_if_small(wanted, "pair"), "pair")
     return met.select("key", "block", "wid").distinct()
 
 
 def near_windows(docs: DataFrame, text_col: str, blocks: DataFrame, windows: DataFrame, slop: int, width: int) -> DataFrame:
     """key, wid, start: the windows near in a text, phrases included, and where the first stretch that shows it begins."""
-    wanted = blocks.groupBy("key").agg(F.collect_set("block").alias("wanted"))
+    wanted = written(blocks.groupBy("key").agg(F.collect_set(F.struct("block", "wid")).alias("wanted")), "wanted")
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).join(wanted, "key")
-    pieces = texts.select("key", index_words(F.col("text")).alias("ws"), "wanted").select("key", "ws", F.explode("wanted").alias("block"))
-    pieces = pieces.select("key", "block", F.slice("ws", F.col("block") * width + 1, 2 * width).alias("piece")).distinct()
+    pieces = texts.select("key", index_words(F.col("text")).alias("ws"), "wanted").select("key", "ws", F.explode("wanted").alias("at"))
+    pieces = pieces.select("key", "at.block", "at.wid", F.slice("ws", F.col("at.block") * width + 1, 2 * width).alias("piece"))
     terms = windows.select("wid", F.array_distinct("words").alias("terms"), needed(F.col("words")).alias("need"),
                            (F.size("words") + 2 * slop).alias("size"))
-    met = pieces.join(blocks, ["key", "block"]).join(terms, "wid")
+    met = pieces.join(broadcast_if_small(terms, F.array_join("terms", " ")), "wid")
 
     def enough(words: Column) -> Column:
         return F.size(F.array_intersect("terms", words)) >= F.col("need")
 
     met = met.where(enough(F.col("piece")))
     firsts = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: enough(F.slice("piece", i + 1, F.col("size"))))
-    met = met.select("key", "wid", (F.col("block") * width + F.get(firsts, F.lit(0))).alias("start"))
+    # Written, so that AQE can split a text with very many copies in the join; grouping by the text's key there would not let it.
+    met = written(met.select("key", "wid", (F.col("block") * width + F.get(firsts, F.lit(0))).alias("start")), "near-found")
     return met.where("start IS NOT NULL").groupBy("key", "wid").agg(F.min("start").alias("start"))
 
 
-def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-           item_text_col: str = "text", window: int = WINDOW, slop: int = SLOP, proximity: bool = True) -> DataFrame:
-    """``docs`` (columns as given, in struct ``_row``) with words, hits (start, words, items of each phrase match) and, with
-    ``proximity``, near: (start, wid) of each window near in the text, those that are phrases too."""
+def candidates(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+               item_text_col: str = "text", window: int = WINDOW, slop: int = SLOP, proximity: bool = True) -> DataFrame:
+    """``docs`` (columns as given, in struct ``_row``) with met (start, words, items of each place where a phrase may begin) and,
+    with ``proximity``, near as in ``search``."""
     windows = written(benchmark_windows(benchmark, item_col, item_text_col, window), "windows")
-    terms = written(windows.select(F.explode("words").alias("term")).distinct(), "terms")
+    terms = written(windows.select(F.explode("words").alias("word")).select(term_of(F.col("word")).alias("term")).distinct(), "terms")
     counts = written(term_counts(docs, text_col, terms), "term-counts")
     places = written(rarest_places(windows, counts), "places")
     starts = places.select("term")
     if proximity:
         pairs = written(rare_pairs(windows, counts), "pairs")
         starts = starts.union(pairs.select(F.explode(F.array("a", "b"))))
-    index = written(positional_index(docs, text_col, starts.distinct()), "postings")
     width = window + 2 * slop
-    if proximity:
-        found = written(term_blocks(index, width), "term-blocks")
+    index = written(positional_index(docs, text_col, starts.distinct(), width), "postings")
     blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
     phrases, nears = [], []
     for k in range(blocks):
         of = F.pmod("wid", F.lit(blocks)) == k
         phrases.append(new_path(docs.sparkSession, "phrases"))
-        phrase_candidates(index, places.where(of)).write.parquet(phrases[-1])
+        phrase_candidates(index, places.where(of), width).write.parquet(phrases[-1])
         if proximity:
             nears.append(new_path(docs.sparkSession, "near"))
-            near_blocks(found, pairs.where(of)).write.parquet(nears[-1])
+            near_blocks(index, pairs.where(of), width).write.parquet(nears[-1])
     met = docs.sparkSession.read.parquet(*phrases).join(windows, "wid")
     # Written, so that the join below has a plain shuffle on both sides and AQE can split a text with very many copies.
     by_text = met.groupBy("key").agg(F.collect_list(F.struct("start", "words", "items")).alias("met"))
@@ -181,12 +203,23 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_c
     by_text = written(by_text, "met")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text_key(F.col(text_col)).alias("key"))
     more = [empty_if_null(by_text, "near")] if proximity else []
-    rows = rows.join(by_text, "key", "left").select("_row", index_words(F.col("_row")[text_col]).alias("words"), empty_if_null(by_text, "met"), *more)
+    return rows.join(by_text, "key", "left").select("_row", empty_if_null(by_text, "met"), *more)
 
-    def exact(c: Column) -> Column:
-        return F.slice(F.col("words"), c["start"] + 1, F.size(c["words"])) == c["words"]
 
-    return rows.select("_row", "words", F.filter("met", exact).alias("hits"), *(["near"] if proximity else []))
+def phrase_hits(text: Column) -> Column:
+    """Those of ``met`` whose words all stand in ``text``; a text without any is not cut into words."""
+    def exact(words: Column) -> Column:
+        return F.filter("met", lambda c: F.slice(words, c["start"] + 1, F.size(c["words"])) == c["words"])
+
+    return F.when(F.size("met") > 0, let(index_words(text), exact)).otherwise(F.col("met"))
+
+
+def search(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", proximity: bool = True, **columns) -> DataFrame:
+    """``docs`` (columns as given, in struct ``_row``) with words, hits (start, words, items of each phrase match) and, with
+    ``proximity``, near: (start, wid) of each window near in the text, those that are phrases too."""
+    text = F.col("_row")[text_col]
+    found = candidates(docs, benchmark, text_col=text_col, proximity=proximity, **columns)
+    return found.select("_row", index_words(text).alias("words"), phrase_hits(text).alias("hits"), *(["near"] if proximity else []))
 
 
 def empty_if_null(table: DataFrame, column: str) -> Column:
@@ -205,13 +238,15 @@ def covered(hits: Column) -> Column:
     return F.aggregate(spans, zero, lambda a, h: let(add(a, h), lambda x: x), lambda a: a["n"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near (windows near in the text, but no phrase of it)."""
-    out = search(docs, benchmark, **columns)
+    text = F.col("_row")[text_col]
+    out = candidates(docs, benchmark, text_col=text_col, **columns)
+    out = out.select("_row", F.size(given_words(text)).cast("bigint").alias("n_words"), phrase_hits(text).alias("hits"), "near")
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
     # Every phrase is also near, so the phrases are the part of the near windows to leave out.
     phrases = F.size(F.array_distinct(F.transform("hits", lambda h: h["words"])))
-    out = out.select(F.col("_row")[id_col].alias("doc_id"), F.size("words").cast("bigint").alias("n_words"),
+    out = out.select(F.col("_row")[id_col].alias("doc_id"), "n_words",
                      covered(F.col("hits")).alias("n_hit"), items.alias("items"), (F.size("near") - phrases).cast("bigint").alias("n_near"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
